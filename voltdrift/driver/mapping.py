@@ -5,133 +5,97 @@ Only expressions over whole tables; the SQL side states the same ones.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from voltdrift.sources.schema import (
-    DETECTOR_MEASUREMENT,
-    FRAMES,
-    GAIN_OPTIMIZATION,
-    NO_INSTRUMENT,
-    TARGET,
-    UNKNOWN,
-)
+from pyspark.sql import DataFrame, SparkSession
+
+from voltdrift.sources.schema import FRAMES
 from voltdrift.sources.tables import InstrumentTables
 
 
+# Stated, so that opening a table costs no job.
+SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,"
+    " c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,"
+    " l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+def set_id(key: str) -> str:
+    return (
+        f"concat(if({key} % 2 = 0, 'Alk', 'OFN'), '-', lpad(cast({key} AS string), 6, '0'))"
+    )
 
 
-def set_id(key: str) -> Column:
-    kind = F.when(F.col(key) % 2 == 0, "Alk").otherwise("OFN")
-    return F.concat_ws("-", kind, F.lpad(F.col(key).cast("string"), 6, "0"))
+SAMPLE_TYPE = """decode(o_orderstatus,
+    'F', 'Detector Measurement', 'O', 'Gain Optimization', 'P', 'Sample')"""
+SAMPLE_NAME = """concat('Alk-', substring(o_orderpriority, 1, 1), 'pg',
+    if(o_orderkey % 3 = 0, '', concat(':', o_orderkey % 3)))"""
+MEASURED = "o_orderstatus IN ('F', 'O')"
+VOLTAGE = "1500 + o_custkey % 4 * 50"
+INSTRUMENT = "if(c_mktsegment IN ('AUTOMOBILE', 'BUILDING'), 'PV1', 'PV2')"
+ANALYTE = "decode(l_returnflag, 'A', 'OFN', 'R', 'Perfluoronaphthalene', 'N', 'Tetradecane')"
+PROCESSING = "decode(l_linestatus, 'O', 'Unknown', 'F', 'Target')"
 
 
 def instrument_tables(spark: SparkSession, sf_dir: str) -> InstrumentTables:
     nation, customer = read(spark, sf_dir, "nation"), read(spark, sf_dir, "customer")
-    supplier, lineitem = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "lineitem")
-    no_short = F.lit(None).cast("smallint")
-    no_float = F.lit(None).cast("float")
     return InstrumentTables(
-        idl=customer.select(
-            F.col("c_custkey").alias("idl_id"),
-            (F.col("c_acctbal") / 1000000).alias("idl_value"),
-            F.lit(0.02).cast("float").alias("concentration_pg"),
+        idl=customer.selectExpr(
+            "c_custkey AS idl_id", "c_acctbal / 1000000 AS idl_value",
+            "float(0.02) AS concentration_pg",
         ),
-        gc_method=nation.select(
-            F.col("n_name").alias("gc_method_id"),
-            no_short.alias("splitratio"),
-            F.lit("1D").alias("chromatrography"),
-            no_float.alias("runtime_min"),
+        gc_method=nation.selectExpr(
+            "n_name AS gc_method_id", "smallint(NULL) AS splitratio", "'1D' AS chromatrography",
+            "float(NULL) AS runtime_min",
         ),
-        ms_method=nation.select(
-            F.col("n_nationkey").alias("ms_method_id"),
-            no_short.alias("acquisitionrate"),
-            no_short.alias("massrange_bottom"),
-            no_short.alias("massrange_top"),
-            no_float.alias("extractionfrequency"),
-            (F.col("n_regionkey") * 100).alias("detectoroffset_volts"),
+        ms_method=nation.selectExpr(
+            "n_nationkey AS ms_method_id", "smallint(NULL) AS acquisitionrate",
+            "smallint(NULL) AS massrange_bottom", "smallint(NULL) AS massrange_top",
+            "float(NULL) AS extractionfrequency", "n_regionkey * 100 AS detectoroffset_volts",
         ),
-        dynamicrange=supplier.select(
-            F.col("s_suppkey").alias("dr_id"),
-            (F.col("s_acctbal") / 1000).alias("ordersofmagnitude"),
-            (F.col("s_acctbal") / 100000).alias("concrange_pg_low"),
-            (F.col("s_acctbal") * 2).alias("concrange_pg_high"),
-            F.try_divide("s_acctbal", F.lit(10000)).alias("correlation_coefficient_r"),
+        dynamicrange=read(spark, sf_dir, "supplier").selectExpr(
+            "s_suppkey AS dr_id", "s_acctbal / 1000 AS ordersofmagnitude",
+            "s_acctbal / 100000 AS concrange_pg_low", "s_acctbal * 2 AS concrange_pg_high",
+            "s_acctbal / 10000 AS correlation_coefficient_r",
         ),
-        dataset=customer.select(
-            set_id("c_custkey").alias("dataset_id"),
-            F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), "PV1")
-            .otherwise("PV2").alias("instrument"),
-            F.when(F.col("c_custkey") % 3 != 0, F.col("c_custkey")).alias("idl_id"),
-            F.lit(None).cast("string").alias("gc_method_id"),
-            F.col("c_nationkey").alias("ms_method_id"),
-            F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") % 10).alias("dr_id"),
+        dataset=customer.selectExpr(
+            f"{set_id('c_custkey')} AS dataset_id", f"{INSTRUMENT} AS instrument",
+            "if(c_custkey % 3 = 0, NULL, c_custkey) AS idl_id", "string(NULL) AS gc_method_id",
+            "c_nationkey AS ms_method_id", "if(c_custkey % 4 = 0, NULL, c_custkey % 10) AS dr_id",
         ),
         ionstats=ion_stats(spark, sf_dir),
         sample=samples(spark, sf_dir),
-        peaktable=lineitem.select(
-            F.lit(None).cast("bigint").alias("peaktable_id"),
-            analyte().alias("analyte"),
-            processing_type().alias("dataprocessingtype"),
-            F.floor("l_extendedprice").cast("bigint").alias("area"),
-            (F.col("l_quantity") * 100).cast("bigint").alias("height"),
-            F.col("l_tax").cast("float").alias("fwhh_s"),
-            ((F.col("l_linenumber") - 1) * 150).cast("smallint").alias("similairity"),
-            no_float.alias("rt_1d"),
-            no_float.alias("rt_2d"),
-            F.col("l_suppkey").cast("int").alias("peak_sn"),
-            F.col("l_partkey").cast("int").alias("quant_sn"),
-            F.col("l_discount").alias("concentration_pg"),
-            F.col("l_orderkey").alias("sample_id"),
+        peaktable=read(spark, sf_dir, "lineitem").selectExpr(
+            "bigint(NULL) AS peaktable_id", f"{ANALYTE} AS analyte",
+            f"{PROCESSING} AS dataprocessingtype", "floor(l_extendedprice) AS area",
+            "bigint(l_quantity * 100) AS height", "float(l_tax) AS fwhh_s",
+            "smallint((l_linenumber - 1) * 150) AS similairity", "float(NULL) AS rt_1d",
+            "float(NULL) AS rt_2d", "int(l_suppkey) AS peak_sn", "int(l_partkey) AS quant_sn",
+            "l_discount AS concentration_pg", "l_orderkey AS sample_id",
         ),
     )
 
 
-def analyte() -> Column:
-    flag = F.col("l_returnflag")
-    return (
-        F.when(flag == "A", "OFN").when(flag == "R", "Perfluoronaphthalene")
-        .when(flag == "N", "Tetradecane")
-    )
-
-
-def processing_type() -> Column:
-    status = F.col("l_linestatus")
-    return F.when(status == "O", UNKNOWN).when(status == "F", TARGET)
-
-
-def sample_type() -> Column:
-    status = F.col("o_orderstatus")
-    return (
-        F.when(status == "F", DETECTOR_MEASUREMENT).when(status == "O", GAIN_OPTIMIZATION)
-        .when(status == "P", "Sample")
-    )
-
-
-def sample_name() -> Column:
-    replicate = F.col("o_orderkey") % 3
-    mark = F.when(replicate == 0, "").otherwise(F.concat(F.lit(":"), replicate.cast("string")))
-    return F.concat(F.lit("Alk-"), F.substring("o_orderpriority", 1, 1), F.lit("pg"), mark)
-
-
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("sample_id"),
-        F.col("o_orderdate").alias("datetimestamp"),
-        sample_type().alias("sampletype"),
-        sample_name().alias("samplename"),
-        F.when(F.col("o_orderstatus").isin("F", "O"), F.col("o_orderkey")).alias("ionstats_id"),
-        set_id("o_custkey").alias("dataset_id"),
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS sample_id", "o_orderdate AS datetimestamp", f"{SAMPLE_TYPE} AS sampletype",
+        f"{SAMPLE_NAME} AS samplename", f"if({MEASURED}, o_orderkey, NULL) AS ionstats_id",
+        f"{set_id('o_custkey')} AS dataset_id",
     )
 
 
 def ion_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").filter(F.col("o_orderstatus").isin("F", "O")).select(
-        F.col("o_orderkey").alias("ionstats_id"),
-        (1500 + F.col("o_custkey") % 4 * 50).cast("double").alias("voltage"),
-        F.col("o_totalprice").alias("areaperion"),
+    return read(spark, sf_dir, "orders").filter(MEASURED).selectExpr(
+        "o_orderkey AS ionstats_id", f"double({VOLTAGE}) AS voltage", "o_totalprice AS areaperion"
     )
 
 
@@ -144,69 +108,45 @@ def export_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     nation, customer = read(spark, sf_dir, "nation"), read(spark, sf_dir, "customer")
     supplier, orders = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "orders")
     lineitem = read(spark, sf_dir, "lineitem")
-    dataset = set_id("c_custkey").alias("DataSet")
-    of_customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    measured = F.col("o_orderstatus").isin("F", "O")
-    sample_columns = {
-        "index": F.col("o_orderkey"),
-        "Type": sample_type(),
-        "Name": injection_name("o_orderkey"),
-        "Status": F.lit("Done"),
-        "Chromatographic Method": F.col("n_name"),
-        "MS Method": F.concat(F.lit("MS "), F.col("n_name")),
-        "DateTime": F.col("o_orderdate").cast("string"),
-        "DataSet": set_id("c_custkey"),
-        "Instrument": F.when(~measured, NO_INSTRUMENT)
-        .when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), "PV1").otherwise("PV2"),
-        "DetectorVoltage": F.when(measured, (1500 + F.col("o_custkey") % 4 * 50).cast("string")),
-        "AreaPerIon": F.when(measured, F.col("o_totalprice").cast("string")),
-    }
-    peak_columns = {
-        "Name": analyte(),
-        "Type": processing_type(),
-        "Area": F.floor("l_extendedprice"),
-        "Height": (F.col("l_quantity") * 100).cast("bigint"),
-        "FWHH (s)": F.col("l_tax"),
-        "Similarity": (F.col("l_linenumber") - 1) * 150,
-        "RT_1D": F.lit(None).cast("string"),
-        "RT_2D": F.lit(None).cast("string"),
-        "Peak S/N": F.col("l_suppkey"),
-        "Quant S/N": F.col("l_partkey"),
-        "Sample": injection_name("l_orderkey"),
-        "Concentration_pg": F.col("l_discount"),
-    }
+    dataset = f"{set_id('c_custkey')} AS DataSet"
+    with_nation = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     frames = {
-        "Sample": orders.join(of_customer, F.col("o_custkey") == F.col("c_custkey")).select(
-            *[c.alias(h) for h, c in sample_columns.items()]
+        "Sample": orders.join(with_nation, orders.o_custkey == customer.c_custkey).selectExpr(
+            "o_orderkey AS index", f"{SAMPLE_TYPE} AS Type",
+            "concat('Inj-', o_orderkey) AS Name", "'Done' AS Status",
+            "n_name AS `Chromatographic Method`", "concat('MS ', n_name) AS `MS Method`",
+            "string(o_orderdate) AS DateTime", dataset,
+            f"if({MEASURED}, {INSTRUMENT}, 'False') AS Instrument",
+            f"if({MEASURED}, string({VOLTAGE}), NULL) AS DetectorVoltage",
+            f"if({MEASURED}, string(o_totalprice), NULL) AS AreaPerIon",
         ),
-        "PeakTable": lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            set_id("o_custkey").alias("DataSet"), *[c.alias(h) for h, c in peak_columns.items()]
+        "PeakTable": lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).selectExpr(
+            f"{set_id('o_custkey')} AS DataSet", f"{ANALYTE} AS Name", f"{PROCESSING} AS Type",
+            "floor(l_extendedprice) AS Area", "bigint(l_quantity * 100) AS Height",
+            "l_tax AS `FWHH (s)`", "(l_linenumber - 1) * 150 AS Similarity",
+            "string(NULL) AS RT_1D", "string(NULL) AS RT_2D", "l_suppkey AS `Peak S/N`",
+            "l_partkey AS `Quant S/N`", "concat('Inj-', l_orderkey) AS Sample",
+            "l_discount AS Concentration_pg",
         ),
-        "IDL": customer.filter(F.col("c_custkey") % 3 != 0).select(
-            dataset, F.lit(0.02).alias("Concentration"), (F.col("c_acctbal") / 1000000).alias("IDL")
+        "IDL": customer.filter("c_custkey % 3 <> 0").selectExpr(
+            dataset, "0.02 AS Concentration", "c_acctbal / 1000000 AS IDL"
         ),
-        "GC": of_customer.select(
-            dataset, F.col("n_name").alias("GC_Method_id"), F.lit(10).alias("SplitRatio"),
-            F.lit("1D").alias("Chromatography"), F.lit(7.5).alias("RunTime_min"),
+        "GC": with_nation.selectExpr(
+            dataset, "n_name AS GC_Method_id", "10 AS SplitRatio", "'1D' AS Chromatography",
+            "7.5 AS RunTime_min",
         ),
-        "MS": of_customer.select(
-            dataset, F.concat(F.lit("MS "), F.col("n_name")).alias("MS_Method_id"),
-            F.lit(17).alias("AcquisitionRate"), F.lit(50).alias("MassRange_Bottom"),
-            F.lit(500).alias("MassRange_Top"), F.lit(30).alias("ExtractionFrequency"),
-            (F.col("n_regionkey") * 100).alias("DetectorOffset_Volts"),
+        "MS": with_nation.selectExpr(
+            dataset, "concat('MS ', n_name) AS MS_Method_id", "17 AS AcquisitionRate",
+            "50 AS MassRange_Bottom", "500 AS MassRange_Top", "30 AS ExtractionFrequency",
+            "n_regionkey * 100 AS DetectorOffset_Volts",
         ),
-        "DR": customer.filter(F.col("c_custkey") % 4 != 0)
-        .join(supplier, F.col("c_custkey") % 10 == F.col("s_suppkey"))
-        .select(
-            dataset, (F.col("s_acctbal") / 1000).alias("OrdersOfMagnitude"),
-            (F.col("s_acctbal") / 100000).alias("ConcRange_pg_Low"),
-            (F.col("s_acctbal") * 2).alias("ConcRange_pg_High"),
-            (F.col("s_acctbal") / 10000).alias("Correlation_Coefficient_r"),
+        "DR": customer.filter("c_custkey % 4 <> 0")
+        .join(supplier, customer.c_custkey % 10 == supplier.s_suppkey)
+        .selectExpr(
+            dataset, "s_acctbal / 1000 AS OrdersOfMagnitude",
+            "s_acctbal / 100000 AS ConcRange_pg_Low", "s_acctbal * 2 AS ConcRange_pg_High",
+            "s_acctbal / 10000 AS Correlation_Coefficient_r",
         ),
     }
     assert set(frames) == set(FRAMES)
     return frames
-
-
-def injection_name(key: str) -> Column:
-    return F.concat(F.lit("Inj-"), F.col(key).cast("string"))

@@ -297,9 +297,9 @@ method AS (
         arg_min(kind, o_orderkey) AS ms_method_id
     FROM s GROUP BY dataset_id),
 seen AS (
-    SELECT dataset_id, instrument, min(o_orderkey) AS at FROM s
+    SELECT dataset_id, instrument, min(o_orderkey) AS first_seen FROM s
     WHERE instrument <> 'False' GROUP BY dataset_id, instrument),
-inst AS (SELECT dataset_id, arg_max(instrument, at) AS instrument FROM seen GROUP BY dataset_id)
+inst AS (SELECT dataset_id, arg_max(instrument, first_seen) AS instrument FROM seen GROUP BY dataset_id)
 SELECT dataset_id, gc_method_id, method.ms_method_id, instrument, idl_id, dr_id
 FROM method LEFT JOIN inst USING (dataset_id) LEFT JOIN m_dataset USING (dataset_id)""",
     "i5_ionstats_extract": f"""

@@ -12,13 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltdrift.driver import mapping
-from voltdrift.driver.mapping import instrument_tables, read
+from voltdrift.driver.mapping import (
+    ANALYTE,
+    MEASURED,
+    SAMPLE_NAME,
+    SAMPLE_TYPE,
+    VOLTAGE,
+    instrument_tables,
+    read,
+    set_id,
+)
 from voltdrift.operators.integrity import already_present, missing_parents
 from voltdrift.plans import derived, ingest, reports
 from voltdrift.session import materialize, shared_folder
 from voltdrift.sources import tables as warehouse
 from voltdrift.sources.csv_frames import read_export, read_frame
-from voltdrift.sources.schema import NO_INSTRUMENT, TABLES
+from voltdrift.sources.schema import TABLES
 from voltdrift.sources.sinks import read_csv, write_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,66 +189,48 @@ def i1_i2_optional_dims(spark, sf_dir):
     """IDL rows from detector measurements, dynamic ranges from suppliers."""
     customer, orders = read(spark, sf_dir, "customer"), read(spark, sf_dir, "orders")
     supplier = read(spark, sf_dir, "supplier")
-    datasets = customer.select("c_custkey", mapping.set_id("c_custkey").alias("dataset_id"))
+    datasets = customer.selectExpr(f"{set_id('c_custkey')} AS dataset_id")
     idl = ingest.first_row_per_dataset(
-        orders.filter(F.col("o_orderstatus") == "F").select(
-            mapping.set_id("o_custkey").alias("dataset_id"),
-            (F.col("o_totalprice") / 1000000).alias("idl_value"),
-            F.lit(0.02).alias("concentration_pg"),
-            *_position("o_orderkey"),
+        orders.filter("o_orderstatus = 'F'").selectExpr(
+            f"{set_id('o_custkey')} AS dataset_id", "o_totalprice / 1000000 AS idl_value",
+            "0.02D AS concentration_pg", *_position("o_orderkey"),
         ),
         ["idl_value", "concentration_pg"], "idl_id",
     )
     dr = ingest.first_row_per_dataset(
-        customer.filter(F.col("c_custkey") % 4 != 0)
-        .join(supplier, F.col("c_custkey") % 10 == F.col("s_suppkey"))
-        .select(
-            mapping.set_id("c_custkey").alias("dataset_id"),
-            (F.col("s_acctbal") / 1000).alias("ordersofmagnitude"),
+        customer.filter("c_custkey % 4 <> 0")
+        .join(supplier, customer.c_custkey % 10 == supplier.s_suppkey)
+        .selectExpr(
+            f"{set_id('c_custkey')} AS dataset_id", "s_acctbal / 1000 AS ordersofmagnitude",
             *_position("s_suppkey"),
         ),
         ["ordersofmagnitude"], "dr_id",
     )
-    return (
-        datasets.join(idl, "dataset_id", "left").join(dr, "dataset_id", "left")
-        .select("dataset_id", "idl_id", "idl_value", "concentration_pg", "dr_id", "ordersofmagnitude")
-    )
+    return datasets.join(idl, "dataset_id", "left").join(dr, "dataset_id", "left")
 
 
 @query
 def i3_methods_insert_if_absent(spark, sf_dir):
     """Each customer brings the method of its nation; two regions' are known."""
     nation, customer = read(spark, sf_dir, "nation"), read(spark, sf_dir, "customer")
-
-    def methods(df, *more):
-        return df.select(
-            F.col("n_name").alias("ms_method_id"),
-            F.lit(17).cast("smallint").alias("acquisitionrate"),
-            F.lit(50).cast("smallint").alias("massrange_bottom"),
-            F.lit(500).cast("smallint").alias("massrange_top"),
-            F.lit(30).cast("float").alias("extractionfrequency"),
-            (F.col("n_regionkey") * 100).cast("smallint").alias("detectoroffset_volts"),
-            *more,
-        )
-
-    known = methods(nation.filter(F.col("n_regionkey") <= 1))
-    brought = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    frame = methods(
-        brought, mapping.set_id("c_custkey").alias("dataset_id"), *_position("c_custkey")
+    method = [
+        "n_name AS ms_method_id", "smallint(17) AS acquisitionrate",
+        "smallint(50) AS massrange_bottom", "smallint(500) AS massrange_top",
+        "float(30) AS extractionfrequency", "smallint(n_regionkey * 100) AS detectoroffset_volts",
+    ]
+    known = nation.filter("n_regionkey <= 1").selectExpr(*method)
+    brought = customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        f"{set_id('c_custkey')} AS dataset_id", *method, *_position("c_custkey")
     )
-    return ingest.new_methods(frame, known, "ms_method")
+    return ingest.new_methods(brought, known, "ms_method")
 
 
 @query
 def i4_dataset_row(spark, sf_dir):
-    status = F.col("o_orderstatus")
-    samples = read(spark, sf_dir, "orders").select(
-        mapping.set_id("o_custkey").alias("dataset_id"),
-        F.col("o_orderkey").alias("sample_id"),
-        F.col("o_orderpriority").alias("gc_method_id"),
-        mapping.sample_type().alias("ms_method_id"),
-        F.when(status == "P", NO_INSTRUMENT).when(status == "F", "PV1").otherwise("PV2")
-        .alias("instrument"),
+    samples = read(spark, sf_dir, "orders").selectExpr(
+        f"{set_id('o_custkey')} AS dataset_id", "o_orderkey AS sample_id",
+        "o_orderpriority AS gc_method_id", f"{SAMPLE_TYPE} AS ms_method_id",
+        "decode(o_orderstatus, 'P', 'False', 'F', 'PV1', 'PV2') AS instrument",
     )
     known = instrument_tables(spark, sf_dir).dataset
     return ingest.dataset_rows(
@@ -263,14 +254,10 @@ def i7_peak_sample_join(spark, sf_dir):
     """Peaks by sample name, which repeats within data sets; plain injections
     are not among the samples, so peaks that only they carry drop out."""
     orders, lineitem = read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem")
-    peaks = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        mapping.set_id("o_custkey").alias("dataset_id"),
-        mapping.sample_name().alias("samplename"),
-        mapping.analyte().alias("analyte"),
-        F.floor("l_extendedprice").cast("bigint").alias("area"),
-        F.col("l_partkey").alias("quant_sn"),
-        F.col("l_discount").alias("concentration_pg"),
-        *_position("l_orderkey"),
+    peaks = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).selectExpr(
+        f"{set_id('o_custkey')} AS dataset_id", f"{SAMPLE_NAME} AS samplename",
+        f"{ANALYTE} AS analyte", "floor(l_extendedprice) AS area", "l_partkey AS quant_sn",
+        "l_discount AS concentration_pg", *_position("l_orderkey"),
     )
     samples = mapping.samples(spark, sf_dir).filter(F.col("sampletype") != "Sample")
     linked = ingest.link_peaks(peaks, samples).filter(F.col("peaktable_id").isNotNull())
@@ -320,25 +307,18 @@ def i11_staged_load(spark, sf_dir):
     return reports.ofn_replicate_stats(stored, OFN_PG)
 
 
-def _position(line: str):
-    return [
-        F.lit("").alias("_file"), F.lit(0).cast("bigint").alias("_block"), F.col(line).alias("_line")
-    ]
+def _position(line: str) -> list[str]:
+    return ["'' AS _file", "0L AS _block", f"{line} AS _line"]
 
 
 def _sample_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as rows of a Sample frame; blank cells where nothing was measured."""
-    measured = F.col("o_orderstatus").isin("F", "O")
-    voltage = (1500 + F.col("o_custkey") % 4 * 50).cast("string")
-    return read(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("sample_id"),
-        mapping.set_id("o_custkey").alias("dataset_id"),
-        F.col("o_orderdate").alias("datetimestamp"),
-        mapping.sample_type().alias("sampletype"),
-        mapping.sample_name().alias("samplename"),
-        F.when(measured, voltage).otherwise("").alias("detectorvoltage"),
-        F.when(measured, F.col("o_totalprice").cast("string")).otherwise("").alias("areaperion"),
-        *_position("o_orderkey"),
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS sample_id", f"{set_id('o_custkey')} AS dataset_id",
+        "o_orderdate AS datetimestamp", f"{SAMPLE_TYPE} AS sampletype",
+        f"{SAMPLE_NAME} AS samplename",
+        f"if({MEASURED}, string({VOLTAGE}), '') AS detectorvoltage",
+        f"if({MEASURED}, string(o_totalprice), '') AS areaperion", *_position("o_orderkey"),
     )
 
 

@@ -7,6 +7,7 @@ written to the shared folder before anything refers to them.
 from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from voltdrift.functions.columns import blank_to_null, text_to
 from voltdrift.operators.integrity import already_present, missing_parents, not_present
 from voltdrift.operators.sequence import number_rows
+from voltdrift.session import materialize
 from voltdrift.sources.csv_frames import POSITION, ExportFrames
 from voltdrift.sources.schema import (
     DETECTOR_MEASUREMENT,
@@ -68,10 +70,12 @@ def load_export(
         ).first()
     )
 
-    rejected = already_present(frames.sample, existing.dataset, "dataset_id")
-    n_rejected = rejected.count()
+    n_incoming = frames.sample.select("dataset_id").distinct().count()
+    n_rejected = already_present(frames.sample, existing.dataset, "dataset_id").count()
     if n_rejected and on_duplicate == "fail":
         raise RejectedLoad(f"{n_rejected} data sets are loaded already")
+    if n_rejected == n_incoming:
+        return _nothing_loaded(spark, root, load, last, n_rejected)
     if n_rejected:
         frames = without_datasets(frames, existing.dataset)
 
@@ -82,9 +86,9 @@ def load_export(
         ["ordersofmagnitude", "concrange_pg_low", "concrange_pg_high", "correlation_coefficient_r"],
         "dr_id", last.dr,
     )
-    gc = new_methods(frames.gc, existing.gc_method, "gc_method")
-    ms = new_methods(frames.ms, existing.ms_method, "ms_method")
-    dataset = dataset_rows(samples, idl, dr)
+    gc = materialize(new_methods(frames.gc, existing.gc_method, "gc_method"))
+    ms = materialize(new_methods(frames.ms, existing.ms_method, "ms_method"))
+    dataset = materialize(dataset_rows(samples, idl, dr))
     ionstats = ionstats_rows(samples, last.ionstats)
     peaks = link_peaks(frames.peaktable, samples, last.peaktable)
 
@@ -96,10 +100,7 @@ def load_export(
         )
         if (n := missing_parents(dataset, key, new.select(key).union(old.select(key)), key).count())
     ]
-    n_bad = sum(
-        f.filter("_bad").count()
-        for f in (samples, peaks, frames.idl, frames.dr, frames.gc, frames.ms)
-    ) + ionstats.filter("_bad").count()
+    n_bad = _count_bad(samples, peaks, ionstats, frames.idl, frames.dr, frames.gc, frames.ms)
     if n_bad:
         problems.append(f"{n_bad} rows with cells that do not fit")
     if problems and strict:
@@ -115,9 +116,7 @@ def load_export(
         "sample": sample_rows(samples, ionstats),
         "peaktable": peaks.filter(F.col("peaktable_id").isNotNull()),
     }
-    report = spark.createDataFrame(
-        [_report(tables, samples, peaks, last, n_rejected, n_bad)], LOADS
-    )
+    report = _report(spark, tables, samples, peaks, last, n_rejected, n_bad)
     append_load(root, load, tables, report)
     return report
 
@@ -230,29 +229,54 @@ def _first(frame: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return frame.groupBy(key).agg(first).select(key, "_row.*")
 
 
+def _count_bad(*frames: DataFrame) -> int:
+    """Rows marked bad in all frames together, in one job."""
+    counts = [f.agg(F.count(F.when(F.col("_bad"), 1)).alias("n")) for f in frames]
+    return reduce(DataFrame.union, counts).agg(F.sum("n")).first()[0]
+
+
 def _report(
-    tables: dict[str, DataFrame], samples: DataFrame, peaks: DataFrame, last: LastIds,
-    n_rejected: int, n_bad: int,
-) -> tuple:
-    names = samples.groupBy("dataset_id", "samplename").count().filter("count > 1")
-    counts = {t: tables[t].count() for t in ("idl", "dynamicrange", "dataset", "ionstats")}
-    n_samples = samples.count()
-    linked, orphans = peaks.agg(
-        F.count("peaktable_id"), F.count(F.when(F.col("peaktable_id").isNull(), 1))
-    ).first()
-    return (
-        counts["dataset"],
-        n_rejected,
-        tables["dataset"].filter(F.col("instrument").isNull()).count(),
-        n_samples,
-        names.count(),
-        counts["ionstats"],
-        linked,
-        orphans,
-        n_bad,
-        last.idl + counts["idl"],
-        last.dr + counts["dynamicrange"],
-        last.ionstats + counts["ionstats"],
-        last.sample + n_samples,
-        last.peaktable + linked,
+    spark: SparkSession, tables: dict[str, DataFrame], samples: DataFrame, peaks: DataFrame,
+    last: LastIds, n_rejected: int, n_bad: int,
+) -> DataFrame:
+    """The load's row in the ``loads`` table, from the staged tables in one job."""
+    repeated = samples.groupBy("dataset_id", "samplename").count().filter("count > 1")
+    orphans = peaks.filter(F.col("peaktable_id").isNull())
+    no_instrument = tables["dataset"].filter(F.col("instrument").isNull())
+    counted = {
+        "n_datasets": tables["dataset"],
+        "n_without_instrument": no_instrument,
+        "n_samples": samples,
+        "n_repeated_names": repeated,
+        "n_ionstats": tables["ionstats"],
+        "n_peaks": tables["peaktable"],
+        "n_orphan_peaks": orphans,
+        "n_idl": tables["idl"],
+        "n_dr": tables["dynamicrange"],
+    }
+    rows = reduce(
+        DataFrame.union,
+        [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in counted.items()],
     )
+    n = {r["name"]: r["n"] for r in rows.collect()}
+    values = {
+        **n,
+        "n_rejected_datasets": n_rejected,
+        "n_bad_rows": n_bad,
+        "last_idl_id": last.idl + n["n_idl"],
+        "last_dr_id": last.dr + n["n_dr"],
+        "last_ionstats_id": last.ionstats + n["n_ionstats"],
+        "last_sample_id": last.sample + n["n_samples"],
+        "last_peaktable_id": last.peaktable + n["n_peaks"],
+    }
+    return spark.createDataFrame([tuple(values[c] for c in LOADS.names)], LOADS)
+
+
+def _nothing_loaded(
+    spark: SparkSession, root: str, load: str, last: LastIds, n_rejected: int
+) -> DataFrame:
+    values = {f"last_{f.name}_id": getattr(last, f.name) for f in fields(last)}
+    values["n_rejected_datasets"] = n_rejected
+    report = spark.createDataFrame([tuple(values.get(c, 0) for c in LOADS.names)], LOADS)
+    append_load(root, load, {}, report)
+    return report

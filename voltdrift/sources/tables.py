@@ -69,7 +69,10 @@ def read_table(spark: SparkSession, root: str, table: str, loads: list[str]) ->
 def bootstrap(spark: SparkSession, root: str) -> None:
     """Create all tables empty, dropping what is there."""
     for table, schema in {**TABLES, "loads": LOADS}.items():
-        empty = spark.createDataFrame([], _with_load(schema))
+        no_rows = spark.range(0)
+        empty = no_rows.select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in _with_load(schema)]
+        )
         empty.write.mode("overwrite").partitionBy("load").parquet(f"{root}/{table}")
 
 
