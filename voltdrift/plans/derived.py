@@ -29,7 +29,7 @@ from voltdrift.plans.reports import (
     injection_replicates,
     named_samples,
     sensitivity,
-    set_attributes,
+    with_set_attributes,
 )
 from voltdrift.sources.sinks import write_csv
 from voltdrift.sources.tables import InstrumentTables
@@ -53,7 +53,7 @@ METRIC_LABELS = {
 
 
 def drift_curve(
-    tables: InstrumentTables, prefix: str = ALKANE_PREFIX,
+    tables: InstrumentTables, prefix: str = ALKANE_PREFIX, bucket_size: int = 3,
     name_pattern: str = SAMPLE_NAME_PATTERN, max_rows: int = MAX_ROWS, ordered: bool = True,
 ) -> DataFrame:
     """Area per ion against the number of injections made so far.
@@ -69,27 +69,25 @@ def drift_curve(
         reps.select("setname", "s_name", "reps", "seq"),
         "setname", ["seq", "s_name"], "reps", "cumulative_inj", "position", crowded, max_rows,
     ).select(
-        F.col("setname").alias("dataset"),
+        F.col("setname").alias("dataset_id"),
         F.col("position").alias("dm_api_group"),
         F.col("s_name").alias("sample"),
         parsed_concentration(F.col("s_name"), name_pattern).alias("conc_pg"),
         "cumulative_inj",
     )
-    measured = detector_measurement_means(tables, prefix, max_rows=max_rows, ordered=False)
-    attributes = set_attributes(tables, "offset_volts").withColumnRenamed("dataset_id", "dataset")
+    measured = detector_measurement_means(tables, prefix, bucket_size, max_rows, ordered=False)
+    points = measured.select(
+        F.col("setname").alias("dataset_id"),
+        "dm_api_group",
+        F.col("detectorvoltage").alias("det_volts"),
+        "ave_api",
+    ).join(injected, ["dataset_id", "dm_api_group"], "left")
     curve = (
-        measured.select(
-            F.col("setname").alias("dataset"),
-            "dm_api_group",
-            F.col("detectorvoltage").alias("det_volts"),
-            "ave_api",
-        )
-        .join(injected, ["dataset", "dm_api_group"], "left")
-        .join(attributes, "dataset")
+        with_set_attributes(points, tables, "offset_volts")
         .fillna(0, ["conc_pg", "cumulative_inj"])
         .select(
-            "dataset", "inst", "offset_volts", "dm_api_group", "sample", "conc_pg",
-            "cumulative_inj", "det_volts", "ave_api",
+            F.col("dataset_id").alias("dataset"), "inst", "offset_volts", "dm_api_group",
+            "sample", "conc_pg", "cumulative_inj", "det_volts", "ave_api",
         )
     )
     return curve.orderBy(*ascending(CURVE_ORDER)) if ordered else curve

@@ -80,10 +80,9 @@ def analyte_replicate_stats(
             masked_when(kind == TARGET, F.col("similairity")).alias("similarity"),
         )
         .join(tables.sample.select("sample_id", "dataset_id"), "sample_id")
-        .join(set_attributes(tables, "det_offset"), "dataset_id")
     )
     stats = replicate_stats(
-        flat,
+        with_set_attributes(flat, tables, "det_offset"),
         ["inst", "det_offset"],
         [
             Measure("area", 0, 0),
@@ -150,10 +149,11 @@ def injection_replicates(
     )
     ranked = with_rank(named, "dataset_id", ACQUIRED, "rn", crowded, max_rows)
     first = [F.min("rn").alias("first_seq")] if with_first else []
+    counts = ranked.groupBy("dataset_id", "s_name").agg(
+        F.count("s_name").alias("reps"), F.sum("rn").alias("seq"), *first
+    )
     reps = (
-        ranked.groupBy("dataset_id", "s_name")
-        .agg(F.count("s_name").alias("reps"), F.sum("rn").alias("seq"), *first)
-        .join(set_attributes(tables, "offset_volts"), "dataset_id")
+        with_set_attributes(counts, tables, "offset_volts")
         .withColumnRenamed("dataset_id", "setname")
         .select(
             "setname", "inst", "offset_volts", "s_name", "reps", "seq",
@@ -167,8 +167,8 @@ def gain_optimization_start_end(
     tables: InstrumentTables, prefix: str = ALKANE_PREFIX, ordered: bool = True
 ) -> DataFrame:
     """Voltage and area per ion of the first and second gain optimization."""
-    pivot = _first_two_optimizations(tables, prefix).join(
-        set_attributes(tables, "offset_volts"), "dataset_id"
+    pivot = with_set_attributes(
+        _first_two_optimizations(tables, prefix), tables, "offset_volts"
     )
     columns = ["starting_go_dv", "starting_go_api", "ending_go_dv", "ending_go_api"]
     report = pivot.select(F.col("dataset_id").alias("setname"), "inst", "offset_volts", *columns)
@@ -191,19 +191,16 @@ def measurement_and_optimization_summary(
         F.avg(kept_when(F.col("rn") <= starting, api)).cast("float").alias("ave_start_dm_api"),
         F.avg(kept_when(F.col("rn") > starting, api)).cast("float").alias("ave_end_dm_api"),
     )
-    report = (
-        means.join(_first_two_optimizations(tables, prefix), "dataset_id")
-        .join(set_attributes(tables, "offset_volts"), "dataset_id")
-        .select(
-            "inst",
-            "offset_volts",
-            F.col("starting_go_dv").alias("start_go_dv"),
-            F.col("starting_go_api").alias("start_go_api"),
-            "ave_start_dm_api",
-            "ave_end_dm_api",
-            F.col("ending_go_dv").alias("end_go_dv"),
-            F.col("ending_go_api").alias("end_go_api"),
-        )
+    both = means.join(_first_two_optimizations(tables, prefix), "dataset_id")
+    report = with_set_attributes(both, tables, "offset_volts").select(
+        "inst",
+        "offset_volts",
+        F.col("starting_go_dv").alias("start_go_dv"),
+        F.col("starting_go_api").alias("start_go_api"),
+        "ave_start_dm_api",
+        "ave_end_dm_api",
+        F.col("ending_go_dv").alias("end_go_dv"),
+        F.col("ending_go_api").alias("end_go_api"),
     )
     return _sorted(report, ["offset_volts", "inst"], ordered)
 
@@ -245,7 +242,7 @@ def sensitivity(
     )
     limits = tables.idl.select("idl_id", F.col("idl_value").alias("idl"))
     report = (
-        stats.join(set_attributes(tables, "offset_volts", "idl_id"), "dataset_id")
+        with_set_attributes(stats, tables, "offset_volts", "idl_id")
         .join(limits, "idl_id")
         .select(
             "inst", "offset_volts", "idl",
@@ -264,25 +261,33 @@ def linearity(tables: InstrumentTables) -> DataFrame:
         "concrange_pg_high",
         F.col("correlation_coefficient_r").alias("r"),
     )
+    offsets = tables.ms_method.select(
+        "ms_method_id", F.col("detectoroffset_volts").alias("offset_volts")
+    )
     return (
-        set_attributes(tables, "offset_volts", "dr_id")
+        tables.dataset.select(F.col("instrument").alias("inst"), "ms_method_id", "dr_id")
+        .join(offsets, "ms_method_id")
         .join(dynamic_range, "dr_id")
         .select("inst", "offset_volts", "orders", "concrange_pg_low", "concrange_pg_high", "r")
     )
 
 
-def set_attributes(tables: InstrumentTables, offset_name: str, *keys: str) -> DataFrame:
-    """Instrument and detector offset of each data set, with further key columns."""
+def with_set_attributes(
+    df: DataFrame, tables: InstrumentTables, offset_name: str, *keys: str
+) -> DataFrame:
+    """Add instrument and detector offset of each row's data set, and key columns.
+
+    The dimensions join one after the other, so that each is broadcast or not by
+    its own size.
+    """
+    datasets = tables.dataset.select(
+        "dataset_id", F.col("instrument").alias("inst"), "ms_method_id", *keys
+    )
     offsets = tables.ms_method.select(
         "ms_method_id", F.col("detectoroffset_volts").alias(offset_name)
     )
-    return (
-        tables.dataset.select(
-            "dataset_id", F.col("instrument").alias("inst"), "ms_method_id", *keys
-        )
-        .join(offsets, "ms_method_id")
-        .drop("ms_method_id")
-    )
+    joined = df.join(datasets, "dataset_id").join(offsets, "ms_method_id")
+    return joined.drop("ms_method_id")
 
 
 def named_samples(tables: InstrumentTables, prefix: str) -> DataFrame:

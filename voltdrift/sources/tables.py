@@ -9,6 +9,8 @@ name overwrites what it left behind.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,13 +70,22 @@ def read_table(spark: SparkSession, root: str, table: str, loads: list[str]) ->
 
 def bootstrap(spark: SparkSession, root: str) -> None:
     """Create all tables empty, dropping what is there."""
-    for table, schema in {**TABLES, "loads": LOADS}.items():
-        no_rows = spark.range(0)
-        empty = no_rows.select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in _with_load(schema)]
+    schemas = {**TABLES, "loads": LOADS}
+
+    def create(table: str) -> None:
+        empty = spark.range(0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in _with_load(schemas[table])]
         )
         empty.write.mode("overwrite").partitionBy("load").parquet(f"{root}/{table}")
 
+    _each(create, schemas)
+
+
+def _each(write: Callable[[str], None], tables: Iterable[str]) -> None:
+    """Submit one independent write per table and wait for all; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, tables))
+
 
 def _with_load(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField("load", StringType())])
@@ -89,6 +100,9 @@ def append_load(root: str, load: str, tables: dict[str, DataFrame], report: Data
     """Write one load's rows to every table, then the report that makes them count."""
     if not re.fullmatch(r"[\w.-]+", load):
         raise ValueError(f"load name {load!r} is not fit for a folder name")
-    for table, df in tables.items():
-        conform(df, table).write.mode("overwrite").parquet(f"{root}/{table}/load={load}")
+
+    def write(table: str) -> None:
+        conform(tables[table], table).write.mode("overwrite").parquet(f"{root}/{table}/load={load}")
+
+    _each(write, tables)
     report.select(*LOADS.names).write.mode("overwrite").parquet(f"{root}/loads/load={load}")
