@@ -148,3 +148,17 @@ def test_export_with_row_index(spark, tmp_path):
     plain = str(tmp_path / "plain")
     derived.export_report(df, plain)
     assert read_csv(spark, plain, "name string, n int").columns == ["name", "n"]
+
+
+def test_tabulated_statistics(spark, tmp_path):
+    t = make_tables(
+        spark, ms_method=[method("m0", 150), method("m1", 0)],
+        dataset=[dataset("A"), dataset("B", ms="m1")], sample=[sample(1, "A"), sample(2, "B")],
+        peaktable=[peak(1, "Eicosane (C20)", area=10), peak(2, "Eicosane", area=30)],
+    )
+    stats = derived.tabulated_statistics(t, "C20", 0.02, str(tmp_path))
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema)
+    path = str(tmp_path / "Eicosane_0.02pg_TabulatedResults")
+    back = read_csv(spark, path, f"row_index bigint, {types}")
+    columns = ("row_index", "inst", "det_offset", "ave_area", "stddev_area")
+    assert sorted(rows(back, *columns)) == [(0, "PV1", 0, 30.0, 0.0), (1, "PV1", 150, 10.0, 0.0)]

@@ -347,5 +347,5 @@ GROUP BY dr_id""",
     FROM orders),
 m_set AS (""",
     )
-    + "SELECT * FROM report",
+    + "SELECT * REPLACE (CAST(det_offset AS SMALLINT) AS det_offset) FROM report",
 }

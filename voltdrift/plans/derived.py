@@ -136,6 +136,25 @@ def metric_series(tables: InstrumentTables, analytes: Sequence[str], concentrati
     )
 
 
+def analyte_names(group: str) -> tuple[str, ...]:
+    """The names under which a catalogue group's peaks are reported."""
+    return next(names for g, names, _, _ in ANALYTES if g == group)
+
+
+def tabulated_statistics(
+    tables: InstrumentTables, group: str, concentration_pg, folder: str
+) -> DataFrame:
+    """Write R2 for a catalogue group, NULLs as 0 and rows indexed, as CSV.
+
+    The files go to ``<folder>/<short name>_<amount>pg_TabulatedResults``.
+    """
+    analyte_id = next(short for g, _, short, _ in ANALYTES if g == group)
+    stats = zero_filled(analyte_replicate_stats(tables, analyte_names(group), concentration_pg))
+    name = f"{export_prefix(analyte_id, concentration_pg)}_TabulatedResults"
+    export_report(stats, f"{folder}/{name}", ["det_offset", "inst"])
+    return stats
+
+
 def tetradecane_metric_series(
     tables: InstrumentTables, concentration_pg=TETRADECANE_PG
 ) -> DataFrame:

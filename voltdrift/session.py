@@ -29,11 +29,13 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only a local master may go without
-    that setting, and then gets a temporary folder that goes with the process.
+    It lies under ``spark.checkpoint.dir``, or the context's checkpoint folder
+    where only that is set. Only a local master may go without either, and then
+    gets a temporary folder that goes with the process.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    app = spark.sparkContext.applicationId
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    app = context.applicationId
     if configured:
         base = f"{configured.rstrip('/')}/{app}"
     elif spark.conf.get("spark.master", "").startswith("local"):
