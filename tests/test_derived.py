@@ -66,15 +66,22 @@ def test_curve_labels(curve):
 
 @pytest.mark.parametrize("max_rows", [1000, 2])
 def test_last_cumulative_count_is_the_number_of_injections(spark, max_rows):
-    from voltdrift.plans.reports import injection_replicates
     from voltdrift.operators.sequence import with_running_total
+    from voltdrift.plans.reports import injection_replicates
 
-    reps = injection_replicates(drift_tables(spark), max_rows=max_rows, ordered=False)
+    reps = injection_replicates(drift_tables(spark), max_rows=max_rows)
     total = with_running_total(reps, "setname", ["seq", "s_name"], "reps", "cum", "pos", max_rows=1)
     last = total.groupBy("setname").agg({"cum": "max"}).orderBy("setname")
     assert rows(last) == [("Alk1", 3), ("Alk2", 1)]
 
 
+@pytest.mark.parametrize("max_rows", [3, 2])
+def test_crowded_data_sets_give_the_same_curve(spark, max_rows):
+    tables = drift_tables(spark)
+    usual = derived.drift_curve(tables, bucket_size=1)
+    assert rows(derived.drift_curve(tables, bucket_size=1, max_rows=max_rows)) == rows(usual)
+
+
 def test_metric_series_fills_and_labels(spark):
     t = make_tables(
         spark, ms_method=[method()], dataset=[dataset("A", "PV1"), dataset("B", "PV9")],

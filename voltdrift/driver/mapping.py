@@ -103,7 +103,8 @@ def export_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The same campaign as the instrument would export it, headers and all.
 
     Injections have names of their own here, since peaks refer to samples by
-    name. Samples of status P come from no instrument.
+    name. Samples of status P come from no instrument. Data sets in debt have no
+    detection limit, households no dynamic range.
     """
     nation, customer = read(spark, sf_dir, "nation"), read(spark, sf_dir, "customer")
     supplier, orders = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "orders")
@@ -128,7 +129,7 @@ def export_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "l_partkey AS `Quant S/N`", "concat('Inj-', l_orderkey) AS Sample",
             "l_discount AS Concentration_pg",
         ),
-        "IDL": customer.filter("c_custkey % 3 <> 0").selectExpr(
+        "IDL": customer.filter("c_acctbal > 0").selectExpr(
             dataset, "0.02 AS Concentration", "c_acctbal / 1000000 AS IDL"
         ),
         "GC": with_nation.selectExpr(
@@ -140,7 +141,7 @@ def export_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "50 AS MassRange_Bottom", "500 AS MassRange_Top", "30 AS ExtractionFrequency",
             "n_regionkey * 100 AS DetectorOffset_Volts",
         ),
-        "DR": customer.filter("c_custkey % 4 <> 0")
+        "DR": customer.filter("c_mktsegment <> 'HOUSEHOLD'")
         .join(supplier, customer.c_custkey % 10 == supplier.s_suppkey)
         .selectExpr(
             dataset, "s_acctbal / 1000 AS OrdersOfMagnitude",

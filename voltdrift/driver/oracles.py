@@ -277,7 +277,7 @@ WITH idl AS (
 dr AS (
     SELECT {set_id('c_custkey')} AS dataset_id, s_acctbal / 1000 AS ordersofmagnitude,
         row_number() OVER (ORDER BY {set_id('c_custkey')}) AS dr_id
-    FROM customer JOIN supplier ON s_suppkey = c_custkey % 10 WHERE c_custkey % 4 <> 0)
+    FROM customer JOIN supplier ON s_suppkey = c_custkey % 10 WHERE c_mktsegment <> 'HOUSEHOLD')
 SELECT {set_id('c_custkey')} AS dataset_id, idl_id, idl_value, concentration_pg, dr_id,
     ordersofmagnitude
 FROM customer LEFT JOIN idl ON idl.dataset_id = {set_id('c_custkey')}

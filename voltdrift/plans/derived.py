@@ -24,10 +24,9 @@ from voltdrift.plans.reports import (
     TETRADECANE_NAMES,
     TETRADECANE_PG,
     analyte_replicate_stats,
-    detector_measurement_means,
+    bucket_means,
     gain_optimization_start_end,
-    injection_replicates,
-    named_samples,
+    replicate_counts,
     sensitivity,
     with_set_attributes,
 )
@@ -63,25 +62,23 @@ def drift_curve(
     injection order (R6), bucket 0 with no injection yet. How the two combine is
     this library's definition.
     """
-    crowded = crowded_keys(named_samples(tables, prefix), "dataset_id", max_rows)
-    reps = injection_replicates(tables, prefix, max_rows, ordered=False, crowded=crowded)
+    # one count for both sides, over all samples either of them ranks
+    either = F.col("dataset_id").startswith(prefix) | F.col("samplename").startswith(prefix)
+    crowded = crowded_keys(tables.sample.filter(either), "dataset_id", max_rows)
     injected = with_running_total(
-        reps.select("setname", "s_name", "reps", "seq"),
-        "setname", ["seq", "s_name"], "reps", "cumulative_inj", "position", crowded, max_rows,
+        replicate_counts(tables, prefix, max_rows, crowded),
+        "dataset_id", ["seq", "s_name"], "reps", "cumulative_inj", "position", crowded, max_rows,
     ).select(
-        F.col("setname").alias("dataset_id"),
+        "dataset_id",
         F.col("position").alias("dm_api_group"),
         F.col("s_name").alias("sample"),
         parsed_concentration(F.col("s_name"), name_pattern).alias("conc_pg"),
         "cumulative_inj",
     )
-    measured = detector_measurement_means(tables, prefix, bucket_size, max_rows, ordered=False)
-    points = measured.select(
-        F.col("setname").alias("dataset_id"),
-        "dm_api_group",
-        F.col("detectorvoltage").alias("det_volts"),
-        "ave_api",
-    ).join(injected, ["dataset_id", "dm_api_group"], "left")
+    measured = bucket_means(tables, prefix, bucket_size, max_rows, crowded)
+    points = measured.withColumnRenamed("voltage", "det_volts").join(
+        injected, ["dataset_id", "dm_api_group"], "left"
+    )
     curve = (
         with_set_attributes(points, tables, "offset_volts")
         .fillna(0, ["conc_pg", "cumulative_inj"])

@@ -108,35 +108,44 @@ def tetradecane_replicate_stats(
 
 def detector_measurement_means(
     tables: InstrumentTables, prefix: str = ALKANE_PREFIX, bucket_size: int = 3,
-    max_rows: int = MAX_ROWS, ordered: bool = True,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Mean area per ion of each three consecutive detector measurements.
 
     A bucket measured at two voltages gives two rows.
     """
+    means = bucket_means(tables, prefix, bucket_size, max_rows).join(
+        tables.dataset.select("dataset_id"), "dataset_id"
+    )
+    return means.select(
+        F.col("dataset_id").alias("setname"),
+        F.col("voltage").alias("detectorvoltage"),
+        "ave_api",
+        "dm_api_group",
+    ).orderBy(*ascending(["setname", "dm_api_group", "detectorvoltage"]))
+
+
+def bucket_means(
+    tables: InstrumentTables, prefix: str, bucket_size: int, max_rows: int,
+    crowded: dict | None = None,
+) -> DataFrame:
+    """The means of R5 by data set key."""
     measured = _ion_samples(tables, DETECTOR_MEASUREMENT, prefix)
+    if crowded is None:
+        crowded = crowded_keys(measured, "dataset_id", max_rows)
     ranked = with_rank(
-        _with_ion_stats(measured, tables), "dataset_id", ACQUIRED, "rn",
-        crowded_keys(measured, "dataset_id", max_rows), max_rows,
+        _with_ion_stats(measured, tables), "dataset_id", ACQUIRED, "rn", crowded, max_rows
     )
-    means = (
+    return (
         ranked.withColumn("dm_api_group", bucket_of(F.col("rn"), bucket_size))
         .groupBy("dataset_id", "dm_api_group", "voltage")
         .agg(F.avg("areaperion").alias("ave_api"))
-        .join(tables.dataset.select("dataset_id"), "dataset_id")
-        .select(
-            F.col("dataset_id").alias("setname"),
-            F.col("voltage").alias("detectorvoltage"),
-            "ave_api",
-            "dm_api_group",
-        )
     )
-    return _sorted(means, ["setname", "dm_api_group", "detectorvoltage"], ordered)
 
 
 def injection_replicates(
     tables: InstrumentTables, prefix: str = ALKANE_PREFIX, max_rows: int = MAX_ROWS,
-    ordered: bool = True, with_first: bool = False, crowded: dict | None = None,
+    with_first: bool = False,
 ) -> DataFrame:
     """How often each sample name was injected, in acquisition order.
 
@@ -144,23 +153,27 @@ def injection_replicates(
     grows with the number of replicates, so ``with_first`` also gives
     ``first_seq``, the number of the first injection.
     """
-    named = named_samples(tables, prefix).select(
+    counts = replicate_counts(tables, prefix, max_rows)
+    reps = with_set_attributes(counts, tables, "offset_volts")
+    columns = ["inst", "offset_volts", "s_name", "reps", "seq"]
+    return reps.select(
+        F.col("dataset_id").alias("setname"), *columns, *(["first_seq"] if with_first else [])
+    ).orderBy(*ascending(["setname", "seq", "s_name"]))
+
+
+def replicate_counts(
+    tables: InstrumentTables, prefix: str, max_rows: int, crowded: dict | None = None
+) -> DataFrame:
+    """The counts of R6 by data set key."""
+    named = tables.sample.filter(
+        F.col("samplename").startswith(prefix) & F.col("dataset_id").isNotNull()
+    ).select(
         "dataset_id", *ACQUIRED, without_replicate_suffix(F.col("samplename")).alias("s_name")
     )
     ranked = with_rank(named, "dataset_id", ACQUIRED, "rn", crowded, max_rows)
-    first = [F.min("rn").alias("first_seq")] if with_first else []
-    counts = ranked.groupBy("dataset_id", "s_name").agg(
-        F.count("s_name").alias("reps"), F.sum("rn").alias("seq"), *first
-    )
-    reps = (
-        with_set_attributes(counts, tables, "offset_volts")
-        .withColumnRenamed("dataset_id", "setname")
-        .select(
-            "setname", "inst", "offset_volts", "s_name", "reps", "seq",
-            *(["first_seq"] if with_first else []),
-        )
+    return ranked.groupBy("dataset_id", "s_name").agg(
+        F.count("s_name").alias("reps"), F.sum("rn").alias("seq"), F.min("rn").alias("first_seq")
     )
-    return _sorted(reps, ["setname", "seq", "s_name"], ordered)
 
 
 def gain_optimization_start_end(
@@ -177,7 +190,7 @@ def gain_optimization_start_end(
 
 def measurement_and_optimization_summary(
     tables: InstrumentTables, prefix: str = OFN_PREFIX, starting: int = 3,
-    max_rows: int = MAX_ROWS, ordered: bool = True,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Mean area per ion at the start (first three) and afterwards, per data
     set and detector voltage, beside the first and second gain optimization."""
@@ -202,7 +215,7 @@ def measurement_and_optimization_summary(
         F.col("ending_go_dv").alias("end_go_dv"),
         F.col("ending_go_api").alias("end_go_api"),
     )
-    return _sorted(report, ["offset_volts", "inst"], ordered)
+    return report.orderBy(*ascending(["offset_volts", "inst"]))
 
 
 def sensitivity(
@@ -290,13 +303,6 @@ def with_set_attributes(
     return joined.drop("ms_method_id")
 
 
-def named_samples(tables: InstrumentTables, prefix: str) -> DataFrame:
-    """Samples whose name starts with ``prefix``."""
-    return tables.sample.filter(
-        F.col("samplename").startswith(prefix) & F.col("dataset_id").isNotNull()
-    )
-
-
 def _ion_samples(tables: InstrumentTables, sample_type: str, prefix: str) -> DataFrame:
     """Samples of one measurement type that carry ion statistics."""
     return tables.sample.filter(
