@@ -1,6 +1,7 @@
 """Loading hand-written exports: linking, keys, quirks, rejection, repetition."""
 
 import csv
+import random
 
 import pytest
 
@@ -169,6 +170,96 @@ def test_unknown_method_rejects(spark, store, tmp_path):
         load(spark, store, tmp_path / "in", "a")
 
 
+def test_long_names_reject(spark, store, tmp_path):
+    longer = [(*s[:8], "PV12" if s[8] == "PV1" else s[8], *s[9:]) for s in SAMPLES]
+    export(tmp_path / "in", "S1", samples=longer, gc=[("gc 1", "10", "1D x", "7.5")])
+    with pytest.raises(ingest.RejectedLoad, match="longer instrument.*longer chromatrography"):
+        load(spark, store, tmp_path / "in", "a")
+
+
+def row_by_row(exports):
+    """What loading one export after the other, row by row, leaves behind."""
+    t = {name: [] for name in TABLES}
+    for dataset_id in sorted(exports):
+        e = exports[dataset_id]
+        keys = {}
+        for frame, table, width in (("idl", "idl", 2), ("dr", "dynamicrange", 4)):
+            if e[frame]:
+                t[table].append((len(t[table]) + 1, *e[frame][0][:width]))
+                keys[frame] = len(t[table])
+        for frame, table in (("gc", "gc_method"), ("ms", "ms_method")):
+            if e[frame][0][0] not in [m[0] for m in t[table]]:
+                t[table].append(e[frame][0])
+        instrument = None
+        for name in dict.fromkeys(s[8] for s in e["samples"]):
+            if name != "False":
+                instrument = name
+        first = e["samples"][0]
+        t["dataset"].append(
+            (dataset_id, instrument, keys.get("idl"), first[4], first[5], keys.get("dr"))
+        )
+        ion_ids = []
+        for s in e["samples"]:
+            if s[1] in ("Detector Measurement", "Gain Optimization"):
+                t["ionstats"].append((len(t["ionstats"]) + 1, float(s[9]), float(s[10])))
+                ion_ids.append(len(t["ionstats"]))
+            else:
+                ion_ids.append(None)
+        for s, ion_id in zip(e["samples"], ion_ids):
+            t["sample"].append((len(t["sample"]) + 1, s[1], s[2], ion_id, dataset_id))
+            for p in e["peaks"]:
+                if p[10] == s[2]:
+                    t["peaktable"].append((p[0], int(p[2]), len(t["sample"])))
+    return t
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_bulk_load_equals_row_by_row(spark, store, tmp_path, seed):
+    r = random.Random(seed)
+    kinds = ["Sample", "Detector Measurement", "Gain Optimization"]
+    exports = {}
+    for n in range(12):
+        gc, ms = f"gc {r.randrange(4)}", f"ms {r.randrange(4)}"
+        samples = [
+            (str(i), r.choice(kinds), f"s{r.randrange(8)}", "Done", gc, ms, "2018-01-15 08:00:00",
+             "?", r.choice(["False", "PV1", "PV2"]), str(r.randrange(9)), str(r.randrange(9)))
+            for i in range(r.randrange(1, 12))
+        ]
+        peaks = [
+            (r.choice(["OFN", "Eicosane"]), "Target", str(r.randrange(100)), *["1"] * 7,
+             f"s{r.randrange(10)}", "0.5")
+            for _ in range(r.randrange(0, 20))
+        ]
+        exports[f"set{n:02d}"] = dict(
+            samples=samples, peaks=peaks, gc=[(gc, str(n), "1D", "1")],
+            ms=[(ms, str(n), "1", "1", "1", str(n))],
+            idl=[(str(n), "0.5"), ("9", "9")] if r.random() < 0.6 else None,
+            dr=[(str(n), "1", "2", "3")] if r.random() < 0.6 else None,
+        )
+    for dataset_id, e in exports.items():
+        # in the file, the amount comes before the limit
+        idl = e["idl"] and [(pg, limit) for limit, pg in e["idl"]]
+        export(tmp_path / "in", dataset_id, **{**e, "idl": idl})
+    load(spark, store, tmp_path / "in", "a")
+    t, expected = stored(spark, store), row_by_row(exports)
+
+    def same(table, *columns, convert=None):
+        found = sorted(rows(getattr(t, table), *columns), key=repr)
+        wanted = [tuple(convert(v) for v in row) if convert else row for row in expected[table]]
+        assert found == sorted(wanted, key=repr), table
+
+    same("idl", convert=float)
+    same("dynamicrange", convert=float)
+    same("dataset")
+    same("ionstats")
+    methods = {m[0]: int(m[1]) for m in expected["gc_method"]}
+    assert dict(rows(t.gc_method, "gc_method_id", "splitratio")) == methods
+    offsets = {m[0]: int(m[5]) for m in expected["ms_method"]}
+    assert dict(rows(t.ms_method, "ms_method_id", "detectoroffset_volts")) == offsets
+    same("sample", "sample_id", "sampletype", "samplename", "ionstats_id", "dataset_id")
+    same("peaktable", "analyte", "area", "sample_id")
+
+
 def test_unfinished_load_is_not_seen_and_can_be_repeated(spark, store, tmp_path, monkeypatch):
     export(tmp_path / "in", "S1")
     real = ingest.append_load

@@ -20,6 +20,7 @@ from voltdrift.sources.csv_frames import POSITION, ExportFrames
 from voltdrift.sources.schema import (
     DETECTOR_MEASUREMENT,
     GAIN_OPTIMIZATION,
+    LENGTHS,
     NO_INSTRUMENT,
     PRIMARY_KEYS,
 )
@@ -56,8 +57,8 @@ def load_export(
     All or nothing: the load shows once its report is written. A name already
     loaded is left alone and its report returned. Data sets the warehouse holds
     are skipped, or reject the load with ``on_duplicate="fail"``; cells that do
-    not fit their type, or methods that are nowhere defined, reject it unless
-    ``strict`` is off. One load at a time per warehouse.
+    not fit their type or length, or methods that are nowhere defined, reject it
+    unless ``strict`` is off. One load at a time per warehouse.
     """
     loads = read_loads(spark, root)
     done = loads.filter(F.col("load") == load).drop("load")
@@ -100,6 +101,12 @@ def load_export(
         )
         if (n := missing_parents(dataset, key, new.select(key).union(old.select(key)), key).count())
     ]
+    problems += [
+        f"{n} rows of {table} with a longer {column} than {length}"
+        for table, df in (("dataset", dataset), ("gc_method", gc))
+        for column, length in LENGTHS[table].items()
+        if (n := df.filter(F.length(column) > length).count())
+    ]
     n_bad = _count_bad(samples, peaks, ionstats, frames.idl, frames.dr, frames.gc, frames.ms)
     if n_bad:
         problems.append(f"{n_bad} rows with cells that do not fit")

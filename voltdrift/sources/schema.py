@@ -55,6 +55,12 @@ TABLES: dict[str, StructType] = {
     ),
 }
 
+# Text columns of limited length.
+LENGTHS: dict[str, dict[str, int]] = {
+    "dataset": {"instrument": 3},
+    "gc_method": {"chromatrography": 2},
+}
+
 PRIMARY_KEYS: dict[str, str] = {
     "idl": "idl_id",
     "gc_method": "gc_method_id",
