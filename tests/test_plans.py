@@ -1,6 +1,7 @@
 """Physical plans: what reaches the scan, what is shuffled, what never appears."""
 
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -75,3 +76,59 @@ def test_statistics_take_one_shuffle_after_the_joins(stored):
     text = plan(reports.analyte_replicate_stats(stored, ["OFN"], 0.02))
     assert text.count("Exchange hashpartitioning(inst") == 1
     assert text.index("HashAggregate") < text.index("partial_avg")
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Limits at which a few thousand rows count as a large skewed table."""
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, setting in settings.items():
+        spark.conf.set(key, setting)
+    yield
+    for key, setting in before.items():
+        spark.conf.set(key, setting) if setting else spark.conf.unset(key)
+
+
+def test_joins_of_a_crowded_data_set_are_split(spark, small_limits, tmp_path):
+    """A third of all peaks in one sample and data set, no table small enough to broadcast."""
+    key = "if(id % 3 = 0, 0, 1 + pmod(hash(id), 400))"
+    peaks = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id AS peaktable_id", "'OFN' AS analyte", "'Target' AS dataprocessingtype",
+        "xxhash64(id) % 100000 AS area", "xxhash64(id, 1) % 100000 AS height",
+        "smallint(1) AS similairity", "int(id) AS quant_sn", "float(0.02) AS concentration_pg",
+        f"bigint({key}) AS sample_id",
+    )
+    samples = spark.range(0, 401).selectExpr(
+        "id AS sample_id", "timestamp_ntz'2018-01-15 08:00:00' AS datetimestamp",
+        "'Sample' AS sampletype", "'s' AS samplename", "bigint(NULL) AS ionstats_id",
+        "concat('OFN', id) AS dataset_id",
+    )
+    datasets = spark.range(0, 401).selectExpr(
+        "concat('OFN', id) AS dataset_id", "'PV1' AS instrument", "1L AS idl_id",
+        "string(NULL) AS gc_method_id", "'m0' AS ms_method_id", "bigint(NULL) AS dr_id",
+    )
+    stored = {}
+    for name, df in (("peaktable", peaks), ("sample", samples), ("dataset", datasets)):
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.parquet(str(tmp_path / name))
+    t = replace(make_tables(spark, ms_method=[method()], idl=[(1, 0.5, 0.02)]), **stored)
+
+    def joins(df):
+        df.collect()
+        final = plan(df).split("== Initial Plan ==")[0]
+        return re.findall(r"SortMergeJoin(\(skew=true\))? \[(\w+)#", final)
+
+    statistics = dict((column, skew) for skew, column in joins(reports.ofn_replicate_stats(t, 0.02)))
+    assert statistics["sample_id"] and statistics["dataset_id"]
+    # here the data sets meet one row each
+    sensitivity = dict((column, skew) for skew, column in joins(reports.sensitivity(t)))
+    assert sensitivity["sample_id"] and not sensitivity["dataset_id"]
+    assert reports.ofn_replicate_stats(t, 0.02).count() == 1

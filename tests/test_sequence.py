@@ -55,6 +55,15 @@ def test_running_total_matches_brute_force(frame, data, max_rows):
     assert {i: (n, s) for i, n, s in rows(totals, "id", "n", "sum")} == brute_force(data)
 
 
+@pytest.mark.parametrize("max_rows", [100, 3])
+def test_running_total_skips_missing_values(spark, max_rows):
+    values = [None, None, 2, None, None, None, None, 5, None]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "key string, id int, v long")
+    totals = seq.with_running_total(df, "key", ["id"], "v", "sum", "n", max_rows=max_rows)
+    found = [r[1] for r in sorted(rows(totals, "id", "sum"), key=lambda r: r[0])]
+    assert found == [None, None, 2, 2, 2, 2, 2, 7, 7]
+
+
 def test_crowded_keys_are_counted(frame):
     assert seq.crowded_keys(frame, "key", 100) == {"hot": N // 3}
     assert seq.crowded_keys(frame, "key", N) == {}

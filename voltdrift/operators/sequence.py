@@ -78,9 +78,10 @@ def with_running_total(
         placed = _place(part, [key, *order], _ranges(crowded, max_rows))
         within = Window.partitionBy("_range", key).orderBy("_place")
         so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        here, before = F.sum(value).over(so_far), F.col("_before")
         return (
             _carry(placed, key, position, value)
-            .withColumn(total, F.coalesce("_before", F.lit(0)) + F.sum(value).over(so_far))
+            .withColumn(total, F.coalesce(before + here, before, here))
             .drop("_place", "_range", "_before")
         )
 
