@@ -260,21 +260,30 @@ def test_bulk_load_equals_row_by_row(spark, store, tmp_path, seed):
     same("peaktable", "analyte", "area", "sample_id")
 
 
-def test_unfinished_load_is_not_seen_and_can_be_repeated(spark, store, tmp_path, monkeypatch):
+def test_unfinished_load_stays_hidden_and_can_be_repeated(spark, store, tmp_path, monkeypatch):
     export(tmp_path / "in", "S1")
-    real = ingest.append_load
+    export(tmp_path / "other", "S2")
+    real = warehouse._each
 
-    def dies(root, name, tables, report):
-        real(root, name, {"sample": tables["sample"]}, report.limit(0))
+    def dies(write, tables):
+        real(write, ["sample", "peaktable", "dataset"])
         raise OSError("lost")
 
-    monkeypatch.setattr(ingest, "append_load", dies)
-    with pytest.raises(OSError):
-        load(spark, store, tmp_path / "in", "a")
-    assert stored(spark, store).sample.count() == 0
-    monkeypatch.undo()
-    load(spark, store, tmp_path / "in", "a")
+    for name in ("in", "other"):
+        monkeypatch.setattr(warehouse, "_each", dies)
+        with pytest.raises(OSError):
+            load(spark, store, tmp_path / name, name)
+        monkeypatch.undo()
+        assert stored(spark, store).sample.count() == 0
+    # repeated under its name, it counts once
+    load(spark, store, tmp_path / "in", "in")
     assert stored(spark, store).sample.count() == 5
+    # repeated after its data sets came in otherwise, nothing of the first try shows
+    load(spark, store, tmp_path / "other", "otherwise")
+    report = load(spark, store, tmp_path / "other", "other").first()
+    assert (report.n_datasets, report.n_rejected_datasets) == (0, 1)
+    assert stored(spark, store).sample.count() == 10
+    assert stored(spark, store).dataset.count() == 2
 
 
 def test_frame_layouts_and_broken_lines(spark, tmp_path):

@@ -28,6 +28,7 @@ from voltdrift.sources.tables import (
     LOADS,
     InstrumentTables,
     append_load,
+    check_load_name,
     conform,
     read_loads,
 )
@@ -60,6 +61,7 @@ def load_export(
     not fit their type or length, or methods that are nowhere defined, reject it
     unless ``strict`` is off. One load at a time per warehouse.
     """
+    check_load_name(load)
     loads = read_loads(spark, root)
     done = loads.filter(F.col("load") == load).drop("load")
     if not done.isEmpty():
@@ -170,6 +172,7 @@ def dataset_rows(samples: DataFrame, idl: DataFrame, dr: DataFrame) -> DataFrame
     The instrument is the last distinct name, by first appearance, other than
     the mark of samples without one; NULL if there is none.
     """
+    samples = samples.filter(F.col("dataset_id").isNotNull())
     methods = samples.groupBy("dataset_id").agg(
         F.min_by("gc_method_id", "sample_id").alias("gc_method_id"),
         F.min_by("ms_method_id", "sample_id").alias("ms_method_id"),
@@ -208,10 +211,12 @@ def ionstats_rows(samples: DataFrame, after: int = 0) -> DataFrame:
 
 
 def sample_rows(samples: DataFrame, ionstats: DataFrame) -> DataFrame:
-    """Samples in table form; those without a measurement have no ion statistics."""
-    return conform(
-        samples.join(ionstats.select("sample_id", "ionstats_id"), "sample_id", "left"), "sample"
-    )
+    """Samples in table form; those without a measurement have no ion statistics.
+
+    Sorted within partitions by what the reports filter on, to skip row groups.
+    """
+    linked = samples.join(ionstats.select("sample_id", "ionstats_id"), "sample_id", "left")
+    return conform(linked, "sample").sortWithinPartitions("sampletype", "dataset_id")
 
 
 def link_peaks(peaks: DataFrame, samples: DataFrame, after: int = 0) -> DataFrame:

@@ -73,14 +73,16 @@ def bootstrap(spark: SparkSession, root: str) -> None:
     schemas = {**TABLES, "loads": LOADS}
 
     def create(table: str) -> None:
-        empty = spark.range(0).select(
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in _with_load(schemas[table])]
-        )
+        empty = _no_rows(spark, _with_load(schemas[table]))
         empty.write.mode("overwrite").partitionBy("load").parquet(f"{root}/{table}")
 
     _each(create, schemas)
 
 
+def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def _each(write: Callable[[str], None], tables: Iterable[str]) -> None:
     """Submit one independent write per table and wait for all; the first error is raised."""
     with ThreadPoolExecutor(max_workers=4) as pool:
@@ -96,13 +98,22 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields])
 
 
-def append_load(root: str, load: str, tables: dict[str, DataFrame], report: DataFrame) -> None:
-    """Write one load's rows to every table, then the report that makes them count."""
+def check_load_name(load: str) -> None:
     if not re.fullmatch(r"[\w.-]+", load):
         raise ValueError(f"load name {load!r} is not fit for a folder name")
 
+
+def append_load(root: str, load: str, tables: dict[str, DataFrame], report: DataFrame) -> None:
+    """Write one load's rows to every table, then the report that makes them count.
+
+    A table not given gets no rows, so that nothing an unfinished run of this
+    load left there can come to light.
+    """
+    check_load_name(load)
+
     def write(table: str) -> None:
-        conform(tables[table], table).write.mode("overwrite").parquet(f"{root}/{table}/load={load}")
+        df = tables[table] if table in tables else _no_rows(report.sparkSession, TABLES[table])
+        conform(df, table).write.mode("overwrite").parquet(f"{root}/{table}/load={load}")
 
-    _each(write, tables)
+    _each(write, TABLES)
     report.select(*LOADS.names).write.mode("overwrite").parquet(f"{root}/loads/load={load}")
