@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltdrift.llm.decontaminate import op5_decontamination
+from voltdrift.llm.packing import op9_packing
 from voltdrift.llm.simhash_dedup import op2_simhash_neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_neardup": op2_simhash_neardup,
+    "op5_decontamination": op5_decontamination,
+    "op9_packing": op9_packing,
 }
 ORACLES: dict[str, str] = {}
