@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voltdrift.llm.decontaminate import op5_decontamination
+from voltdrift.llm.line_quality import op3_quality
 from voltdrift.llm.packing import op9_packing
 from voltdrift.llm.simhash_dedup import op2_simhash_neardup
+from voltdrift.llm.toxicity import op10_toxicity
+from voltdrift.llm.word_language import op6_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_neardup": op2_simhash_neardup,
+    "op3_quality": op3_quality,
     "op5_decontamination": op5_decontamination,
+    "op6_language": op6_language,
     "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
