@@ -278,7 +278,4 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_items",
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "longest_words",
-        "longest_start",
-        "longest_item",
     )
