@@ -190,8 +190,10 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Weights:
     """Weights from at most ``sample`` pages with an article or main element, chosen by a hash of id and url."""
-    labelled = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    rows = bounded_sample(labelled.select("page_id", "url", "html"), sample, F.col("page_id"), F.col("url"), F.col("html"))
+    labelled = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]")).select("page_id", "url")
+    chosen = bounded_sample(labelled, sample, F.col("page_id"), F.col("url")).distinct()
+    same = pages["page_id"].eqNullSafe(chosen["page_id"]) & pages["url"].eqNullSafe(chosen["url"])
+    rows = pages.join(F.broadcast(chosen), same, "left_semi").orderBy("page_id", "url", "html").select("html")
     return fitted([r["html"] for r in rows.toLocalIterator()])
 
 
