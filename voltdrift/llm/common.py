@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,25 +17,40 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only a local session without one, as in tests, gets a temporary folder."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = _LOCAL_FOLDERS.get(context.applicationId)
+    if not folder:
+        folder = _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="llm-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from the session's ``spark.checkpoint.dir``.
+    """``df`` computed once and read back from the shared folder, whose files survive the loss of executors."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(_shared_folder(df.sparkSession))
+    return df.checkpoint()
 
-    Files there survive the loss of executors. Only a local session that names no
-    folder, as in tests, gets a temporary one.
+
+def written(df: DataFrame) -> DataFrame:
+    """Like :func:`checkpointed`, by a Parquet table in ``<shared folder>/<application>``, to be removed after the application.
+
+    For large rows, as it is compressed, and for iterations: a checkpoint hands on
+    how its rows are partitioned, and joins of joins add these up until planning
+    them takes longer than running them.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not spark.conf.get("spark.master", "").startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = _LOCAL_FOLDERS.get(context.applicationId)
-            if not folder:
-                folder = _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="llm-")
-                atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{_shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold(doc_id: Column, folds: int) -> Column:

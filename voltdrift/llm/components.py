@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltdrift.llm.common import checkpointed
+from voltdrift.llm.common import written
 
 
 def _roots(pointers: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def _roots(pointers: DataFrame) -> DataFrame:
     """
     while True:
         above = pointers.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-        pointers = checkpointed(
+        pointers = written(
             pointers.join(above, "parent").select("node", F.col("above").alias("parent"), (F.col("above") != F.col("parent")).alias("moved"))
         )
         moved = not pointers.where("moved").isEmpty()
@@ -34,24 +34,24 @@ def connected(edges: DataFrame) -> DataFrame:
     go in a round. A node with many edges is only ever on the many side of a
     join, where AQE splits it. Loops and edges with a NULL end are left out.
     """
-    edges = checkpointed(
+    edges = written(
         edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     labels = None
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         pointers = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("parent"))
-        pointers = _roots(checkpointed(pointers.select("node", F.least("node", "parent").alias("parent"))))
+        pointers = _roots(written(pointers.select("node", F.least("node", "parent").alias("parent"))))
         if labels is None:
             labels = pointers.withColumnRenamed("parent", "label")
         else:
             above = pointers.select(F.col("node").alias("label"), F.col("parent").alias("above"))
             labels = labels.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label"))
-        labels = checkpointed(labels)
+        labels = written(labels)
         to_a = pointers.select(F.col("node").alias("a"), F.col("parent").alias("root_a"))
         to_b = pointers.select(F.col("node").alias("b"), F.col("parent").alias("root_b"))
         moved = edges.join(to_a, "a").join(to_b, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-        edges = checkpointed(
+        edges = written(
             moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         )
     if labels is None:
