@@ -1,6 +1,7 @@
 """Derived outputs on hand-made tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.fixtures import dataset, make_tables, method, peak, rows, sample
 from voltdrift.plans import derived
@@ -46,7 +47,8 @@ def test_drift_curve(curve):
         ("Alk1", "PV1", 150, 0, None, 0.0, 0, 1500.0, 10.0),
         ("Alk1", "PV1", 150, 1, "Alk-1pg", 1.0, 2, 1500.0, 40.0),
         ("Alk1", "PV1", 150, 2, "Alk-2.5pg", 2.5, 3, 1500.0, 60.0),
-        ("Alk1", "PV1", 150, 3, None, 0.0, 0, 1500.0, 70.0),
+        # past the last name, the last total holds
+        ("Alk1", "PV1", 150, 3, None, 0.0, 3, 1500.0, 70.0),
         ("Alk2", "PV2", 150, 0, None, 0.0, 0, 1450.0, 3.0),
     ]
 
@@ -55,31 +57,35 @@ def test_curve_labels(curve):
     series = rows(derived.drift_curve_series(curve), "dataset", "curve_label", "x", "y")
     assert sorted(series, key=repr) == [
         ("Alk1", "Offset: +150 v = 1500.0 v", 0, 10.0),
-        ("Alk1", "Offset: +150 v = 1500.0 v", 0, 70.0),
         ("Alk1", "Offset: +150 v = 1500.0 v", 2, 40.0),
         ("Alk1", "Offset: +150 v = 1500.0 v", 3, 60.0),
+        ("Alk1", "Offset: +150 v = 1500.0 v", 3, 70.0),
         ("Alk2", None, 0, 3.0),
     ]
     labels = {r[0] for r in rows(derived.drift_curve_series(curve, True), "curve_label")}
     assert labels == {"Inst: PV1 - Offset: +150 v = 1500.0 v", None}
 
 
-@pytest.mark.parametrize("max_rows", [1000, 2])
-def test_last_cumulative_count_is_the_number_of_injections(spark, max_rows):
+def test_last_cumulative_count_is_the_number_of_injections(spark):
     from voltdrift.operators.sequence import with_running_total
     from voltdrift.plans.reports import injection_replicates
 
-    reps = injection_replicates(drift_tables(spark), max_rows=max_rows)
-    total = with_running_total(reps, "setname", ["seq", "s_name"], "reps", "cum", "pos", max_rows=1)
+    reps = injection_replicates(drift_tables(spark))
+    total = with_running_total(reps, "setname", ["seq", "s_name"], "reps", "cum", "pos", F.col("seq"))
     last = total.groupBy("setname").agg({"cum": "max"}).orderBy("setname")
     assert rows(last) == [("Alk1", 3), ("Alk2", 1)]
 
 
-@pytest.mark.parametrize("max_rows", [3, 2])
-def test_crowded_data_sets_give_the_same_curve(spark, max_rows):
+def test_curve_by_time_loses_no_injection(spark):
     tables = drift_tables(spark)
-    usual = derived.drift_curve(tables, bucket_size=1)
-    assert rows(derived.drift_curve(tables, bucket_size=1, max_rows=max_rows)) == rows(usual)
+    found = derived.drift_curve(tables, bucket_size=1, pairing="time")
+    assert rows(found, "dataset", "dm_api_group", "sample", "conc_pg", "cumulative_inj", "ave_api") == [
+        ("Alk1", 0, None, 0.0, 0, 10.0), ("Alk1", 1, "Alk-1pg", 1.0, 2, 40.0),
+        ("Alk1", 2, "Alk-2.5pg", 2.5, 3, 60.0), ("Alk1", 3, "Alk-2.5pg", 2.5, 3, 70.0),
+        ("Alk2", 0, None, 0.0, 0, 3.0),
+    ]
+    with pytest.raises(ValueError):
+        derived.drift_curve(tables, pairing="name")
 
 
 def test_metric_series_fills_and_labels(spark):
@@ -88,12 +94,25 @@ def test_metric_series_fills_and_labels(spark):
         sample=[sample(1, "A"), sample(2, "B")],
         peaktable=[peak(1, area=10, height=20, quant_sn=30), peak(2, area=1)],
     )
-    assert rows(derived.metric_series(t, ["OFN"], 0.02)) == [
-        ("PV1", "Peg BT - PV1", 0, "ave_area", "Average Area", 10.0),
-        ("PV1", "Peg BT - PV1", 0, "ave_height", "Average Height", 20.0),
-        ("PV1", "Peg BT - PV1", 0, "ave_quant_sn", "Average Quant S/N", 30.0),
-        ("PV1", "Peg BT - PV1", 0, "ave_similarity", "Average Similarity", 0.0),
+    mass = "Quant Mass = 271.99"
+    found = rows(derived.metric_series(t, ["OFN"], 0.02))
+    assert [r for r in found if r[0] == "PV1"] == [
+        ("PV1", "Peg BT - PV1", 0, "ave_area", "Average Area", mass, "Target", 10.0),
+        ("PV1", "Peg BT - PV1", 0, "ave_height", "Average Height", mass, "Target", 20.0),
+        ("PV1", "Peg BT - PV1", 0, "ave_quant_sn", "Average Quant S/N", mass, "Target", 30.0),
+        ("PV1", "Peg BT - PV1", 0, "ave_similarity", "Average Similarity", mass, "Unknown", 0.0),
     ]
+    # an instrument without a legend goes by its name
+    assert ("PV9", "PV9", 0, "ave_area", "Average Area", mass, "Target", 1.0) in found
+    only = derived.metric_series(t, ["OFN"], 0.02, instruments=["PV9"])
+    assert {r[0] for r in rows(only, "inst")} == {"PV9"} and only.count() == 4
+
+
+def test_all_groups_are_selectable(spark):
+    names = ["OFN", "Tetradecane (C14)", "Eicosane (C20)", "Triacontane (C30)"]
+    t = make_tables(spark, peaktable=[peak(i, n, pg=i / 4) for i, n in enumerate(names)])
+    found = rows(derived.selectable_concentrations(t), "analyte_group", "concentration_pg")
+    assert found == [("C14", 0.25), ("C20", 0.5), ("C30", 0.75), ("OFN", 0.0)]
 
 
 def test_selectable_concentrations_use_the_second_name(spark):
@@ -108,6 +127,8 @@ def test_selectable_concentrations_use_the_second_name(spark):
     assert found == [("C30", 0.25), ("OFN", 0.5)]
     assert derived.analyte_catalogue(spark).count() == 8
     assert derived.export_prefix("OFN", 0.02) == "OFN_0.02pg"
+    assert derived.export_prefix("OFN", 0.019999999552965164) == "OFN_0.02pg"
+    assert derived.export_prefix("OFN", "0.5") == "OFN_0.5pg" and derived.export_prefix("OFN", 5) == "OFN_5pg"
 
 
 def campaign(spark):
@@ -152,6 +173,7 @@ def test_export_with_row_index(spark, tmp_path):
     derived.export_report(df, path, ["n"])
     back = read_csv(spark, path, "row_index bigint, name string, n int")
     assert sorted(rows(back)) == [(0, 'a,"q"', 1), (1, "b", 2), (2, None, 3), (3, "é", 4)]
+    assert not (tmp_path / "report_index").exists()
     plain = str(tmp_path / "plain")
     derived.export_report(df, plain)
     assert read_csv(spark, plain, "name string, n int").columns == ["name", "n"]

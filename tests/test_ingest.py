@@ -8,6 +8,7 @@ import pytest
 from tests.fixtures import rows
 from voltdrift.operators.integrity import duplicate_keys, missing_parents
 from voltdrift.plans import ingest
+from voltdrift.session import materialize
 from voltdrift.sources import tables as warehouse
 from voltdrift.sources.csv_frames import POSITION, read_export, read_frame
 from voltdrift.sources.schema import FOREIGN_KEYS, FRAMES, PRIMARY_KEYS, TABLES
@@ -95,7 +96,7 @@ def test_one_export(spark, store, tmp_path):
         (1, "OFN", 100, 10, None), (4, "it's, \"quoted\"", 3000000000, 20, 800),
         (5, "it's, \"quoted\"", 3000000000, 20, 800),
     ]
-    assert sorted(r[0] for r in rows(t.peaktable, "peaktable_id")) == [1, 2, 3]
+    assert len({r[0] for r in rows(t.peaktable, "peaktable_id")}) == 3
     assert (report.n_datasets, report.n_samples, report.n_peaks) == (1, 5, 3)
     assert (report.n_orphan_peaks, report.n_repeated_names, report.n_bad_rows) == (1, 1, 0)
 
@@ -124,7 +125,15 @@ def test_many_exports_and_loads(spark, store, tmp_path):
     assert rows(t.ms_method) == [("ms 1", 17, 50, 500, 30.0, 250)]
     for table, n in {"idl": 4, "dynamicrange": 6, "ionstats": 12, "sample": 30, "peaktable": 18}.items():
         ids = sorted(r[0] for r in rows(getattr(t, table), PRIMARY_KEYS[table]))
-        assert ids == list(range(1, n + 1)), table
+        if table == "peaktable":  # unique, and those of a later load above those of an earlier
+            assert len(set(ids)) == n
+            one, two = (
+                [r[0] for r in rows(spark.read.parquet(f"{store}/peaktable/load={load_}").select("peaktable_id"))]
+                for load_ in ("one", "two")
+            )
+            assert max(one) < min(two)
+        else:
+            assert ids == list(range(1, n + 1)), table
     for child, key, parent in FOREIGN_KEYS:
         assert missing_parents(getattr(t, child), key, getattr(t, parent), PRIMARY_KEYS[parent]).isEmpty()
     for table, key in PRIMARY_KEYS.items():
@@ -263,14 +272,14 @@ def test_bulk_load_equals_row_by_row(spark, store, tmp_path, seed):
 def test_unfinished_load_stays_hidden_and_can_be_repeated(spark, store, tmp_path, monkeypatch):
     export(tmp_path / "in", "S1")
     export(tmp_path / "other", "S2")
-    real = warehouse._each
+    real = warehouse.each
 
     def dies(write, tables):
-        real(write, ["sample", "peaktable", "dataset"])
+        real(write, ["sample", "dataset"])
         raise OSError("lost")
 
     for name in ("in", "other"):
-        monkeypatch.setattr(warehouse, "_each", dies)
+        monkeypatch.setattr(warehouse, "each", dies)
         with pytest.raises(OSError):
             load(spark, store, tmp_path / name, name)
         monkeypatch.undo()
@@ -286,6 +295,74 @@ def test_unfinished_load_stays_hidden_and_can_be_repeated(spark, store, tmp_path
     assert stored(spark, store).dataset.count() == 2
 
 
+def test_peaks_are_written_once_and_nothing_stays_staged(spark, store, tmp_path, monkeypatch):
+    export(tmp_path / "in", "S1")
+    written = []
+    real = ingest.write_rows
+
+    def counting(root, load_, table, df):
+        written.append(table)
+        return real(root, load_, table, df)
+
+    monkeypatch.setattr(ingest, "write_rows", counting)
+    staged = []
+    monkeypatch.setattr(
+        ingest, "materialize", lambda df, folder: (staged.append(df.columns), materialize(df, folder))[1]
+    )
+    load(spark, store, tmp_path / "in", "a")
+    assert written == ["peaktable"] and not any("analyte" in columns for columns in staged)
+    assert not (tmp_path / "warehouse" / "_staging" / "a").exists()
+    with pytest.raises(ingest.RejectedLoad):
+        export(tmp_path / "bad", "S2", peaks=[("OFN", "Target", "many", *PEAKS[0][3:])])
+        load(spark, store, tmp_path / "bad", "b")
+    assert not (tmp_path / "warehouse" / "_staging" / "b").exists()
+    assert not (tmp_path / "warehouse" / "peaktable" / "load=b").exists()
+
+
+def test_peaks_of_a_new_data_set_without_samples_are_orphans(spark, store, tmp_path):
+    export(tmp_path / "in", "S1")
+    load(spark, store, tmp_path / "in", "a")
+    write(tmp_path / "more" / "S2", "PeakTable", PEAKS)
+    export(tmp_path / "more", "S1")
+    report = load(spark, store, tmp_path / "more", "b").first()
+    assert (report.n_datasets, report.n_rejected_datasets, report.n_orphan_peaks) == (0, 1, 3)
+
+
+def test_load_without_peaks(spark, store, tmp_path):
+    export(tmp_path / "in", "S1", peaks=None)
+    report = load(spark, store, tmp_path / "in", "a").first()
+    assert (report.n_peaks, report.n_orphan_peaks, report.n_samples) == (0, 0, 5)
+
+
+def test_reset_clears_under_dynamic_overwrite(spark, store, tmp_path):
+    export(tmp_path / "in", "S1")
+    load(spark, store, tmp_path / "in", "a")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        warehouse.bootstrap(spark, store)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert stored(spark, store).sample.count() == 0 and warehouse.read_loads(spark, store).count() == 0
+    load(spark, store, tmp_path / "in", "a")
+    assert stored(spark, store).sample.count() == 5
+
+
+def test_finished_load_is_not_written_again(spark, store, tmp_path):
+    export(tmp_path / "in", "S1")
+    report = load(spark, store, tmp_path / "in", "a")
+    with pytest.raises(ValueError, match="already"):
+        warehouse.append_load(store, "a", {}, report)
+    assert stored(spark, store).sample.count() == 5
+
+
+def test_writes_keep_the_callers_properties(spark):
+    context, seen = spark.sparkContext, []
+    context.setLocalProperty("voltdrift.test", "here")
+    warehouse.each(lambda _: seen.append(context.getLocalProperty("voltdrift.test")), ["a", "b"])
+    context.setLocalProperty("voltdrift.test", None)
+    assert seen == ["here", "here"]
+
+
 def test_frame_layouts_and_broken_lines(spark, tmp_path):
     folder = tmp_path / "by_frame" / "IDL"
     folder.mkdir(parents=True)

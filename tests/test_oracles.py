@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from voltdrift.driver.oracles import ORACLES
+from voltdrift.driver.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -33,10 +35,11 @@ def normal(rows, columns):
 
 
 def test_same_keys():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     result = duck.execute(oracle_sql()[name])

@@ -101,8 +101,7 @@ def measurements(kind, dataset_id, values, first_id=1, start=0):
     )
 
 
-@pytest.mark.parametrize("max_rows", [1000, 2])
-def test_buckets_of_three(spark, max_rows):
+def test_buckets_of_three(spark):
     samples, ions = measurements(
         DM, "Alk1", [(1500.0, 1.0), (1500.0, 2.0), (1550.0, 6.0), (1550.0, 8.0)]
     )
@@ -112,12 +111,12 @@ def test_buckets_of_three(spark, max_rows):
         sample=samples + other + [sample(20, "Alk1", 2, GO, "go", 1), sample(21, "Alk1", 0, DM)],
         ionstats=ions + other_ions,
     )
-    result = reports.detector_measurement_means(t, max_rows=max_rows)
+    result = reports.detector_measurement_means(t)
     # the first bucket was measured at two voltages; a sample without ion statistics is out
     assert rows(result, "setname", "dm_api_group", "detectorvoltage", "ave_api") == [
         ("Alk1", 0, 1500.0, 1.5), ("Alk1", 0, 1550.0, 6.0), ("Alk1", 1, 1550.0, 8.0),
     ]
-    by_two = reports.detector_measurement_means(t, bucket_size=2, max_rows=max_rows)
+    by_two = reports.detector_measurement_means(t, bucket_size=2)
     assert rows(by_two, "dm_api_group", "ave_api") == [(0, 1.5), (1, 7.0)]
 
 
@@ -135,15 +134,14 @@ def test_buckets_follow_time_then_id_with_unknown_times_last(spark):
     assert [r[0] for r in rows(result, "ave_api")] == [2.0, 3.0, 4.0, 1.0, 5.0]
 
 
-@pytest.mark.parametrize("max_rows", [1000, 3])
-def test_injection_replicates(spark, max_rows):
+def test_injection_replicates(spark):
     names = ["Alk-1pg:1", "Alk-1pg:2", "Alk-1pg:3", "Alk-5pg", "Blank", "Alk-9pg:10"]
     t = make_tables(
         spark, ms_method=[method(offset=250)], dataset=[dataset("Set1"), dataset("Set2")],
         sample=[sample(i + 1, "Set1", i, name=n) for i, n in enumerate(names)]
         + [sample(50, "Set2", 0, name="Alk-1pg:1"), sample(51, None, 0, name="Alk-1pg")],
     )
-    result = reports.injection_replicates(t, max_rows=max_rows, with_first=True)
+    result = reports.injection_replicates(t, with_first=True)
     assert rows(result) == [
         # seq is the sum of acquisition numbers: 4 comes before 1+2+3
         ("Set1", "PV1", 250, "Alk-5pg", 1, 4, 4),
@@ -167,8 +165,7 @@ def test_gain_optimization_start_and_end(spark):
     ]
 
 
-@pytest.mark.parametrize("max_rows", [1000, 2])
-def test_measurement_and_optimization_summary(spark, max_rows):
+def test_measurement_and_optimization_summary(spark):
     dm, dm_ions = measurements(DM, "OFN1", [(1500.0, x) for x in (1.0, 2.0, 3.0, 10.0, 20.0)])
     two, two_ions = measurements(DM, "OFN2", [(1500.0, 1.0), (1600.0, 2.0)], first_id=10)
     alone, alone_ions = measurements(DM, "OFN3", [(1500.0, 1.0)], first_id=20)
@@ -179,7 +176,7 @@ def test_measurement_and_optimization_summary(spark, max_rows):
         dataset=[dataset("OFN1", "PV1"), dataset("OFN2", "PV2"), dataset("OFN3", "PV3")],
         sample=dm + two + alone + g1 + g2, ionstats=dm_ions + two_ions + alone_ions + gi1 + gi2,
     )
-    result = reports.measurement_and_optimization_summary(t, max_rows=max_rows)
+    result = reports.measurement_and_optimization_summary(t)
     # OFN3 lacks the optimization side; OFN2 has a row per voltage
     assert sorted(rows(result)) == [
         ("PV1", 150, 1490.0, 7.0, 2.0, 15.0, 1500.0, 8.0),

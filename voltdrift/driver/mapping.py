@@ -37,12 +37,14 @@ def set_id(key: str) -> str:
 
 SAMPLE_TYPE = """decode(o_orderstatus,
     'F', 'Detector Measurement', 'O', 'Gain Optimization', 'P', 'Sample')"""
-SAMPLE_NAME = """concat('Alk-', substring(o_orderpriority, 1, 1), 'pg',
+SAMPLE_NAME = """concat('Alk-', if(o_orderpriority < '3', '1', '5'), 'pg',
     if(o_orderkey % 3 = 0, '', concat(':', o_orderkey % 3)))"""
 MEASURED = "o_orderstatus IN ('F', 'O')"
 VOLTAGE = "1500 + o_custkey % 4 * 50"
 INSTRUMENT = "if(c_mktsegment IN ('AUTOMOBILE', 'BUILDING'), 'PV1', 'PV2')"
-ANALYTE = "decode(l_returnflag, 'A', 'OFN', 'R', 'Perfluoronaphthalene', 'N', 'Tetradecane')"
+ANALYTE = """decode(l_returnflag, 'A', 'OFN', 'R', 'Perfluoronaphthalene', 'N',
+    decode(l_linenumber, 4, 'Tetradecane (C14)', 5, 'Eicosane (C20)', 6, 'Triacontane (C30)',
+        'Tetradecane'))"""
 PROCESSING = "decode(l_linestatus, 'O', 'Unknown', 'F', 'Target')"
 
 
@@ -54,7 +56,7 @@ def instrument_tables(spark: SparkSession, sf_dir: str) -> InstrumentTables:
             "float(0.02) AS concentration_pg",
         ),
         gc_method=nation.selectExpr(
-            "n_name AS gc_method_id", "smallint(NULL) AS splitratio", "'1D' AS chromatrography",
+            "string(n_nationkey) AS gc_method_id", "smallint(NULL) AS splitratio", "'1D' AS chromatrography",
             "float(NULL) AS runtime_min",
         ),
         ms_method=nation.selectExpr(
@@ -69,7 +71,7 @@ def instrument_tables(spark: SparkSession, sf_dir: str) -> InstrumentTables:
         ),
         dataset=customer.selectExpr(
             f"{set_id('c_custkey')} AS dataset_id", f"{INSTRUMENT} AS instrument",
-            "if(c_custkey % 3 = 0, NULL, c_custkey) AS idl_id", "string(NULL) AS gc_method_id",
+            "if(c_custkey % 3 = 0, NULL, c_custkey) AS idl_id", "string(c_nationkey) AS gc_method_id",
             "c_nationkey AS ms_method_id", "if(c_custkey % 4 = 0, NULL, c_custkey % 10) AS dr_id",
         ),
         ionstats=ion_stats(spark, sf_dir),

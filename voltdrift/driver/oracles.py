@@ -13,10 +13,11 @@ def set_id(key: str) -> str:
 INSTRUMENT = "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'PV1' ELSE 'PV2' END"
 SAMPLE_TYPE = """CASE o_orderstatus WHEN 'F' THEN 'Detector Measurement'
         WHEN 'O' THEN 'Gain Optimization' WHEN 'P' THEN 'Sample' END"""
-SAMPLE_NAME = """('Alk-' || substr(o_orderpriority, 1, 1) || 'pg' ||
+SAMPLE_NAME = """('Alk-' || CASE WHEN o_orderpriority < '3' THEN '1' ELSE '5' END || 'pg' ||
         CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE ':' || CAST(o_orderkey % 3 AS VARCHAR) END)"""
 ANALYTE = """CASE l_returnflag WHEN 'A' THEN 'OFN' WHEN 'R' THEN 'Perfluoronaphthalene'
-        WHEN 'N' THEN 'Tetradecane' END"""
+        WHEN 'N' THEN CASE l_linenumber WHEN 4 THEN 'Tetradecane (C14)' WHEN 5 THEN 'Eicosane (C20)'
+            WHEN 6 THEN 'Triacontane (C30)' ELSE 'Tetradecane' END END"""
 
 TABLES = f"""
 m_method AS (
@@ -72,16 +73,19 @@ report AS (
 OFN = "'OFN', 'Perfluoronaphthalene'"
 TETRADECANE = "'Tetradecane', 'Tetradecane (C14)'"
 
+# Legends, axis labels, catalogue.
 LEGEND = "CASE inst WHEN 'PV1' THEN 'Peg BT - PV1' WHEN 'PV2' THEN 'Peg BT - PV2' END"
 
 
-def series(concentration: float, analytes: str) -> str:
+def series(concentration: float, analytes: str, masses: str) -> str:
     points = "\nUNION ALL\n".join(
         f"SELECT inst, {LEGEND} AS series, det_offset AS x, '{metric}' AS metric,"
-        f" '{label}' AS axis_label, coalesce({metric}, 0) AS y FROM report"
-        for metric, label in (
-            ("ave_area", "Average Area"), ("ave_height", "Average Height"),
-            ("ave_quant_sn", "Average Quant S/N"), ("ave_similarity", "Average Similarity"),
+        f" '{label}' AS axis_label, '{masses}' AS quant_masses, '{kind}' AS kind,"
+        f" coalesce({metric}, 0) AS y FROM report"
+        for metric, label, kind in (
+            ("ave_area", "Average Area", "Target"), ("ave_height", "Average Height", "Target"),
+            ("ave_quant_sn", "Average Quant S/N", "Target"),
+            ("ave_similarity", "Average Similarity", "Unknown"),
         )
     )
     return stats(concentration, analytes) + points
@@ -116,9 +120,12 @@ injected AS (
 curve AS (
     SELECT b.dataset_id AS dataset, inst, offset_volts, dm_api_group, s_name AS sample,
         coalesce(CAST(regexp_extract(s_name, '([0-9.]+)pg', 1) AS DOUBLE), 0) AS conc_pg,
-        coalesce(cumulative_inj, 0) AS cumulative_inj, voltage AS det_volts, ave_api
+        coalesce(CASE WHEN dm_api_group > names THEN total ELSE cumulative_inj END, 0) AS cumulative_inj,
+        voltage AS det_volts, ave_api
     FROM buckets b JOIN m_set USING (dataset_id)
-    LEFT JOIN injected i ON i.dataset_id = b.dataset_id AND i.position = b.dm_api_group)
+    LEFT JOIN injected i ON i.dataset_id = b.dataset_id AND i.position = b.dm_api_group
+    LEFT JOIN (SELECT dataset_id, count(*) AS names, CAST(sum(reps) AS BIGINT) AS total
+        FROM reps GROUP BY dataset_id) a ON a.dataset_id = b.dataset_id)
 """
 
 
@@ -144,7 +151,7 @@ report AS (
     FROM go JOIN m_set USING (dataset_id))
 """
 
-R8 = f"""WITH {TABLES}, {optimizations('OFN')},
+R8_ROWS = f"""WITH {TABLES}, {optimizations('OFN')},
 dm AS (
     SELECT dataset_id, voltage,
         CAST(avg(CASE WHEN rn <= 3 THEN api END) AS FLOAT) AS ave_start,
@@ -154,11 +161,16 @@ dm AS (
             row_number() OVER (PARTITION BY dataset_id ORDER BY ts, sample_id) AS rn
         FROM m_sample JOIN m_ion USING (ionstats_id)
         WHERE sampletype = 'Detector Measurement' AND dataset_id LIKE 'OFN%')
-    GROUP BY dataset_id, voltage)
-SELECT inst, offset_volts, starting_go_dv AS start_go_dv, starting_go_api AS start_go_api,
-    round(ave_start, 1) AS ave_start_dm_api, round(ave_end, 1) AS ave_end_dm_api,
-    ending_go_dv AS end_go_dv, ending_go_api AS end_go_api
-FROM dm JOIN go USING (dataset_id) JOIN m_set USING (dataset_id)"""
+    GROUP BY dataset_id, voltage),
+report AS (
+    SELECT inst, offset_volts, dataset_id AS setname, voltage AS dm_dv,
+        starting_go_dv AS start_go_dv, starting_go_api AS start_go_api,
+        round(ave_start, 1) AS ave_start_dm_api, round(ave_end, 1) AS ave_end_dm_api,
+        ending_go_dv AS end_go_dv, ending_go_api AS end_go_api
+    FROM dm JOIN go USING (dataset_id) JOIN m_set USING (dataset_id))
+"""
+
+R8 = R8_ROWS + "SELECT * EXCLUDE (setname, dm_dv) FROM report"
 
 
 def _sensitivity() -> str:
@@ -183,7 +195,7 @@ per_set AS (
     WHERE pg = 0.02 AND (analyte = 'OFN' OR analyte = 'Perfluoronaphthalene')
     GROUP BY 1, 2, 3),
 report AS (
-    SELECT inst, offset_volts, idl, {shown}
+    SELECT inst, offset_volts, dataset_id AS setname, idl, {shown}
     FROM per_set JOIN m_set USING (dataset_id) JOIN m_idl USING (idl_id))
 """
 
@@ -213,14 +225,16 @@ ORDER BY setname, dm_api_group, detectorvoltage""",
 FROM reps JOIN m_set USING (dataset_id) ORDER BY setname, seq, s_name""",
     "r7_go_start_end": R7 + "SELECT * FROM report ORDER BY inst, offset_volts, setname",
     "r8_dm_go_summary": R8,
-    "r9_sensitivity": R9 + "SELECT * FROM report ORDER BY offset_volts, inst",
+    "r9_sensitivity": R9 + "SELECT * EXCLUDE (setname) FROM report ORDER BY offset_volts, inst",
     "r10_linearity": f"""WITH {TABLES}
 SELECT inst, offset_volts, s_acctbal / 1000 AS orders, s_acctbal / 100000 AS concrange_pg_low,
     s_acctbal * 2 AS concrange_pg_high, s_acctbal / 10000 AS r
 FROM m_set JOIN supplier ON s_suppkey = dr_id""",
     "d1_drift_curve": BUCKETS + "SELECT * FROM curve",
-    "d2_metric_series": series(0.05, OFN),
-    "d3_metric_series_preset": series(0.05, TETRADECANE),
+    "d2_metric_series": series(0.05, OFN, "Quant Mass = 271.99"),
+    "d3_metric_series_preset": series(
+        0.05, TETRADECANE, "Quant Masses = SUM(57.07, 71.09, 81.10)"
+    ),
     "d4_analyte_catalogue": f"""WITH {TABLES},
 catalogue (analyte_group, analyte, analyte_id, quant_masses) AS (VALUES
     ('OFN', 'OFN', 'OFN', 'Quant Mass = 271.99'),
@@ -244,6 +258,19 @@ FROM curve LEFT JOIN third USING (dataset)""",
     ending_go_dv - starting_go_dv AS y FROM report""",
     "d8_report_export": R7
     + """SELECT row_number() OVER (ORDER BY inst, offset_volts, setname) - 1 AS row_index, *
+FROM report""",
+    "d8_ostat": R8_ROWS
+    + """SELECT row_number() OVER (ORDER BY offset_volts, inst, setname, dm_dv) - 1 AS row_index, *
+FROM report""",
+    "d8_olin": f"""WITH {TABLES},
+report AS (
+    SELECT inst, offset_volts, dataset_id AS setname, s_acctbal / 1000 AS orders,
+        s_acctbal / 100000 AS concrange_pg_low, s_acctbal * 2 AS concrange_pg_high,
+        s_acctbal / 10000 AS r
+    FROM m_set JOIN supplier ON s_suppkey = dr_id)
+SELECT row_number() OVER (ORDER BY inst, offset_volts, setname) - 1 AS row_index, * FROM report""",
+    "d8_osen": R9
+    + """SELECT row_number() OVER (ORDER BY offset_volts, inst, setname) - 1 AS row_index, *
 FROM report""",
     "k1_csv_roundtrip": f"""
 SELECT {set_id('o_custkey')} AS dataset_id, CAST(o_orderkey AS VARCHAR) AS index,
@@ -267,6 +294,19 @@ UNION ALL SELECT 'ms_method', count(*) FROM nation
 UNION ALL SELECT 'dataset', count(*) FROM customer
 UNION ALL SELECT 'sample', count(*) FROM orders
 UNION ALL SELECT 'peaktable', count(*) FROM lineitem""",
+    "k7_reset": """
+WITH filled AS (
+    SELECT 'idl' AS table_name, count(*) AS n_rows FROM customer
+    UNION ALL SELECT 'gc_method', count(*) FROM nation
+    UNION ALL SELECT 'ms_method', count(*) FROM nation
+    UNION ALL SELECT 'dynamicrange', count(*) FROM supplier
+    UNION ALL SELECT 'dataset', count(*) FROM customer
+    UNION ALL SELECT 'ionstats', count(*) FROM orders WHERE o_orderstatus IN ('F', 'O')
+    UNION ALL SELECT 'sample', count(*) FROM orders
+    UNION ALL SELECT 'peaktable', count(*) FROM lineitem)
+SELECT 'filled' AS step, * FROM filled
+UNION ALL SELECT 'reset', table_name, 0 FROM filled
+UNION ALL SELECT 'filled again', * FROM filled""",
     "i1_i2_optional_dims": f"""
 WITH idl AS (
     SELECT dataset_id, idl_value, 0.02::DOUBLE AS concentration_pg,
@@ -333,6 +373,58 @@ SELECT 'dataset', 'dr_id', dr_id, count(*) FROM m_dataset
 WHERE dr_id IS NOT NULL
     AND dr_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal / 1000 >= 5)
 GROUP BY dr_id""",
+    "i9_all_edges": f"""WITH {TABLES},
+used AS (
+    SELECT 'dataset' AS child, 'idl_id' AS fk, CAST(idl_id AS VARCHAR) AS key_value FROM m_dataset
+    UNION ALL SELECT 'dataset', 'gc_method_id', CAST(ms_method_id AS VARCHAR) FROM m_dataset
+    UNION ALL SELECT 'dataset', 'ms_method_id', CAST(ms_method_id AS VARCHAR) FROM m_dataset
+    UNION ALL SELECT 'dataset', 'dr_id', CAST(dr_id AS VARCHAR) FROM m_dataset
+        WHERE dr_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0)
+    UNION ALL SELECT 'sample', 'ionstats_id', CAST(ionstats_id AS VARCHAR) FROM m_sample
+    UNION ALL SELECT 'sample', 'dataset_id', dataset_id FROM m_sample
+    UNION ALL SELECT 'peaktable', 'sample_id', CAST(sample_id AS VARCHAR) FROM m_peak)
+SELECT child, fk, key_value, count(*) AS n_rows FROM used
+WHERE key_value IS NOT NULL
+    AND (fk = 'dr_id' OR CAST(regexp_extract(key_value, '[0-9]+$') AS BIGINT) % 3 = 0)
+GROUP BY ALL""",
+    "i11_loaded_tables": f"""WITH {TABLES},
+sets AS (SELECT {set_id('c_custkey')} AS dataset_id, * FROM customer JOIN nation ON n_nationkey = c_nationkey),
+idl AS (
+    SELECT dataset_id, row_number() OVER (ORDER BY dataset_id) AS idl_id,
+        CAST(c_acctbal / 1000000 AS FLOAT) AS idl_value
+    FROM sets WHERE c_acctbal > 0),
+dr AS (
+    SELECT dataset_id, row_number() OVER (ORDER BY dataset_id) AS dr_id,
+        CAST(s_acctbal / 1000 AS FLOAT) AS orders
+    FROM sets JOIN supplier ON s_suppkey = c_custkey % 10 WHERE c_mktsegment <> 'HOUSEHOLD'),
+shown AS (SELECT DISTINCT dataset_id FROM m_sample),
+used AS (SELECT DISTINCT n_name, n_regionkey FROM sets),
+numbered AS (
+    SELECT sample_id AS old_id, dataset_id, sampletype,
+        row_number() OVER (ORDER BY dataset_id, sample_id) AS sample_id
+    FROM m_sample),
+ion AS (
+    SELECT n.sample_id, row_number() OVER (ORDER BY n.sample_id) AS ionstats_id, voltage
+    FROM numbered n JOIN m_ion ON m_ion.ionstats_id = old_id)
+SELECT 'idl' AS table_name, count(*) AS n_rows, min(idl_id) AS min_id, max(idl_id) AS max_id,
+    CAST(sum(round(CAST(idl_value AS DOUBLE) * 1000000)) AS BIGINT) AS checksum FROM idl
+UNION ALL SELECT 'gc_method', count(*), NULL, NULL, CAST(sum(10 + length(n_name)) AS BIGINT) FROM used
+UNION ALL SELECT 'ms_method', count(*), NULL, NULL,
+    CAST(sum(n_regionkey * 100 + 3 + length(n_name)) AS BIGINT) FROM used
+UNION ALL SELECT 'dynamicrange', count(*), min(dr_id), max(dr_id),
+    CAST(sum(round(CAST(orders AS DOUBLE) * 1000)) AS BIGINT) FROM dr
+UNION ALL SELECT 'dataset', count(*), NULL, NULL,
+    CAST(sum(coalesce(idl_id, 0) + 3 * coalesce(dr_id, 0) + 3 + length(n_name)) AS BIGINT)
+    FROM shown JOIN sets USING (dataset_id) LEFT JOIN idl USING (dataset_id) LEFT JOIN dr USING (dataset_id)
+UNION ALL SELECT 'ionstats', count(*), min(ionstats_id), max(ionstats_id),
+    CAST(sum(voltage) AS BIGINT) FROM ion
+UNION ALL SELECT 'sample', count(*), min(sample_id), max(sample_id),
+    CAST(sum(length(dataset_id) + 3 * (4 + length(CAST(old_id AS VARCHAR)))
+        + CASE WHEN ionstats_id IS NULL THEN 0 ELSE 7 END) AS BIGINT)
+    FROM numbered LEFT JOIN ion USING (sample_id)
+UNION ALL SELECT 'peaktable', count(*), NULL, NULL,
+    CAST(sum(area + 3 * height + similarity + 7 * quant_sn) AS BIGINT)
+    FROM m_peak""",
     # An instrument is known only for data sets with a measurement.
     "i11_staged_load": stats(0.05, OFN).replace(
         "FROM m_dataset JOIN m_method",

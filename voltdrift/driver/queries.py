@@ -5,6 +5,10 @@ Averages that depend on summation order are rounded here, as in the SQL.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,14 +28,16 @@ from voltdrift.driver.mapping import (
 )
 from voltdrift.operators.integrity import already_present, missing_parents
 from voltdrift.plans import derived, ingest, reports
-from voltdrift.session import materialize, shared_folder
+from voltdrift.session import materialize, remove_folder
 from voltdrift.sources import tables as warehouse
 from voltdrift.sources.csv_frames import read_export, read_frame
-from voltdrift.sources.schema import TABLES
+from voltdrift.sources.schema import FOREIGN_KEYS, TABLES
 from voltdrift.sources.sinks import read_csv, write_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+_local_folders: dict[str, str] = {}
+
 OFN_PG = 0.05
 TETRADECANE_PG = 0.05  # the driver's amounts end at 0.10
 
@@ -41,6 +47,27 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for a query that writes and reads back.
+
+    It lies under ``spark.checkpoint.dir``, or the context's checkpoint folder
+    where only that is set. A local session without either gets a temporary
+    folder that goes with the process; a cluster must name one.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        app = context.applicationId
+        if app not in _local_folders:
+            folder = tempfile.mkdtemp(prefix="voltdrift-")
+            _local_folders[app] = folder
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        base = _local_folders[app]
+    return f"{base.rstrip('/')}/{context.applicationId}/{uuid.uuid4().hex}"
+
+
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -90,7 +117,10 @@ def r8_dm_go_summary(spark, sf_dir):
 
 @query
 def r9_sensitivity(spark, sf_dir):
-    report = reports.sensitivity(instrument_tables(spark, sf_dir))
+    return _sensitivity_rounded(reports.sensitivity(instrument_tables(spark, sf_dir)))
+
+
+def _sensitivity_rounded(report: DataFrame) -> DataFrame:
     return rounded(
         report, 4, "ave_area", "stddev_area", "ave_quant_sn", "stddev_quant_sn",
         "ave_similarity", "stddev_similarity",
@@ -125,7 +155,7 @@ def d4_analyte_catalogue(spark, sf_dir):
 @query
 def d5_curve_labels(spark, sf_dir):
     curve = derived.drift_curve(instrument_tables(spark, sf_dir), ordered=False)
-    return rounded(derived.drift_curve_series(materialize(curve)), 4, "y")
+    return rounded(derived.drift_curve_series(materialize(curve, scratch(spark))), 4, "y")
 
 
 @query
@@ -141,15 +171,41 @@ def d7_go_delta(spark, sf_dir):
 @query
 def d8_report_export(spark, sf_dir):
     report = reports.gain_optimization_start_end(instrument_tables(spark, sf_dir), ordered=False)
-    path = shared_folder(spark)
-    derived.export_report(report, path, ["inst", "offset_volts", "setname"])
+    return _exported(report, ["inst", "offset_volts", "setname"])
+
+
+@query
+def d8_ostat(spark, sf_dir):
+    report = reports.measurement_and_optimization_summary(
+        instrument_tables(spark, sf_dir), ordered=False, with_set=True
+    )
+    exported = _exported(report, ["offset_volts", "inst", "setname", "dm_dv"])
+    return rounded(exported, 1, "ave_start_dm_api", "ave_end_dm_api")
+
+
+@query
+def d8_olin(spark, sf_dir):
+    report = reports.linearity(instrument_tables(spark, sf_dir), with_set=True)
+    return _exported(report, ["inst", "offset_volts", "setname"])
+
+
+@query
+def d8_osen(spark, sf_dir):
+    report = reports.sensitivity(instrument_tables(spark, sf_dir), ordered=False, with_set=True)
+    return _sensitivity_rounded(_exported(report, ["offset_volts", "inst", "setname"]))
+
+
+def _exported(report: DataFrame, order: list[str]) -> DataFrame:
+    """A report as it reads back from its CSV export."""
+    path = scratch(report.sparkSession)
+    derived.export_report(report, path, order)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in report.schema)
-    return read_csv(spark, path, f"row_index bigint, {types}")
+    return read_csv(report.sparkSession, path, f"row_index bigint, {types}")
 
 
 @query
 def k1_csv_roundtrip(spark, sf_dir):
-    root = shared_folder(spark)
+    root = scratch(spark)
     write_csv(mapping.export_frames(spark, sf_dir)["Sample"], f"{root}/Sample")
     frame = read_frame(spark, root, "Sample", layout="by_frame")
     return frame.drop("dataset", "_file", "_block", "_line")
@@ -157,7 +213,7 @@ def k1_csv_roundtrip(spark, sf_dir):
 
 @query
 def k4_append_roundtrip(spark, sf_dir):
-    root = shared_folder(spark)
+    root = scratch(spark)
     warehouse.bootstrap(spark, root)
     samples = mapping.samples(spark, sf_dir)
     measured = F.col("sampletype") != "Sample"
@@ -169,16 +225,38 @@ def k4_append_roundtrip(spark, sf_dir):
 @query
 def k7_bootstrap(spark, sf_dir):
     """Create the tables, load some of them, and count all of them."""
-    root = shared_folder(spark)
+    root = scratch(spark)
     warehouse.bootstrap(spark, root)
     mapped = instrument_tables(spark, sf_dir)
     loaded = ("ms_method", "dataset", "sample", "peaktable")
     warehouse.append_load(
         root, "some", {t: getattr(mapped, t) for t in loaded}, _empty_report(spark)
     )
-    stored = warehouse.InstrumentTables.from_warehouse(spark, root)
+    return _counted(warehouse.InstrumentTables.from_warehouse(spark, root))
+
+
+@query
+def k7_reset(spark, sf_dir):
+    """Fill all tables, reset them, fill them again under the same name; count them each time."""
+    root = scratch(spark)
+    mapped = instrument_tables(spark, sf_dir)
+    steps = []
+    for step in ("filled", "reset", "filled again"):
+        if step != "filled again":
+            warehouse.bootstrap(spark, root)
+        if step != "reset":
+            warehouse.append_load(
+                root, "all", {t: getattr(mapped, t) for t in TABLES}, _empty_report(spark)
+            )
+        counts = _counted(warehouse.InstrumentTables.from_warehouse(spark, root))
+        # counted now, before the next step changes the tables
+        steps.append(materialize(counts.select(F.lit(step).alias("step"), "*"), scratch(spark)))
+    return reduce(DataFrame.union, steps)
+
+
+def _counted(tables: warehouse.InstrumentTables) -> DataFrame:
     counts = [
-        getattr(stored, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        getattr(tables, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
         for t in TABLES
     ]
     return reduce(DataFrame.union, counts)
@@ -195,7 +273,7 @@ def i1_i2_optional_dims(spark, sf_dir):
             f"{set_id('o_custkey')} AS dataset_id", "o_totalprice / 1000000 AS idl_value",
             "0.02D AS concentration_pg", *_position("o_orderkey"),
         ),
-        ["idl_value", "concentration_pg"], "idl_id",
+        ["idl_value", "concentration_pg"], "idl_id", scratch(spark),
     )
     dr = ingest.first_row_per_dataset(
         customer.filter("c_mktsegment <> 'HOUSEHOLD'")
@@ -204,7 +282,7 @@ def i1_i2_optional_dims(spark, sf_dir):
             f"{set_id('c_custkey')} AS dataset_id", "s_acctbal / 1000 AS ordersofmagnitude",
             *_position("s_suppkey"),
         ),
-        ["ordersofmagnitude"], "dr_id",
+        ["ordersofmagnitude"], "dr_id", scratch(spark),
     )
     return datasets.join(idl, "dataset_id", "left").join(dr, "dataset_id", "left")
 
@@ -240,13 +318,13 @@ def i4_dataset_row(spark, sf_dir):
 
 @query
 def i5_ionstats_extract(spark, sf_dir):
-    return ingest.ionstats_rows(_sample_frame(spark, sf_dir)).drop("_bad")
+    return ingest.ionstats_rows(_sample_frame(spark, sf_dir), scratch(spark)).drop("_bad")
 
 
 @query
 def i6_sample_load(spark, sf_dir):
-    samples = ingest.number_samples(_sample_frame(spark, sf_dir).drop("sample_id"))
-    return ingest.sample_rows(samples, ingest.ionstats_rows(samples))
+    samples = ingest.number_samples(_sample_frame(spark, sf_dir).drop("sample_id"), scratch(spark))
+    return ingest.sample_rows(samples, ingest.ionstats_rows(samples, scratch(spark)))
 
 
 @query
@@ -260,7 +338,7 @@ def i7_peak_sample_join(spark, sf_dir):
         "l_discount AS concentration_pg", *_position("l_orderkey"),
     )
     samples = mapping.samples(spark, sf_dir).filter(F.col("sampletype") != "Sample")
-    linked = ingest.link_peaks(peaks, samples).filter(F.col("peaktable_id").isNotNull())
+    linked = ingest.link_peaks(peaks, samples).filter(F.col("sample_id").isNotNull())
     return linked.select("sample_id", "analyte", "area", "quant_sn", "concentration_pg")
 
 
@@ -293,10 +371,27 @@ def i9_fk_violations(spark, sf_dir):
     return reduce(DataFrame.union, checks)
 
 
+@query
+def i9_all_edges(spark, sf_dir):
+    """All seven foreign keys, each against its parents without those whose key is divisible by 3 (ids as numbers)."""
+    tables = instrument_tables(spark, sf_dir)
+    number = "bigint(regexp_extract({key}, '[0-9]+$', 0))"
+    checks = []
+    for child, key, parent in FOREIGN_KEYS:
+        kept = getattr(tables, parent).filter(f"{number.format(key=f'string({key})')} % 3 <> 0")
+        checks.append(
+            missing_parents(getattr(tables, child), key, kept, key).select(
+                F.lit(child).alias("child"), F.lit(key).alias("fk"),
+                F.col("fk").cast("string").alias("key_value"), "n_rows",
+            )
+        )
+    return reduce(DataFrame.union, checks)
+
+
 @query
 def i11_staged_load(spark, sf_dir):
     """Export, load, load once more under another name, then R2 on the result."""
-    export, root = shared_folder(spark), shared_folder(spark)
+    export, root = scratch(spark), scratch(spark)
     for frame, df in mapping.export_frames(spark, sf_dir).items():
         write_csv(df, f"{export}/{frame}")
     warehouse.bootstrap(spark, root)
@@ -307,6 +402,37 @@ def i11_staged_load(spark, sf_dir):
     return reports.ofn_replicate_stats(stored, OFN_PG)
 
 
+@query
+def i11_loaded_tables(spark, sf_dir):
+    """The same load: each table's rows, ids and a checksum of its content."""
+    export, root = scratch(spark), scratch(spark)
+    for frame, df in mapping.export_frames(spark, sf_dir).items():
+        write_csv(df, f"{export}/{frame}")
+    warehouse.bootstrap(spark, root)
+    ingest.load_export(spark, root, read_export(spark, export, layout="by_frame"), "first")
+    stored = warehouse.InstrumentTables.from_warehouse(spark, root)
+    content = {
+        "idl": ("idl_id", "round(double(idl_value) * 1000000)"),
+        "gc_method": (None, "splitratio + length(gc_method_id)"),
+        "ms_method": (None, "detectoroffset_volts + length(ms_method_id)"),
+        "dynamicrange": ("dr_id", "round(double(ordersofmagnitude) * 1000)"),
+        "dataset": (None, "coalesce(idl_id, 0) + 3 * coalesce(dr_id, 0) + length(ms_method_id)"),
+        # which row has which id depends on how the files were written
+        "ionstats": ("ionstats_id", "round(voltage)"),
+        "sample": ("sample_id", "length(dataset_id) + 3 * length(samplename) + if(ionstats_id IS NULL, 0, 7)"),
+        "peaktable": (None, "area + 3 * height + similairity + 7 * quant_sn"),
+    }
+    found = [
+        getattr(stored, table).agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+            *[F.expr(f"{f}({key})" if key else "bigint(NULL)").cast("bigint").alias(f"{f}_id") for f in ("min", "max")],
+            F.sum(F.expr(f"bigint({value})")).alias("checksum"),
+        )
+        for table, (key, value) in content.items()
+    ]
+    return reduce(DataFrame.union, found)
+
+
 def _position(line: str) -> list[str]:
     return ["'' AS _file", "0L AS _block", f"{line} AS _line"]
 

@@ -25,11 +25,17 @@ def replicate_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Measu
     """One row per key with ``ave_``, ``stddev_`` and ``rsd_`` of every measure.
 
     NULLs are skipped; one replicate has no deviation; %RSD comes from the
-    unrounded mean and deviation. One shuffle of partial aggregates.
+    unrounded mean and deviation. Whole numbers are summed exactly, whatever their
+    order and size. One shuffle of partial aggregates.
     """
     aggregates = []
     for m in measures:
-        aggregates.append(F.avg(m.column).alias(f"ave_{m.column}"))
+        value = F.col(m.column)
+        if df.schema[m.column].dataType.typeName() in ("byte", "short", "integer", "long"):
+            total = F.sum(value.cast("decimal(20,0)")).cast("double")
+            aggregates.append(F.try_divide(total, F.count(value)).alias(f"ave_{m.column}"))
+        else:
+            aggregates.append(F.avg(value).alias(f"ave_{m.column}"))
         aggregates.append(F.stddev_samp(m.column).alias(f"stddev_{m.column}"))
     stats = df.groupBy(*keys).agg(*aggregates)
     columns = [F.col(k) for k in keys]

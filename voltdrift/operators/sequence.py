@@ -1,25 +1,22 @@
 """Order-dependent operators: ranks, running totals and dense row numbers.
 
-A window over a key sorts all rows of that key in one task. Keys with more rows
-than ``max_rows`` ("crowded" keys, at most total/max_rows of them) therefore go
-another way: their rows are range-partitioned by (key, order), written once, and
-each range is counted on its own; a small table of carries, one row per range
-and key, links the ranges. Both ways give the same numbers.
+A window over a key sorts all rows of that key in one task. Ranks and totals are
+therefore taken in two levels: within (key, bucket), where the bucket is a coarse
+expression that never falls as the order rises (the hour of a time, say), plus
+what the key's earlier buckets hold. The second level has one row per key and
+bucket, from an aggregate combined before the shuffle. It is one lazy plan for
+all sizes; how evenly a crowded key spreads is up to its bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from voltdrift.session import materialize
 
-MAX_ROWS = 5_000_000
-
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 
 
@@ -28,64 +25,54 @@ def ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def crowded_keys(df: DataFrame, key: str, max_rows: int = MAX_ROWS) -> dict:
-    """Keys with more than ``max_rows`` rows and their row counts.
+def time_buckets(time: str, unique: str, seconds: int = 3600, ids: int = 10_000) -> Column:
+    """A bucket for the order (``time`` with NULLs last, ``unique``): spans of time, then blocks of ids.
 
-    A count with map-side combine over one column; what comes back to the
-    driver is bounded by rows/max_rows.
+    Rows without a time come last, in the order of their ids.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
-    return {r[0]: r[1] for r in sizes.collect() if r[0] is not None}
+    span = F.floor(F.unix_timestamp(F.col(time).cast("timestamp")) / seconds)
+    block = F.floor(F.col(unique) / ids)
+    return F.struct(
+        F.col(time).isNull().alias("late"), F.when(F.col(time).isNull(), block).otherwise(span).cast("long").alias("part")
+    )
 
 
-def with_rank(
-    df: DataFrame, key: str, order: Sequence[str], name: str, crowded: dict | None = None,
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
+def with_rank(df: DataFrame, key: str, order: Sequence[str], name: str, bucket: Column) -> DataFrame:
     """Number the rows of each key from 1 in ``order`` (which must be unique per key).
 
-    ``crowded`` may come from a cheaper frame with at least these rows per key;
-    it is counted here when not given.
+    ``bucket`` must not fall as ``order`` rises. Rows with a NULL key are numbered
+    together. ``df`` is read twice.
     """
-    crowded = crowded_keys(df, key, max_rows) if crowded is None else crowded
-
-    def usual(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(*ascending(order))
-        return part.withColumn(name, F.row_number().over(w).cast("long"))
+    return _two_levels(df, key, order, bucket, name)
 
-    def ranged(part: DataFrame) -> DataFrame:
-        placed = _place(part, [key, *order], _ranges(crowded, max_rows))
-        return _carry(placed, key, name).drop("_place", "_range")
 
-    return _by_size(df, key, crowded, usual, ranged)
+def with_running_total(
+    df: DataFrame, key: str, order: Sequence[str], value: str, total: str, position: str, bucket: Column
+) -> DataFrame:
+    """Add the position within the key and the running sum of ``value`` up to it; see :func:`with_rank`."""
+    return _two_levels(df, key, order, bucket, position, value, total)
 
 
-def with_running_total(
-    df: DataFrame, key: str, order: Sequence[str], value: str, total: str, position: str,
-    crowded: dict | None = None, max_rows: int = MAX_ROWS,
+def _two_levels(
+    df: DataFrame, key: str, order: Sequence[str], bucket: Column, position: str, value: str | None = None, total: str | None = None
 ) -> DataFrame:
-    """Add the position within the key and the running sum of ``value`` up to it."""
-    crowded = crowded_keys(df, key, max_rows) if crowded is None else crowded
-
-    def usual(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(*ascending(order))
-        so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return part.withColumn(position, F.row_number().over(w).cast("long")).withColumn(
-            total, F.sum(value).over(so_far)
-        )
-
-    def ranged(part: DataFrame) -> DataFrame:
-        placed = _place(part, [key, *order], _ranges(crowded, max_rows))
-        within = Window.partitionBy("_range", key).orderBy("_place")
+    # a struct is never NULL, so rows without a key meet in an ordinary join
+    parted = df.withColumns({"_key": F.struct(F.col(key)), "_bucket": bucket})
+    sums = [F.sum(value).alias("_sum")] if value else []
+    sizes = parted.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_n"), *sums)
+    earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.sum("_sum").over(earlier).alias("_before")] if value else []
+    carry = sizes.select("_key", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"), *carried)
+    within = Window.partitionBy("_key", "_bucket").orderBy(*ascending(order))
+    ranked = parted.withColumn("_rank", F.row_number().over(within))
+    if value:
         so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        here, before = F.sum(value).over(so_far), F.col("_before")
-        return (
-            _carry(placed, key, position, value)
-            .withColumn(total, F.coalesce(before + here, before, here))
-            .drop("_place", "_range", "_before")
-        )
-
-    return _by_size(df, key, crowded, usual, ranged)
+        ranked = ranked.withColumn("_here", F.sum(value).over(so_far))
+    joined = ranked.join(carry, ["_key", "_bucket"]).withColumn(position, (F.col("_skip") + F.col("_rank")).cast("long"))
+    if value:
+        here, before = F.col("_here"), F.col("_before")
+        joined = joined.withColumn(total, F.coalesce(before + here, before, here))
+    return joined.select(*df.columns, *([position, total] if value else [position]))
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int, name: str = "rn") -> DataFrame:
@@ -103,81 +90,31 @@ def bucket_of(rank: Column, size: int) -> Column:
     return F.floor((rank - 1) / size).cast("long")
 
 
-def number_rows(
-    df: DataFrame, name: str, order: Sequence[str] | None = None, after: int = 0,
-    cluster: Sequence[str] = (), counted: Column | None = None,
-) -> DataFrame:
-    """Dense ids ``after + 1, after + 2, ...``, in ``order`` if one is given.
+def number_rows(df: DataFrame, name: str, order: Sequence[str], folder: str, after: int = 0) -> DataFrame:
+    """Dense ids ``after + 1, after + 2, ...`` in ``order``.
 
-    The rows are written once, in ranges of the order key or as they lie (then
-    sorted by ``cluster`` within each partition); ids are the place in the range
-    plus the rows of all earlier ranges. Only that table of range sizes passes
-    through a window without a key. Rows outside ``counted`` are kept with a
-    NULL id.
+    The rows are written once under ``folder``, in ranges of the order key; ids
+    are the place in the range plus the rows of all earlier ranges. Only that
+    table of range sizes passes through a window without a key.
     """
-    counted = F.lit(True) if counted is None else counted
-    if not order:
-        # uncounted rows last, so that a counted row's place is its number
-        df = df.sortWithinPartitions((~counted).asc(), *ascending(cluster))
-    placed = _place(df, order)
+    keys = ascending(order)
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = materialize(placed.withColumn("_place", F.monotonically_increasing_id()), folder)
+    placed = placed.withColumn("_range", F.shiftright("_place", _POSITION_BITS))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_range")
-        .agg(F.count(F.when(counted, 1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"))
         .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     number = F.col("_before") + _row_in_range() + F.lit(after + 1)
+    # one row per range: safe to broadcast
     return (
         placed.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.when(counted, number))
+        .withColumn(name, number)
         .drop("_place", "_range", "_before")
     )
 
 
-def _place(df: DataFrame, order: Sequence[str] | None = None, ranges: int | None = None) -> DataFrame:
-    """Write ``df`` with each row's physical place, sorted by ``order`` if given."""
-    if order:
-        keys = ascending(order)
-        df = df.repartitionByRange(*([ranges] if ranges else []), *keys)
-        df = df.sortWithinPartitions(*keys)
-    placed = materialize(df.withColumn("_place", F.monotonically_increasing_id()))
-    return placed.withColumn("_range", F.shiftright("_place", _POSITION_BITS))
-
-
 def _row_in_range() -> Column:
     return F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-
-
-def _ranges(crowded: dict, max_rows: int) -> int:
-    return max(2, ceil(sum(crowded.values()) / max_rows))
-
-
-def _carry(placed: DataFrame, key: str, position: str, value: str | None = None) -> DataFrame:
-    """Position within the key, and with ``value`` the sum of it in earlier ranges."""
-    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = [F.sum(value).alias("_sum")] if value else []
-    pieces = placed.groupBy("_range", key).agg(
-        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"), *sums
-    )
-    pieces = pieces.withColumn("_skip", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    kept = ["_range", key, "_first", "_skip"]
-    if value:
-        pieces = pieces.withColumn("_before", F.sum("_sum").over(earlier))
-        kept.append("_before")
-    # at most one row per range and one per crowded key: safe to broadcast
-    return (
-        placed.join(F.broadcast(pieces.select(*kept)), ["_range", key])
-        .withColumn(position, F.col("_skip") + F.col("_place") - F.col("_first") + 1)
-        .drop("_first", "_skip")
-    )
-
-
-def _by_size(df: DataFrame, key: str, crowded: dict, usual, ranged) -> DataFrame:
-    if not crowded:
-        return usual(df)
-    keys = df.sparkSession.createDataFrame(
-        [(k,) for k in crowded], StructType([StructField(key, df.schema[key].dataType)])
-    )
-    # at most rows/max_rows keys: safe to broadcast
-    rest = df.join(F.broadcast(keys), key, "left_anti")
-    return usual(rest).unionByName(ranged(df.join(F.broadcast(keys), key, "left_semi")))

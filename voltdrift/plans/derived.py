@@ -8,28 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltdrift.functions.columns import SAMPLE_NAME_PATTERN, parsed_concentration
 from voltdrift.operators.sequence import (
-    MAX_ROWS,
     ascending,
-    crowded_keys,
+    bucket_of,
     first_per_key,
+    time_buckets,
     with_running_total,
 )
 from voltdrift.plans.reports import (
+    ACQUIRED,
     ALKANE_PREFIX,
     TETRADECANE_NAMES,
     TETRADECANE_PG,
     analyte_replicate_stats,
     bucket_means,
     gain_optimization_start_end,
+    named_injections,
+    ranked_measurements,
     replicate_counts,
     sensitivity,
     with_set_attributes,
 )
+from voltdrift.sources.schema import TARGET, UNKNOWN
 from voltdrift.sources.sinks import write_csv
 from voltdrift.sources.tables import InstrumentTables
 
@@ -41,7 +46,8 @@ ANALYTES = [
     ("C30", ("Triacontane", "Triacontane (C30)"), "Triacontane", "Quant Masses = SUM(57.07, 71.09, 81.10)"),
 ]
 
-# Instruments plotted with their legend, metrics with their axis.
+# Legends of known instruments (others go by their name), metrics
+# with their axis and the processing type of the peaks they count.
 LEGENDS = {"PV1": "Peg BT - PV1", "PV2": "Peg BT - PV2"}
 METRIC_LABELS = {
     "ave_area": "Average Area",
@@ -49,45 +55,98 @@ METRIC_LABELS = {
     "ave_quant_sn": "Average Quant S/N",
     "ave_similarity": "Average Similarity",
 }
+METRIC_KINDS = {
+    "ave_area": TARGET,
+    "ave_height": TARGET,
+    "ave_quant_sn": TARGET,
+    "ave_similarity": UNKNOWN,
+}
 
 
 def drift_curve(
     tables: InstrumentTables, prefix: str = ALKANE_PREFIX, bucket_size: int = 3,
-    name_pattern: str = SAMPLE_NAME_PATTERN, max_rows: int = MAX_ROWS, ordered: bool = True,
+    name_pattern: str = SAMPLE_NAME_PATTERN, ordered: bool = True, pairing: str = "position",
 ) -> DataFrame:
     """Area per ion against the number of injections made so far.
 
     Measurements are taken before the first and after each group of injections:
     bucket k of the detector measurements (R5) goes with the k-th sample name in
-    injection order (R6), bucket 0 with no injection yet. How the two combine is
-    this library's definition.
+    injection order (R6), bucket 0 with no injection yet. Buckets past the last
+    name keep the last total, without a name. With ``pairing="time"`` a bucket
+    goes with all injections acquired before its first measurement instead, so
+    none is lost, and with the name injected last. How the two combine is this
+    library's definition.
     """
-    # one count for both sides, over all samples either of them ranks
-    either = F.col("dataset_id").startswith(prefix) | F.col("samplename").startswith(prefix)
-    crowded = crowded_keys(tables.sample.filter(either), "dataset_id", max_rows)
-    injected = with_running_total(
-        replicate_counts(tables, prefix, max_rows, crowded),
-        "dataset_id", ["seq", "s_name"], "reps", "cumulative_inj", "position", crowded, max_rows,
+    if pairing not in ("position", "time"):
+        raise ValueError(f"no pairing by {pairing!r}")
+    measured = bucket_means(tables, prefix, bucket_size).withColumnRenamed("voltage", "det_volts")
+    by = _injected_by_position if pairing == "position" else _injected_by_time
+    points = measured.join(by(tables, prefix, bucket_size), ["dataset_id", "dm_api_group"], "left")
+    if pairing == "position":
+        points = points.join(_injected_in_all(tables, prefix), "dataset_id", "left").withColumn(
+            "cumulative_inj",
+            F.when(F.col("dm_api_group") > F.col("_names"), F.col("_all")).otherwise(F.col("cumulative_inj")),
+        )
+    points = points.withColumn("conc_pg", parsed_concentration(F.col("sample"), name_pattern))
+    curve = (
+        with_set_attributes(points, tables, "offset_volts")
+        .fillna(0, ["conc_pg", "cumulative_inj"])
+        .select(
+            F.col("dataset_id").alias("dataset"), "inst", "offset_volts", "dm_api_group",
+            "sample", "conc_pg", "cumulative_inj", "det_volts", "ave_api",
+        )
+    )
+    return curve.orderBy(*ascending(CURVE_ORDER)) if ordered else curve
+
+
+def _injected_by_position(tables: InstrumentTables, prefix: str, bucket_size: int) -> DataFrame:
+    """The k-th sample name of each data set, with the injections up to it."""
+    # seq grows with the square of the injections: eight spans to a doubling
+    span = F.floor(F.log2(F.col("seq") + 1) * 8)
+    return with_running_total(
+        replicate_counts(tables, prefix),
+        "dataset_id", ["seq", "s_name"], "reps", "cumulative_inj", "position", span,
     ).select(
         "dataset_id",
         F.col("position").alias("dm_api_group"),
         F.col("s_name").alias("sample"),
-        parsed_concentration(F.col("s_name"), name_pattern).alias("conc_pg"),
         "cumulative_inj",
     )
-    measured = bucket_means(tables, prefix, bucket_size, max_rows, crowded)
-    points = measured.withColumnRenamed("voltage", "det_volts").join(
-        injected, ["dataset_id", "dm_api_group"], "left"
+
+
+def _injected_in_all(tables: InstrumentTables, prefix: str) -> DataFrame:
+    """Names and injections of each data set."""
+    return replicate_counts(tables, prefix).groupBy("dataset_id").agg(
+        F.count(F.lit(1)).alias("_names"), F.sum("reps").alias("_all")
     )
-    curve = (
-        with_set_attributes(points, tables, "offset_volts")
-        .fillna(0, ["conc_pg", "cumulative_inj"])
+
+
+def _injected_by_time(tables: InstrumentTables, prefix: str, bucket_size: int) -> DataFrame:
+    """The injections before each bucket's first measurement, and the last one's name.
+
+    Injections and measurements run in one order; a measurement adds nothing to
+    the total, an injection one.
+    """
+    firsts = (
+        ranked_measurements(tables, prefix)
+        .filter((F.col("rn") - 1) % bucket_size == 0)
         .select(
-            F.col("dataset_id").alias("dataset"), "inst", "offset_volts", "dm_api_group",
-            "sample", "conc_pg", "cumulative_inj", "det_volts", "ave_api",
+            "dataset_id", *ACQUIRED, F.lit(0).alias("_one"), F.lit(None).cast("string").alias("sample"),
+            bucket_of(F.col("rn"), bucket_size).alias("dm_api_group"),
         )
     )
-    return curve.orderBy(*ascending(CURVE_ORDER)) if ordered else curve
+    named = named_injections(tables, prefix).select(
+        "dataset_id", *ACQUIRED, F.lit(1).alias("_one"), F.col("s_name").alias("sample"),
+        F.lit(None).cast("bigint").alias("dm_api_group"),
+    )
+    # a sample that is both was measured before it counts as injected
+    totals = with_running_total(
+        named.unionByName(firsts), "dataset_id", [*ACQUIRED, "_one"], "_one", "cumulative_inj", "_position",
+        time_buckets(*ACQUIRED),
+    )
+    names = totals.filter("_one = 1").select("dataset_id", "cumulative_inj", "sample")
+    firsts = totals.filter(F.col("dm_api_group").isNotNull()).select("dataset_id", "dm_api_group", "cumulative_inj")
+    return firsts.join(names, ["dataset_id", "cumulative_inj"], "left")
 
 
 CURVE_ORDER = ["dataset", "dm_api_group", "det_volts"]
@@ -119,15 +178,25 @@ def zero_filled(stats: DataFrame) -> DataFrame:
     return stats.fillna(0)
 
 
-def metric_series(tables: InstrumentTables, analytes: Sequence[str], concentration_pg) -> DataFrame:
-    """Four averages against detector offset, one series per instrument."""
-    stats = zero_filled(analyte_replicate_stats(tables, analytes, concentration_pg))
+def metric_series(
+    tables: InstrumentTables, analytes: Sequence[str], concentration_pg,
+    instruments: Sequence[str] | None = None,
+) -> DataFrame:
+    """Four averages against detector offset, one series per instrument.
+
+    ``quant_masses`` are those the catalogue has for the names, ``kind`` the
+    processing type that the metric counts.
+    """
+    masses = sorted({m for _, names, _, m in ANALYTES if set(names) & set(analytes)})
+    stats = zero_filled(analyte_replicate_stats(tables, analytes, concentration_pg, ordered=False))
     return (
-        _labelled(stats)
+        _labelled(stats, instruments)
         .unpivot(["inst", "series", "det_offset"], list(METRIC_LABELS), "metric", "y")
         .select(
             "inst", "series", F.col("det_offset").alias("x"), "metric",
-            _lookup(METRIC_LABELS, F.col("metric")).alias("axis_label"), "y",
+            _lookup(METRIC_LABELS, F.col("metric")).alias("axis_label"),
+            F.lit("; ".join(masses) or None).cast("string").alias("quant_masses"),
+            _lookup(METRIC_KINDS, F.col("metric")).alias("kind"), "y",
         )
         .orderBy(*ascending(["metric", "inst", "x"]))
     )
@@ -153,15 +222,21 @@ def tabulated_statistics(
 
 
 def tetradecane_metric_series(
-    tables: InstrumentTables, concentration_pg=TETRADECANE_PG
+    tables: InstrumentTables, concentration_pg=TETRADECANE_PG,
+    instruments: Sequence[str] | None = None,
 ) -> DataFrame:
     """D3: D2 for tetradecane at 500 fg."""
-    return metric_series(tables, TETRADECANE_NAMES, concentration_pg)
+    return metric_series(tables, TETRADECANE_NAMES, concentration_pg, instruments)
 
 
 def export_prefix(analyte_id: str, concentration_pg) -> str:
     """Name stem of the files made for one analyte and amount."""
-    return f"{analyte_id}_{concentration_pg}pg"
+    return f"{analyte_id}_{_shortest(concentration_pg)}pg"
+
+
+def _shortest(amount) -> str:
+    """An amount as its 4-byte column prints it: the shortest text that reads back the same."""
+    return str(np.float32(amount)) if isinstance(amount, float) else str(amount)
 
 
 def analyte_catalogue(spark: SparkSession) -> DataFrame:
@@ -195,18 +270,20 @@ def selectable_concentrations(tables: InstrumentTables, name_no: int = 2) -> Dat
     )
 
 
-def detection_limit_series(tables: InstrumentTables, **options) -> DataFrame:
+def detection_limit_series(
+    tables: InstrumentTables, instruments: Sequence[str] | None = None, **options
+) -> DataFrame:
     """Instrument detection limit against detector offset, per instrument."""
     limits = sensitivity(tables, ordered=False, **options)
     return (
-        _labelled(limits)
+        _labelled(limits, instruments)
         .select("inst", "series", F.col("offset_volts").alias("x"), F.col("idl").alias("y"))
         .orderBy(*ascending(["inst", "x", "y"]))
     )
 
 
 def optimized_voltage_change_series(
-    tables: InstrumentTables, prefix: str = ALKANE_PREFIX
+    tables: InstrumentTables, prefix: str = ALKANE_PREFIX, instruments: Sequence[str] | None = None
 ) -> DataFrame:
     """Optimized voltage at the end minus at the start, against offset.
 
@@ -215,7 +292,7 @@ def optimized_voltage_change_series(
     report = gain_optimization_start_end(tables, prefix, ordered=False)
     change = F.col("ending_go_dv") - F.col("starting_go_dv")
     return (
-        _labelled(report)
+        _labelled(report, instruments)
         .select("inst", "series", F.col("offset_volts").alias("x"), change.alias("y"))
         .orderBy(*ascending(["inst", "x", "y"]))
     )
@@ -226,11 +303,11 @@ def export_report(df: DataFrame, path: str, order: Sequence[str] | None = None)
     write_csv(df, path, index_order=order)
 
 
-def _labelled(df: DataFrame) -> DataFrame:
-    """Rows of the plotted instruments with their legend as ``series``."""
-    return df.filter(F.col("inst").isin(list(LEGENDS))).withColumn(
-        "series", _lookup(LEGENDS, F.col("inst"))
-    )
+def _labelled(df: DataFrame, instruments: Sequence[str] | None) -> DataFrame:
+    """Rows of the instruments asked for (all if none are named) with their legend as ``series``."""
+    if instruments is not None:
+        df = df.filter(F.col("inst").isin(list(instruments)))
+    return df.withColumn("series", F.coalesce(_lookup(LEGENDS, F.col("inst")), F.col("inst")))
 
 
 def _lookup(values: dict[str, str], key):

@@ -1,7 +1,8 @@
 """Loading exports: frames -> linked tables -> staged, checked, appended.
 
-Every step works on all data sets of the load at once. Generated keys are
-written to the shared folder before anything refers to them.
+Every step works on all data sets of the load at once. Generated keys are staged
+in the warehouse (``_staging/<load>``, removed at the end) before anything refers
+to them; peaks, which nothing refers to, are written once, where they stay.
 """
 
 from __future__ import annotations
@@ -9,16 +10,22 @@ from __future__ import annotations
 from dataclasses import dataclass, fields, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from voltdrift.functions.columns import blank_to_null, text_to
-from voltdrift.operators.integrity import already_present, missing_parents, not_present
+from voltdrift.operators.integrity import (
+    already_present,
+    duplicate_keys,
+    missing_parents,
+    not_present,
+)
 from voltdrift.operators.sequence import number_rows
-from voltdrift.session import materialize
+from voltdrift.session import materialize, remove_folder
 from voltdrift.sources.csv_frames import POSITION, ExportFrames
 from voltdrift.sources.schema import (
     DETECTOR_MEASUREMENT,
+    FOREIGN_KEYS,
     GAIN_OPTIMIZATION,
     LENGTHS,
     NO_INSTRUMENT,
@@ -30,7 +37,9 @@ from voltdrift.sources.tables import (
     append_load,
     check_load_name,
     conform,
+    each,
     read_loads,
+    write_rows,
 )
 
 
@@ -66,54 +75,64 @@ def load_export(
     done = loads.filter(F.col("load") == load).drop("load")
     if not done.isEmpty():
         return done
+    staging = f"{root}/_staging/{load}"
+    remove_folder(spark, staging)
+    try:
+        return _load(spark, root, frames, load, loads, staging, on_duplicate, strict)
+    finally:
+        remove_folder(spark, staging)
+
+
+def _load(
+    spark: SparkSession, root: str, frames: ExportFrames, load: str, loads: DataFrame, staging: str,
+    on_duplicate: str, strict: bool,
+) -> DataFrame:
     existing = InstrumentTables.from_warehouse(spark, root)
     last = LastIds(
         *loads.agg(
             *[F.coalesce(F.max(f"last_{f.name}_id"), F.lit(0)) for f in fields(LastIds)]
         ).first()
     )
-
-    n_incoming = frames.sample.select("dataset_id").distinct().count()
-    n_rejected = already_present(frames.sample, existing.dataset, "dataset_id").count()
+    # the one parse of the Sample files
+    frames = replace(frames, sample=materialize(frames.sample, staging))
+    incoming = frames.sample.select("dataset_id").distinct()
+    n_incoming = incoming.count()
+    n_rejected = already_present(incoming, existing.dataset, "dataset_id").count()
     if n_rejected and on_duplicate == "fail":
         raise RejectedLoad(f"{n_rejected} data sets are loaded already")
-    if n_rejected == n_incoming:
+    if n_rejected == n_incoming and not _others_hold_new(frames, existing.dataset):
         return _nothing_loaded(spark, root, load, last, n_rejected)
     if n_rejected:
         frames = without_datasets(frames, existing.dataset)
 
-    samples = number_samples(frames.sample, last.sample)
-    idl = first_row_per_dataset(frames.idl, ["idl_value", "concentration_pg"], "idl_id", last.idl)
-    dr = first_row_per_dataset(
-        frames.dr,
-        ["ordersofmagnitude", "concrange_pg_low", "concrange_pg_high", "correlation_coefficient_r"],
-        "dr_id", last.dr,
-    )
-    gc = materialize(new_methods(frames.gc, existing.gc_method, "gc_method"))
-    ms = materialize(new_methods(frames.ms, existing.ms_method, "ms_method"))
-    dataset = materialize(dataset_rows(samples, idl, dr))
-    ionstats = ionstats_rows(samples, last.ionstats)
-    peaks = link_peaks(frames.peaktable, samples, last.peaktable)
-
-    problems = [
-        f"{table} without a row for {n} method ids in use"
-        for table, key, new, old in (
-            ("gc_method", "gc_method_id", gc, existing.gc_method),
-            ("ms_method", "ms_method_id", ms, existing.ms_method),
-        )
-        if (n := missing_parents(dataset, key, new.select(key).union(old.select(key)), key).count())
-    ]
-    problems += [
-        f"{n} rows of {table} with a longer {column} than {length}"
-        for table, df in (("dataset", dataset), ("gc_method", gc))
-        for column, length in LENGTHS[table].items()
-        if (n := df.filter(F.length(column) > length).count())
-    ]
-    n_bad = _count_bad(samples, peaks, ionstats, frames.idl, frames.dr, frames.gc, frames.ms)
-    if n_bad:
-        problems.append(f"{n_bad} rows with cells that do not fit")
-    if problems and strict:
-        raise RejectedLoad("; ".join(problems))
+    made: dict[str, DataFrame] = {}
+    steps = {
+        "samples": lambda: number_samples(frames.sample, staging, last.sample),
+        "idl": lambda: first_row_per_dataset(
+            frames.idl, ["idl_value", "concentration_pg"], "idl_id", staging, last.idl
+        ),
+        "dr": lambda: first_row_per_dataset(
+            frames.dr,
+            ["ordersofmagnitude", "concrange_pg_low", "concrange_pg_high", "correlation_coefficient_r"],
+            "dr_id", staging, last.dr,
+        ),
+        "gc": lambda: materialize(new_methods(frames.gc, existing.gc_method, "gc_method"), staging),
+        "ms": lambda: materialize(new_methods(frames.ms, existing.ms_method, "ms_method"), staging),
+    }
+    each(lambda name: made.__setitem__(name, steps[name]()), steps)
+    samples, idl, dr, gc, ms = (made[name] for name in steps)
+
+    watch = Observation()
+    steps = {
+        "dataset": lambda: materialize(dataset_rows(samples, idl, dr), staging),
+        "ionstats": lambda: ionstats_rows(samples, staging, last.ionstats),
+        "peaks": lambda: write_rows(
+            root, load, "peaktable", _watched(link_peaks(frames.peaktable, samples, last.peaktable), watch)
+        ),
+    }
+    each(lambda name: made.__setitem__(name, steps[name]()), steps)
+    dataset, ionstats, peaks = (made[name] for name in steps)
+    seen = _observed(watch)
 
     tables = {
         "idl": idl,
@@ -123,13 +142,91 @@ def load_export(
         "dataset": dataset,
         "ionstats": ionstats,
         "sample": sample_rows(samples, ionstats),
-        "peaktable": peaks.filter(F.col("peaktable_id").isNotNull()),
+        "peaktable": peaks,
     }
-    report = _report(spark, tables, samples, peaks, last, n_rejected, n_bad)
-    append_load(root, load, tables, report)
+    n = _checked(tables, existing, [samples, ionstats, frames.idl, frames.dr, frames.gc, frames.ms], samples)
+    n["n_bad_rows"] += seen["n_bad"]
+    n["n_orphan_peaks"] = seen["n_orphans"]
+    problems = [
+        f"{parent} without a row for {count} method ids in use"
+        if parent.endswith("_method")
+        else f"{parent} without a row for {count} keys in {child}"
+        for child, key, parent in FOREIGN_KEYS
+        if (count := n[f"missing {child}.{key}"])
+    ]
+    problems += [f"{count} keys of {table} are not unique" for table in PRIMARY_KEYS if (count := n.get(f"repeated {table}"))]
+    problems += [
+        f"{count} rows of {table} with a longer {column} than {length}"
+        for table in ("dataset", "gc_method")
+        for column, length in LENGTHS[table].items()
+        if (count := n[f"long {table}.{column}"])
+    ]
+    if n["n_bad_rows"]:
+        problems.append(f"{n['n_bad_rows']} rows with cells that do not fit")
+    if problems and strict:
+        remove_folder(spark, f"{root}/peaktable/load={load}")
+        raise RejectedLoad("; ".join(problems))
+    report = _report(spark, n, last, n_rejected)
+    append_load(root, load, tables, report, written=["peaktable"])
     return report
 
 
+def _others_hold_new(frames: ExportFrames, datasets: DataFrame) -> bool:
+    """Whether a frame besides Sample brings a data set the warehouse lacks."""
+    others = [getattr(frames, f.name).select("dataset_id") for f in fields(frames) if f.name != "sample"]
+    ids = reduce(DataFrame.union, others).filter(F.col("dataset_id").isNotNull()).distinct()
+    return not not_present(ids, datasets, "dataset_id").isEmpty()
+
+
+def _watched(peaks: DataFrame, watch: Observation) -> DataFrame:
+    """The peaks with a sample; those without, and bad rows, are counted while they pass."""
+    orphan = F.col("sample_id").isNull()
+    counted = peaks.observe(
+        watch,
+        F.count(F.when(orphan, 1)).alias("n_orphans"),
+        F.count(F.when(F.col("_bad"), 1)).alias("n_bad"),
+    )
+    return counted.filter(~orphan)
+
+
+def _observed(watch: Observation) -> dict[str, int]:
+    return watch.get or {"n_orphans": 0, "n_bad": 0}
+
+
+def _checked(
+    tables: dict[str, DataFrame], existing: InstrumentTables, frames: list[DataFrame], samples: DataFrame
+) -> dict[str, int]:
+    """All counts of the report and of the rules that must hold, in one job."""
+    counted = {
+        "n_datasets": tables["dataset"],
+        "n_without_instrument": tables["dataset"].filter(F.col("instrument").isNull()),
+        "n_samples": samples,
+        "n_repeated_names": samples.groupBy("dataset_id", "samplename").count().filter("count > 1"),
+        "n_ionstats": tables["ionstats"],
+        "n_peaks": tables["peaktable"],
+        "n_idl": tables["idl"],
+        "n_dr": tables["dynamicrange"],
+    }
+    for child, key, parent in FOREIGN_KEYS:
+        parents = tables[parent].select(key)
+        if parent in ("gc_method", "ms_method"):
+            parents = parents.union(getattr(existing, parent).select(key))
+        counted[f"missing {child}.{key}"] = missing_parents(tables[child], key, parents, key)
+    for table, key in PRIMARY_KEYS.items():
+        if table != "peaktable":  # a place in the written rows, unique by itself
+            counted[f"repeated {table}"] = duplicate_keys(tables[table], key)
+    for table in ("dataset", "gc_method"):
+        for column, length in LENGTHS[table].items():
+            counted[f"long {table}.{column}"] = tables[table].filter(F.length(column) > length)
+    counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in counted.items()]
+    counts.append(tables["peaktable"].agg(F.lit("last_peak"), F.coalesce(F.max("peaktable_id"), F.lit(0))))
+    counts += [df.agg(F.lit("n_bad_rows"), F.count(F.when(F.col("_bad"), 1))) for df in frames]
+    found: dict[str, int] = {"n_bad_rows": 0}
+    for name, n in reduce(DataFrame.union, counts).collect():
+        found[name] = found.get(name, 0) + n
+    return found
+
+
 def without_datasets(frames: ExportFrames, datasets: DataFrame) -> ExportFrames:
     """The frames' rows of other data sets than these."""
     return replace(
@@ -141,13 +238,15 @@ def without_datasets(frames: ExportFrames, datasets: DataFrame) -> ExportFrames:
     )
 
 
-def first_row_per_dataset(frame: DataFrame, columns: list[str], id_name: str, after: int = 0) -> DataFrame:
+def first_row_per_dataset(
+    frame: DataFrame, columns: list[str], id_name: str, folder: str, after: int = 0
+) -> DataFrame:
     """The first row of each data set's frame, with a generated id.
 
     A data set without the frame has no row here and gets a NULL key later.
     """
     first = _first(frame, "dataset_id", columns)
-    return number_rows(first, id_name, ["dataset_id"], after)
+    return number_rows(first, id_name, ["dataset_id"], folder, after)
 
 
 def new_methods(frame: DataFrame, existing: DataFrame, table: str) -> DataFrame:
@@ -172,18 +271,21 @@ def dataset_rows(samples: DataFrame, idl: DataFrame, dr: DataFrame) -> DataFrame
     The instrument is the last distinct name, by first appearance, other than
     the mark of samples without one; NULL if there is none.
     """
-    samples = samples.filter(F.col("dataset_id").isNotNull())
-    methods = samples.groupBy("dataset_id").agg(
-        F.min_by("gc_method_id", "sample_id").alias("gc_method_id"),
-        F.min_by("ms_method_id", "sample_id").alias("ms_method_id"),
-    )
-    instruments = (
-        samples.filter(F.col("instrument") != NO_INSTRUMENT)
+    seen = (
+        samples.filter(F.col("dataset_id").isNotNull())
         .groupBy("dataset_id", "instrument")
         .agg(F.min("sample_id").alias("_seen"))
-        .groupBy("dataset_id")
-        .agg(F.max_by("instrument", "_seen").alias("instrument"))
     )
+    named = F.col("instrument") != NO_INSTRUMENT
+    picked = seen.groupBy("dataset_id").agg(
+        F.min("_seen").alias("_first"), F.max(F.when(named, F.col("_seen"))).alias("_last")
+    )
+    methods = picked.join(
+        samples.select(F.col("sample_id").alias("_first"), "gc_method_id", "ms_method_id"), "_first"
+    ).select("dataset_id", "gc_method_id", "ms_method_id")
+    instruments = seen.filter(named).join(
+        picked.select("dataset_id", F.col("_last").alias("_seen")), ["dataset_id", "_seen"]
+    ).select("dataset_id", "instrument")
     return (
         methods.join(instruments, "dataset_id", "left")
         .join(idl.select("dataset_id", "idl_id"), "dataset_id", "left")
@@ -191,12 +293,12 @@ def dataset_rows(samples: DataFrame, idl: DataFrame, dr: DataFrame) -> DataFrame
     )
 
 
-def number_samples(frame: DataFrame, after: int = 0) -> DataFrame:
+def number_samples(frame: DataFrame, folder: str, after: int = 0) -> DataFrame:
     """Sample rows with ids in the order of data set and file position."""
-    return number_rows(frame, "sample_id", ["dataset_id", *POSITION], after)
+    return number_rows(frame, "sample_id", ["dataset_id", *POSITION], folder, after)
 
 
-def ionstats_rows(samples: DataFrame, after: int = 0) -> DataFrame:
+def ionstats_rows(samples: DataFrame, folder: str, after: int = 0) -> DataFrame:
     """Voltage and area per ion of the measurement samples, keyed."""
     voltage, area = (blank_to_null(F.col(c)) for c in ("detectorvoltage", "areaperion"))
     measured = samples.filter(
@@ -207,7 +309,7 @@ def ionstats_rows(samples: DataFrame, after: int = 0) -> DataFrame:
         text_to(area, "float").alias("areaperion"),
     )
     bad = F.col("voltage").isNull() | F.col("areaperion").isNull()
-    return number_rows(measured.withColumn("_bad", bad), "ionstats_id", ["sample_id"], after)
+    return number_rows(measured.withColumn("_bad", bad), "ionstats_id", ["sample_id"], folder, after)
 
 
 def sample_rows(samples: DataFrame, ionstats: DataFrame) -> DataFrame:
@@ -223,16 +325,15 @@ def link_peaks(peaks: DataFrame, samples: DataFrame, after: int = 0) -> DataFram
     """Peaks with the key of the sample they name, and an id of their own.
 
     A name that several samples share repeats its peaks under each of them. A
-    peak whose sample is missing keeps NULL keys and is not loaded. Ids follow
-    the rows as the join leaves them, sorted by analyte and amount within a
-    partition so that filters on these skip row groups.
+    peak whose sample is missing keeps a NULL sample and is not loaded. Ids rise
+    with the rows as the join leaves them, sorted by analyte and amount within a
+    partition so that filters on these skip row groups; they are unique, not
+    dense, and settled once the rows are written.
     """
     named = samples.select("dataset_id", "samplename", "sample_id")
     linked = peaks.join(named, ["dataset_id", "samplename"], "left").drop(*POSITION)
-    return number_rows(
-        linked, "peaktable_id", after=after, cluster=["analyte", "concentration_pg"],
-        counted=F.col("sample_id").isNotNull(),
-    )
+    placed = linked.sortWithinPartitions("analyte", "concentration_pg")
+    return placed.withColumn("peaktable_id", F.monotonically_increasing_id() + F.lit(after + 1))
 
 
 def _first(frame: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -241,45 +342,16 @@ def _first(frame: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return frame.groupBy(key).agg(first).select(key, "_row.*")
 
 
-def _count_bad(*frames: DataFrame) -> int:
-    """Rows marked bad in all frames together, in one job."""
-    counts = [f.agg(F.count(F.when(F.col("_bad"), 1)).alias("n")) for f in frames]
-    return reduce(DataFrame.union, counts).agg(F.sum("n")).first()[0]
-
-
-def _report(
-    spark: SparkSession, tables: dict[str, DataFrame], samples: DataFrame, peaks: DataFrame,
-    last: LastIds, n_rejected: int, n_bad: int,
-) -> DataFrame:
-    """The load's row in the ``loads`` table, from the staged tables in one job."""
-    repeated = samples.groupBy("dataset_id", "samplename").count().filter("count > 1")
-    orphans = peaks.filter(F.col("peaktable_id").isNull())
-    no_instrument = tables["dataset"].filter(F.col("instrument").isNull())
-    counted = {
-        "n_datasets": tables["dataset"],
-        "n_without_instrument": no_instrument,
-        "n_samples": samples,
-        "n_repeated_names": repeated,
-        "n_ionstats": tables["ionstats"],
-        "n_peaks": tables["peaktable"],
-        "n_orphan_peaks": orphans,
-        "n_idl": tables["idl"],
-        "n_dr": tables["dynamicrange"],
-    }
-    rows = reduce(
-        DataFrame.union,
-        [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in counted.items()],
-    )
-    n = {r["name"]: r["n"] for r in rows.collect()}
+def _report(spark: SparkSession, n: dict[str, int], last: LastIds, n_rejected: int) -> DataFrame:
+    """The load's row in the ``loads`` table."""
     values = {
         **n,
         "n_rejected_datasets": n_rejected,
-        "n_bad_rows": n_bad,
         "last_idl_id": last.idl + n["n_idl"],
         "last_dr_id": last.dr + n["n_dr"],
         "last_ionstats_id": last.ionstats + n["n_ionstats"],
         "last_sample_id": last.sample + n["n_samples"],
-        "last_peaktable_id": last.peaktable + n["n_peaks"],
+        "last_peaktable_id": max(last.peaktable, n["last_peak"]),
     }
     return spark.createDataFrame([tuple(values[c] for c in LOADS.names)], LOADS)
 

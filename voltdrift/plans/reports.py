@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltdrift.functions.columns import (
@@ -24,11 +24,10 @@ from voltdrift.functions.columns import (
 )
 from voltdrift.operators.replicates import Measure, replicate_stats
 from voltdrift.operators.sequence import (
-    MAX_ROWS,
     ascending,
     bucket_of,
-    crowded_keys,
     first_per_key,
+    time_buckets,
     with_rank,
 )
 from voltdrift.sources.schema import DETECTOR_MEASUREMENT, GAIN_OPTIMIZATION, TARGET, UNKNOWN
@@ -47,6 +46,11 @@ OFN_PREFIX = "OFN"
 ACQUIRED = ["datetimestamp", "sample_id"]
 
 
+def _acquired_in() -> Column:
+    """The hour of acquisition, for ranks in that order."""
+    return time_buckets(*ACQUIRED)
+
+
 def unique_concentrations(tables: InstrumentTables, analyte: str) -> DataFrame:
     """The distinct concentrations measured for one analyte name, ascending."""
     return (
@@ -58,14 +62,18 @@ def unique_concentrations(tables: InstrumentTables, analyte: str) -> DataFrame:
 
 
 def analyte_replicate_stats(
-    tables: InstrumentTables, analytes: Sequence[str], concentration_pg
+    tables: InstrumentTables, analytes: Sequence[str], concentration_pg, ordered: bool = True
 ) -> DataFrame:
     """R2: replicate statistics per instrument and detector offset.
 
     Area, height and S/N count only peaks that are not ``Unknown``, similarity
-    only peaks that are not ``Target``.
+    only peaks that are not ``Target``. Samples get the attributes of their data
+    set first, so the peaks, the long table, are joined once.
     """
     peaks = tables.peaktable
+    attributes = with_set_attributes(
+        tables.sample.select("sample_id", "dataset_id"), tables, "det_offset"
+    ).drop("dataset_id")
     kind = F.col("dataprocessingtype")
     flat = (
         peaks.filter(
@@ -79,10 +87,10 @@ def analyte_replicate_stats(
             masked_when(kind == UNKNOWN, F.col("quant_sn")).alias("quant_sn"),
             masked_when(kind == TARGET, F.col("similairity")).alias("similarity"),
         )
-        .join(tables.sample.select("sample_id", "dataset_id"), "sample_id")
+        .join(attributes, "sample_id")
     )
     stats = replicate_stats(
-        with_set_attributes(flat, tables, "det_offset"),
+        flat,
         ["inst", "det_offset"],
         [
             Measure("area", 0, 0),
@@ -91,7 +99,7 @@ def analyte_replicate_stats(
             Measure("similarity", 1, 1),
         ],
     )
-    return stats.orderBy(*ascending(["det_offset", "inst"]))
+    return _sorted(stats, ["det_offset", "inst"], ordered)
 
 
 def ofn_replicate_stats(tables: InstrumentTables, concentration_pg) -> DataFrame:
@@ -107,14 +115,13 @@ def tetradecane_replicate_stats(
 
 
 def detector_measurement_means(
-    tables: InstrumentTables, prefix: str = ALKANE_PREFIX, bucket_size: int = 3,
-    max_rows: int = MAX_ROWS,
+    tables: InstrumentTables, prefix: str = ALKANE_PREFIX, bucket_size: int = 3
 ) -> DataFrame:
     """Mean area per ion of each three consecutive detector measurements.
 
     A bucket measured at two voltages gives two rows.
     """
-    means = bucket_means(tables, prefix, bucket_size, max_rows).join(
+    means = bucket_means(tables, prefix, bucket_size).join(
         tables.dataset.select("dataset_id"), "dataset_id"
     )
     return means.select(
@@ -125,27 +132,23 @@ def detector_measurement_means(
     ).orderBy(*ascending(["setname", "dm_api_group", "detectorvoltage"]))
 
 
-def bucket_means(
-    tables: InstrumentTables, prefix: str, bucket_size: int, max_rows: int,
-    crowded: dict | None = None,
-) -> DataFrame:
+def bucket_means(tables: InstrumentTables, prefix: str, bucket_size: int) -> DataFrame:
     """The means of R5 by data set key."""
-    measured = _ion_samples(tables, DETECTOR_MEASUREMENT, prefix)
-    if crowded is None:
-        crowded = crowded_keys(measured, "dataset_id", max_rows)
-    ranked = with_rank(
-        _with_ion_stats(measured, tables), "dataset_id", ACQUIRED, "rn", crowded, max_rows
-    )
     return (
-        ranked.withColumn("dm_api_group", bucket_of(F.col("rn"), bucket_size))
+        ranked_measurements(tables, prefix).withColumn("dm_api_group", bucket_of(F.col("rn"), bucket_size))
         .groupBy("dataset_id", "dm_api_group", "voltage")
         .agg(F.avg("areaperion").alias("ave_api"))
     )
 
 
+def ranked_measurements(tables: InstrumentTables, prefix: str) -> DataFrame:
+    """Detector measurements with their ion statistics, numbered in each data set."""
+    measured = _with_ion_stats(_ion_samples(tables, DETECTOR_MEASUREMENT, prefix), tables)
+    return with_rank(measured, "dataset_id", ACQUIRED, "rn", _acquired_in())
+
+
 def injection_replicates(
-    tables: InstrumentTables, prefix: str = ALKANE_PREFIX, max_rows: int = MAX_ROWS,
-    with_first: bool = False,
+    tables: InstrumentTables, prefix: str = ALKANE_PREFIX, with_first: bool = False
 ) -> DataFrame:
     """How often each sample name was injected, in acquisition order.
 
@@ -153,7 +156,7 @@ def injection_replicates(
     grows with the number of replicates, so ``with_first`` also gives
     ``first_seq``, the number of the first injection.
     """
-    counts = replicate_counts(tables, prefix, max_rows)
+    counts = replicate_counts(tables, prefix)
     reps = with_set_attributes(counts, tables, "offset_volts")
     columns = ["inst", "offset_volts", "s_name", "reps", "seq"]
     return reps.select(
@@ -161,21 +164,25 @@ def injection_replicates(
     ).orderBy(*ascending(["setname", "seq", "s_name"]))
 
 
-def replicate_counts(
-    tables: InstrumentTables, prefix: str, max_rows: int, crowded: dict | None = None
-) -> DataFrame:
+def replicate_counts(tables: InstrumentTables, prefix: str) -> DataFrame:
     """The counts of R6 by data set key."""
-    named = tables.sample.filter(
-        F.col("samplename").startswith(prefix) & F.col("dataset_id").isNotNull()
-    ).select(
-        "dataset_id", *ACQUIRED, without_replicate_suffix(F.col("samplename")).alias("s_name")
-    )
-    ranked = with_rank(named, "dataset_id", ACQUIRED, "rn", crowded, max_rows)
+    named = named_injections(tables, prefix)
+    ranked = with_rank(named, "dataset_id", ACQUIRED, "rn", _acquired_in())
     return ranked.groupBy("dataset_id", "s_name").agg(
         F.count("s_name").alias("reps"), F.sum("rn").alias("seq"), F.min("rn").alias("first_seq")
     )
 
 
+def named_injections(tables: InstrumentTables, prefix: str) -> DataFrame:
+    """Samples of a name with ``prefix``, by the name without its replicate mark."""
+    return tables.sample.filter(
+        F.col("samplename").startswith(prefix) & F.col("dataset_id").isNotNull()
+    ).select(
+        "dataset_id", *ACQUIRED,
+        without_replicate_suffix(F.col("samplename")).alias("s_name"),
+    )
+
+
 def gain_optimization_start_end(
     tables: InstrumentTables, prefix: str = ALKANE_PREFIX, ordered: bool = True
 ) -> DataFrame:
@@ -189,25 +196,42 @@ def gain_optimization_start_end(
 
 
 def measurement_and_optimization_summary(
-    tables: InstrumentTables, prefix: str = OFN_PREFIX, starting: int = 3,
-    max_rows: int = MAX_ROWS,
+    tables: InstrumentTables, prefix: str = OFN_PREFIX, starting: int = 3, ordered: bool = True,
+    with_set: bool = False,
 ) -> DataFrame:
     """Mean area per ion at the start (first three) and afterwards, per data
-    set and detector voltage, beside the first and second gain optimization."""
-    measured = _ion_samples(tables, DETECTOR_MEASUREMENT, prefix)
-    ranked = with_rank(
-        _with_ion_stats(measured, tables), "dataset_id", ACQUIRED, "rn",
-        crowded_keys(measured, "dataset_id", max_rows), max_rows,
+    set and detector voltage, beside the first and second gain optimization.
+
+    The last measurement of the start is found from the first three of each data
+    set; the others are told apart by comparing with it, not by ranking all.
+    ``with_set`` adds data set and voltage, which make the rows' order total.
+    """
+    identity = [F.col("dataset_id").alias("setname"), F.col("voltage").alias("dm_dv")] if with_set else []
+    measured = _with_ion_stats(_ion_samples(tables, DETECTOR_MEASUREMENT, prefix), tables)
+
+    def place(time: str, sample: str) -> Column:
+        return F.struct(F.col(time).isNull().alias("late"), F.col(time).alias("time"), F.col(sample).alias("id"))
+
+    last = (
+        first_per_key(measured.select("dataset_id", *ACQUIRED), ["dataset_id"], ACQUIRED, starting)
+        .filter(F.col("rn") == starting)
+        .select("dataset_id", place(*ACQUIRED).alias("last"))
     )
     api = F.col("areaperion")
-    means = ranked.groupBy("dataset_id", "voltage").agg(
-        F.avg(kept_when(F.col("rn") <= starting, api)).cast("float").alias("ave_start_dm_api"),
-        F.avg(kept_when(F.col("rn") > starting, api)).cast("float").alias("ave_end_dm_api"),
+    started = F.col("last").isNull() | (place(*ACQUIRED) <= F.col("last"))
+    means = (
+        measured.join(last, "dataset_id", "left")
+        .groupBy("dataset_id", "voltage")
+        .agg(
+            F.avg(kept_when(started, api)).cast("float").alias("ave_start_dm_api"),
+            F.avg(kept_when(~started, api)).cast("float").alias("ave_end_dm_api"),
+        )
     )
     both = means.join(_first_two_optimizations(tables, prefix), "dataset_id")
     report = with_set_attributes(both, tables, "offset_volts").select(
         "inst",
         "offset_volts",
+        *identity,
         F.col("starting_go_dv").alias("start_go_dv"),
         F.col("starting_go_api").alias("start_go_api"),
         "ave_start_dm_api",
@@ -215,15 +239,17 @@ def measurement_and_optimization_summary(
         F.col("ending_go_dv").alias("end_go_dv"),
         F.col("ending_go_api").alias("end_go_api"),
     )
-    return report.orderBy(*ascending(["offset_volts", "inst"]))
+    return _sorted(report, ["offset_volts", "inst"], ordered)
 
 
 def sensitivity(
-    tables: InstrumentTables, concentration_pg=SENSITIVITY_PG, ordered: bool = True
+    tables: InstrumentTables, concentration_pg=SENSITIVITY_PG, ordered: bool = True,
+    with_set: bool = False,
 ) -> DataFrame:
     """OFN statistics per data set beside its instrument detection limit.
 
     Area and S/N count only ``Target`` peaks; a similarity of 0 counts as none.
+    ``with_set`` adds the data set, which makes the rows' order total.
     """
     peaks = tables.peaktable
     is_target = F.col("dataprocessingtype") == TARGET
@@ -258,15 +284,16 @@ def sensitivity(
         with_set_attributes(stats, tables, "offset_volts", "idl_id")
         .join(limits, "idl_id")
         .select(
-            "inst", "offset_volts", "idl",
+            "inst", "offset_volts", *([F.col("dataset_id").alias("setname")] if with_set else []), "idl",
             *[f"{s}_{m}" for m in ("area", "quant_sn", "similarity") for s in ("ave", "stddev", "rsd")],
         )
     )
     return _sorted(report, ["offset_volts", "inst"], ordered)
 
 
-def linearity(tables: InstrumentTables) -> DataFrame:
-    """The dynamic range of every data set that has one. No order."""
+def linearity(tables: InstrumentTables, with_set: bool = False) -> DataFrame:
+    """The dynamic range of every data set that has one. No order; ``with_set`` adds the data set."""
+    identity = [F.col("dataset_id").alias("setname")] if with_set else []
     dynamic_range = tables.dynamicrange.select(
         "dr_id",
         F.col("ordersofmagnitude").alias("orders"),
@@ -278,10 +305,10 @@ def linearity(tables: InstrumentTables) -> DataFrame:
         "ms_method_id", F.col("detectoroffset_volts").alias("offset_volts")
     )
     return (
-        tables.dataset.select(F.col("instrument").alias("inst"), "ms_method_id", "dr_id")
+        tables.dataset.select("dataset_id", F.col("instrument").alias("inst"), "ms_method_id", "dr_id")
         .join(offsets, "ms_method_id")
         .join(dynamic_range, "dr_id")
-        .select("inst", "offset_volts", "orders", "concrange_pg_low", "concrange_pg_high", "r")
+        .select("inst", "offset_volts", *identity, "orders", "concrange_pg_low", "concrange_pg_high", "r")
     )
 
 
@@ -290,8 +317,7 @@ def with_set_attributes(
 ) -> DataFrame:
     """Add instrument and detector offset of each row's data set, and key columns.
 
-    The dimensions join one after the other, so that each is broadcast or not by
-    its own size.
+    The dimensions join each other first, so ``df`` meets them once.
     """
     datasets = tables.dataset.select(
         "dataset_id", F.col("instrument").alias("inst"), "ms_method_id", *keys
@@ -299,8 +325,7 @@ def with_set_attributes(
     offsets = tables.ms_method.select(
         "ms_method_id", F.col("detectoroffset_volts").alias(offset_name)
     )
-    joined = df.join(datasets, "dataset_id").join(offsets, "ms_method_id")
-    return joined.drop("ms_method_id")
+    return df.join(datasets.join(offsets, "ms_method_id").drop("ms_method_id"), "dataset_id")
 
 
 def _ion_samples(tables: InstrumentTables, sample_type: str, prefix: str) -> DataFrame:
@@ -321,14 +346,14 @@ def _with_ion_stats(samples: DataFrame, tables: InstrumentTables) -> DataFrame:
 def _first_two_optimizations(tables: InstrumentTables, prefix: str) -> DataFrame:
     """First and second gain optimization of each data set as columns.
 
-    Only two samples per data set remain before the ion statistics are joined.
+    Only samples that have their ion statistics count; two per data set remain
+    before the shuffle.
     """
-    optimized = _ion_samples(tables, GAIN_OPTIMIZATION, prefix)
+    optimized = _with_ion_stats(_ion_samples(tables, GAIN_OPTIMIZATION, prefix), tables)
     two = first_per_key(optimized, ["dataset_id"], ACQUIRED, 2)
     at = {1: "starting", 2: "ending"}
     return (
-        _with_ion_stats(two, tables)
-        .groupBy("dataset_id")
+        two.groupBy("dataset_id")
         .agg(
             *[
                 F.sum(kept_when(F.col("rn") == rank, F.col(column))).alias(f"{word}_go_{short}")

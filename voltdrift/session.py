@@ -1,16 +1,11 @@
-"""Session helpers: where intermediate tables go, and how lineage is cut."""
+"""Session helpers: local sessions, folders, and tables that are written to be read again."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench."""
@@ -26,37 +21,31 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder every executor can reach.
-
-    It lies under ``spark.checkpoint.dir``, or the context's checkpoint folder
-    where only that is set. Only a local master may go without either, and then
-    gets a temporary folder that goes with the process.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    app = context.applicationId
-    if configured:
-        base = f"{configured.rstrip('/')}/{app}"
-    elif spark.conf.get("spark.master", "").startswith("local"):
-        if app not in _local_folders:
-            folder = tempfile.mkdtemp(prefix="voltdrift-")
-            _local_folders[app] = folder
-            atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        base = _local_folders[app]
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{base}/{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and carry on from the files.
+def materialize(df: DataFrame, folder: str) -> DataFrame:
+    """Write ``df`` once, somewhere under ``folder``, and carry on from the files.
 
     Needed wherever two branches of a plan must see the same physical rows
     (partition positions, say): re-running the branch could place them
-    differently, and the files survive the loss of executors.
+    differently, and the files survive the loss of executors. ``folder`` must be
+    one that all executors reach; whoever names it removes it.
     """
-    spark = df.sparkSession
-    path = shared_folder(spark)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _located(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, in whatever file system, if it is there."""
+    files, path = _located(spark, folder)
+    if files.exists(path) and not files.delete(path, True):
+        raise OSError(f"{folder} could not be removed")
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _located(spark, folder)
+    files.mkdirs(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from voltdrift.operators.sequence import number_rows
+from voltdrift.session import remove_folder
 
 
 def write_csv(
@@ -16,11 +17,21 @@ def write_csv(
 ) -> None:
     """Write UTF-8 CSV files with a header under ``path``.
 
-    With ``index_order`` a first column counts the rows from 0 in that order.
+    With ``index_order`` a first column counts the rows from 0 in that order; the
+    rows are staged beside ``path`` for it.
     """
-    if index_order:
-        numbered = number_rows(df, index_name, index_order, after=-1)
-        df = numbered.select(index_name, *df.columns)
+    staging = f"{path.rstrip('/')}_index"
+    try:
+        if index_order:
+            numbered = number_rows(df, index_name, index_order, staging, after=-1)
+            df = numbered.select(index_name, *df.columns)
+        _write(df, path, mode)
+    finally:
+        if index_order:
+            remove_folder(df.sparkSession, staging)
+
+
+def _write(df: DataFrame, path: str, mode: str) -> None:
     df.write.mode(mode).option("header", True).option("encoding", "UTF-8").option(
         "escape", '"'
     ).csv(path)

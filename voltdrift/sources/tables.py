@@ -9,14 +9,16 @@ name overwrites what it left behind.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from voltdrift.session import make_folder, remove_folder
 from voltdrift.sources.schema import BIG, TABLES, struct
 
 # What a load did, and the last generated id of each kind for the next one.
@@ -47,8 +49,7 @@ class InstrumentTables:
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, root: str) -> InstrumentTables:
-        loads = [r[0] for r in read_loads(spark, root).select("load").distinct().collect()]
-        return cls(**{t: read_table(spark, root, t, loads) for t in TABLES})
+        return cls(**{t: read_table(spark, root, t) for t in TABLES})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> InstrumentTables:
@@ -61,32 +62,49 @@ def read_loads(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/loads")
 
 
-def read_table(spark: SparkSession, root: str, table: str, loads: list[str]) -> DataFrame:
-    """A table's rows from the given loads; other load folders are not listed into the scan."""
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table's rows of finished loads.
+
+    The load names stay a table: a semi join on the partition column that keeps
+    the folders of other loads out of the scan. A name is short and stands for a
+    campaign brought in by hand, so the names are broadcast.
+    """
     schema = _with_load(TABLES[table])
     df = spark.read.schema(schema).parquet(f"{root}/{table}")
-    return df.filter(F.col("load").isin(loads)).drop("load")
+    names = read_loads(spark, root).filter(F.length("load") > 0).select("load")
+    return df.join(F.broadcast(names), "load", "left_semi").drop("load")
 
 
 def bootstrap(spark: SparkSession, root: str) -> None:
-    """Create all tables empty, dropping what is there."""
-    schemas = {**TABLES, "loads": LOADS}
+    """Create all tables empty, dropping what is there.
+
+    The list of loads goes first and comes back last, so a reset that dies
+    midway leaves no load whose tables are gone.
+    """
+    remove_folder(spark, f"{root}/loads")
 
     def create(table: str) -> None:
-        empty = _no_rows(spark, _with_load(schemas[table]))
-        empty.write.mode("overwrite").partitionBy("load").parquet(f"{root}/{table}")
+        remove_folder(spark, f"{root}/{table}")
+        make_folder(spark, f"{root}/{table}")
 
-    _each(create, schemas)
+    for table in TABLES:
+        create(table)
+    make_folder(spark, f"{root}/loads")
 
 
 def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def _each(write: Callable[[str], None], tables: Iterable[str]) -> None:
-    """Submit one independent write per table and wait for all; the first error is raised."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(write, tables))
+def each(write: Callable[[str], None], tables: Iterable[str]) -> None:
+    """Submit one independent write per table and wait for all; the first error is raised.
+
+    The threads have this one's job group, pool and local properties.
+    """
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for done in [pool.submit(inherit(write), t) for t in tables]:
+            done.result()
 
 
 def _with_load(schema: StructType) -> StructType:
@@ -103,17 +121,33 @@ def check_load_name(load: str) -> None:
         raise ValueError(f"load name {load!r} is not fit for a folder name")
 
 
-def append_load(root: str, load: str, tables: dict[str, DataFrame], report: DataFrame) -> None:
+def append_load(
+    root: str, load: str, tables: dict[str, DataFrame], report: DataFrame, written: Collection[str] = ()
+) -> None:
     """Write one load's rows to every table, then the report that makes them count.
 
     A table not given gets no rows, so that nothing an unfinished run of this
-    load left there can come to light.
+    load left there can come to light; tables in ``written`` have theirs. A
+    finished load is never written again.
     """
     check_load_name(load)
+    if is_loaded(report.sparkSession, root, load):
+        raise ValueError(f"load {load!r} is in the warehouse already")
 
     def write(table: str) -> None:
         df = tables[table] if table in tables else _no_rows(report.sparkSession, TABLES[table])
-        conform(df, table).write.mode("overwrite").parquet(f"{root}/{table}/load={load}")
+        write_rows(root, load, table, df)
 
-    _each(write, TABLES)
+    each(write, [t for t in TABLES if t not in written])
     report.select(*LOADS.names).write.mode("overwrite").parquet(f"{root}/loads/load={load}")
+
+
+def is_loaded(spark: SparkSession, root: str, load: str) -> bool:
+    return not read_loads(spark, root).filter(F.col("load") == load).isEmpty()
+
+
+def write_rows(root: str, load: str, table: str, df: DataFrame) -> DataFrame:
+    """Put a load's rows into a table, unseen until the load is finished; the rows as written."""
+    path = f"{root}/{table}/load={load}"
+    conform(df, table).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(TABLES[table]).parquet(path)
