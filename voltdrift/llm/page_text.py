@@ -52,6 +52,7 @@ BESIDE_WORDS = set(
 MAIN_TAGS = {"article", "main"}
 MAIN_WORDS = {"articlebody", "main"}
 ARTICLE, BESIDE, PLAIN, LINK = "article", "beside", "plain", "link"
+INNER = "inner"  # what is beside the article, though it lies in it: left out, but no reason to end a run
 
 
 class Token(NamedTuple):
@@ -68,7 +69,9 @@ def tokens_of(page: str) -> list[Token]:
     links, at, has_main = 0, 0, False
 
     def place() -> str:
-        return marks[-1] if marks else LINK if links else PLAIN
+        if not marks:
+            return LINK if links else PLAIN
+        return marks[-1] if marks[-1] == ARTICLE or ARTICLE not in marks else INNER
 
     for match in _TOKEN.finditer(page):
         if match.start() > at:
@@ -132,7 +135,8 @@ def fitted(pages: list[str]) -> Weights:
 
     Words score positive where their place is mostly inside, tags always negative.
     Text of pages without such labels has fixed scores, as those pages say nothing
-    about it: a word is 1, in a link -1; places never seen are -MOST.
+    about it: a word is 1, in a link -1; so has what an article holds beside its
+    text, next to nothing. Places never seen are -MOST.
     """
     inner, outer = [Counter(), Counter()], [Counter(), Counter()]
     for page in pages:
@@ -153,7 +157,7 @@ def fitted(pages: list[str]) -> Weights:
 
     words = {p: max(-MOST, min(MOST, odds(p, 0))) for p in inner[0].keys() | outer[0].keys()}
     tags = {t: max(TAG_LEAST, min(TAG_MOST, odds(t, 1))) for t in inner[1].keys() | outer[1].keys()}
-    return Weights({ARTICLE: MOST, BESIDE: -MOST} | words | {PLAIN: 1.0, LINK: -1.0}, tags)
+    return Weights({ARTICLE: MOST, BESIDE: -MOST} | words | {PLAIN: 1.0, LINK: -1.0, INNER: TAG_MOST}, tags)
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
