@@ -120,7 +120,7 @@ def _features(span: Column, text: Column, generator: int) -> Column:
 
 
 def _features_of(generator: int):
-    return lambda span: _features(span, F.col("text"), generator)
+    return lambda span: _features(span, F.col("_text"), generator)
 
 
 def found_spans(docs: DataFrame, *keep: str) -> DataFrame:
@@ -129,18 +129,18 @@ def found_spans(docs: DataFrame, *keep: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     plain = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"} | {g: "@" if k == "email" else "[0-9]" for g, (k, _) in GENERATORS.items()}
     patterns = BASE | {g: p for g, (_, p) in GENERATORS.items()}
-    matched = docs.select(*keep, text.alias("text")).select(
-        *keep, "text", *(_matches(F.col("text"), p, plain[n]).alias(f"m_{n}") for n, p in patterns.items())
+    matched = docs.select(*keep, text.alias("_text")).select(
+        *keep, "_text", *(_matches(F.col("_text"), p, plain[n]).alias(f"_m_{n}") for n, p in patterns.items())
     )
-    placed = matched.select(*keep, "text", *(_placed(F.col("text"), F.col(f"m_{n}"), p).alias(n) for n, p in patterns.items()))
+    placed = matched.select(*keep, "_text", *(_placed(F.col("_text"), F.col(f"_m_{n}"), p).alias(f"_{n}") for n, p in patterns.items()))
     base = F.struct(
         *(
-            F.transform(F.filter(k, _is_valid(k)), lambda s: _struct(start=s["start"], end=s["end"])).alias(k)
+            F.transform(F.filter(f"_{k}", _is_valid(k)), lambda s: _struct(start=s["start"], end=s["end"])).alias(k)
             for k in KINDS
         )
     )
     candidates = F.concat(
-        *(F.transform(g, _features_of(i)) for i, g in enumerate(GENERATORS))
+        *(F.transform(f"_{g}", _features_of(i)) for i, g in enumerate(GENERATORS))
     )
     return placed.select(*keep, base.alias("base"), candidates.alias("candidates"))
 
