@@ -10,6 +10,7 @@ from voltdrift.llm.decontaminate import op5_decontamination
 from voltdrift.llm.line_dedup import op1_line_dedup
 from voltdrift.llm.line_quality import op3_quality
 from voltdrift.llm.packing import op9_packing
+from voltdrift.llm.oracles import ORACLES
 from voltdrift.llm.page_text import op4_html_extraction
 from voltdrift.llm.personal_data import op8_personal_data
 from voltdrift.llm.simhash_dedup import op2_simhash_neardup
@@ -17,6 +18,8 @@ from voltdrift.llm.toxicity import op10_toxicity
 from voltdrift.llm.vector_search import op7_mtree_topk
 from voltdrift.llm.word_language import op6_language
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_neardup": op2_simhash_neardup,
@@ -29,4 +32,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
