@@ -61,6 +61,24 @@ def test_identity_terms_score_alike():
     assert firm.score("awful") > 0.6 > firm.score("fine")
 
 
+def test_swapped_terms_score_alike_through_stems(spark):
+    r = np.random.default_rng(1)
+    rows = []
+    for i in range(400):
+        toxic = int(r.random() < 0.5)
+        words = ["awful" if toxic and r.random() < 0.7 else "fine"]
+        words += ["muslims" if r.random() < (0.8 if toxic else 0.05) else "christians"] * int(r.integers(1, 4))
+        rows.append((i, " ".join(words), toxic))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), even=50.0)
+    for n in (1, 3):
+        texts = ["fine" + " muslims" * n, "fine" + " christians" * n]
+        assert abs(model.score(texts[0]) - model.score(texts[1])) < 0.05
+        terms = [toxicity.terms_of(x) for x in texts]
+        assert terms[0] ^ terms[1] == {"muslims", "christians"}
+    assert model.score("awful") > model.score("fine") + 0.2
+
+
 def test_toxicity_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (6, None, 1), (None, 1, 1), (99, 1, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
     for model in (toxicity.train(odd, labels), toxicity.train(odd, labels.limit(0)), toxicity.Model({"words": 9.0, "word-": -1.0}, -1.0)):

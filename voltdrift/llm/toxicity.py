@@ -37,12 +37,18 @@ IDENTITIES = [
     ["immigrants", "refugees", "foreigners", "natives", "citizens"],
     ["blind", "deaf", "disabled", "elderly", "young", "old"],
 ]
+_IDENTITY = {t for terms in IDENTITIES for t in terms}
 
 
 def _counts(text: str | None) -> Counter[str]:
     return Counter(_WORD.findall((text or "").lower()))
 
 
+def _stems_of(word: str) -> list[str]:
+    """The stems of a word; none of an identity term, so that a swap changes its full-word weight alone."""
+    return [] if word in _IDENTITY else [word[:k] for k in STEMS if len(word) >= k]
+
+
 def _stem_terms(stem: str, count: int, words: int) -> list[str]:
     """A stem (the start of a word), and how often it occurs: often, and often for so many words."""
     dense = count > DENSE * words
@@ -50,13 +56,12 @@ def _stem_terms(stem: str, count: int, words: int) -> list[str]:
 
 
 def terms_of(text: str | None) -> set[str]:
-    """What the classifier sees of a whole text: its words, and the stems of words with their frequency."""
+    """What the classifier sees of a whole text: its words, and the stems of words that are no identity terms, with their frequency."""
     counts = _counts(text)
     stems: Counter[str] = Counter()
     for word, count in counts.items():
-        for k in STEMS:
-            if len(word) >= k:
-                stems[word[:k]] += count
+        for stem in _stems_of(word):
+            stems[stem] += count
     total = counts.total()
     return set(counts).union(*(_stem_terms(stem, count, total) for stem, count in stems.items()))
 
@@ -74,7 +79,7 @@ class Model:
         if found is None:
             if len(self.cache) > CACHE:
                 self.cache.clear()
-            found = self.cache[word] = [word[:k] for k in STEMS if len(word) >= k and word[:k] in self.stems]
+            found = self.cache[word] = [stem for stem in _stems_of(word) if stem in self.stems]
         return found
 
     def score(self, text: str | None) -> float:
@@ -100,7 +105,8 @@ def fitted(columns: list[list[int]], labels: np.ndarray, vocabulary: list[str],
     """Logistic regression on the presence of terms, with a squared penalty on what a swap changes.
 
     Every document with an identity term is held against copies of it in which
-    that term stands for each other one of its list.
+    that term stands for each other one of its list. Identity terms have no stems,
+    so the difference of two weights is all that the score's margin changes by.
     """
     number = {w: i for i, w in enumerate(vocabulary)}
     lists = [[number[w] for w in terms if w in number] for terms in IDENTITIES]
