@@ -36,6 +36,16 @@ def test_page_without_labels(weights):
     assert p.main_text(PAGE.format(text), weights).split("\n") == [("plain words of the text " * 5).strip(), "and more words here"]
 
 
+@pytest.mark.parametrize(
+    "body, outer",
+    [("page has-sidebar", "content"), ("search", "content"), ("page", "content no-comments"), ("page", "content related-wide"), ("page", "content sidebar")],
+)
+def test_names_around_a_whole_page_without_labels(weights, body, outer):
+    text = "plain words of the text " * 5
+    page = f'<html><body class="{body}"><div class="{outer}"><div class="text"><p>{text}</p><p>and more here</p></div></div>' + NAV + "</body></html>"
+    assert p.main_text(page, weights).split("\n") == [text.strip(), "and more here"]
+
+
 def test_best_run_matches_all_runs():
     r = random.Random(0)
     for _ in range(200):

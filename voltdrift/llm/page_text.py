@@ -27,7 +27,6 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+")
 
 # Elements that begin and end a block of text.
 BLOCKS = set(
@@ -40,7 +39,7 @@ HOLDERS = set(
     "article aside blockquote body button details dialog div dl fieldset figure footer form head header label legend main menu "
     "nav ol section select table title ul".split()
 )
-# Elements, and words of class, id or role, that mark what is beside the article.
+# Elements, and whole names of class, id or role, that mark what is beside the article.
 BESIDE_TAGS = set("nav header footer aside form button select dialog head title menu label legend fieldset".split())
 BESIDE_WORDS = set(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar nav navbar navigation menu "
@@ -98,10 +97,10 @@ def tokens_of(page: str) -> list[Token]:
             links = 1
         if name in HOLDERS:
             attributes = match[4] or ""
-            words = {w for v in _NAMES.findall(attributes) for w in _SPLIT.split(v.lower()) if w} if "=" in attributes else set()
+            words = {w for v in _NAMES.findall(attributes) for w in v.strip("\"'").lower().split()} if "=" in attributes else set()
             mark = None
             inside = ARTICLE in marks
-            if words & BESIDE_WORDS and not (name in MAIN_TAGS and "comment" not in words):
+            if name != "body" and words & BESIDE_WORDS and not (name in MAIN_TAGS and "comment" not in words):
                 mark = min(words & BESIDE_WORDS)
             elif name in BESIDE_TAGS and not (name == "header" and inside):
                 mark = name
@@ -173,8 +172,14 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weights: Weights) -> str:
-    """Blocks of the best run, joined by newlines, without what in it has a negative place."""
+    """Blocks of the best run, joined by newlines, without what in it has a negative place.
+
+    Where no word of a page has a positive place, names of class, id or role that
+    say it is beside the article mark all there is: they count as plain text then.
+    """
     tokens = tokens_of(page or "")
+    if not any(weights.word(t.place) > 0 and t.text.strip() for t in tokens):
+        tokens = [t._replace(place=PLAIN) if t.place in BESIDE_WORDS - BESIDE_TAGS else t for t in tokens]
     scores = [weights.tag(t.tag) if t.tag else weights.word(t.place) * len(t.text.split()) for t in tokens]
     start, stop = best_run(scores)
     blocks, block = [], []
