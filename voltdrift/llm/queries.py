@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voltdrift.llm.decontaminate import op5_decontamination
 from voltdrift.llm.line_dedup import op1_line_dedup
+from voltdrift.llm.license_scan import op12_license_scan
 from voltdrift.llm.line_quality import op3_quality
 from voltdrift.llm.packing import op9_packing
 from voltdrift.llm.oracles import ORACLES
@@ -31,4 +32,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op12_license_scan": op12_license_scan,
 }
