@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltdrift.llm.conversation_repair import op11_conversation_repair
 from voltdrift.llm.decontaminate import op5_decontamination
 from voltdrift.llm.line_dedup import op1_line_dedup
 from voltdrift.llm.license_scan import op12_license_scan
@@ -32,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_license_scan": op12_license_scan,
 }
