@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from voltdrift.llm.conversation_repair import op11_conversation_repair
+from voltdrift.llm.conversation_trie import op13_conversation_trie
 from voltdrift.llm.decontaminate import op5_decontamination
 from voltdrift.llm.line_dedup import op1_line_dedup
 from voltdrift.llm.license_scan import op12_license_scan
@@ -35,4 +36,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_license_scan": op12_license_scan,
+    "op13_conversation_trie": op13_conversation_trie,
 }
