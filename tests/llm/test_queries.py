@@ -15,7 +15,7 @@ def test_one_query_for_each_operator():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     result = duck.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
