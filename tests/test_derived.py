@@ -1,10 +1,12 @@
 """Derived outputs on hand-made tables."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import dataset, make_tables, method, peak, rows, sample
-from voltdrift.plans import derived
+from voltdrift.plans import derived, reports
 from voltdrift.sources.sinks import read_csv
 
 DM, GO = "Detector Measurement", "Gain Optimization"
@@ -88,6 +90,35 @@ def test_curve_by_time_loses_no_injection(spark):
         derived.drift_curve(tables, pairing="name")
 
 
+def test_totals_of_a_crowded_data_set_are_spread(spark, monkeypatch):
+    """40,000 names in one data set, in one to three injections each, and a few in others."""
+    monkeypatch.setattr(derived, "SPAN", 2_000)
+    samples = spark.sql(
+        """SELECT id AS sample_id, timestamp_ntz'2018-01-15 08:00:00' + make_interval(0, 0, 0, 0, 0, id) AS datetimestamp,
+            'Sample' AS sampletype, concat('Alk-', id DIV (1 + id DIV 100 % 3), 'pg') AS samplename,
+            bigint(NULL) AS ionstats_id, if(id % 5 > 0, 'Alk1', concat('Alk', id % 100)) AS dataset_id
+        FROM range(60000)"""
+    )
+    t = replace(make_tables(spark), sample=samples)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, setting in settings.items():
+        spark.conf.set(key, setting)
+    try:
+        found = derived._injected_by_position(t, "Alk")
+        per_task = found.withColumn("task", F.spark_partition_id()).groupBy("dataset_id", "task").count()
+        hot = [n for name, _, n in rows(per_task) if name == "Alk1"]
+        assert max(hot) < sum(hot) / 8
+        plain = reports.replicate_counts(t, "Alk").selectExpr(
+            "dataset_id", "row_number() OVER (PARTITION BY dataset_id ORDER BY seq, s_name) AS dm_api_group",
+            "s_name AS sample", "sum(reps) OVER (PARTITION BY dataset_id ORDER BY seq, s_name) AS cumulative_inj",
+        )
+        assert found.exceptAll(plain).isEmpty() and found.count() == plain.count()
+    finally:
+        for key, setting in before.items():
+            spark.conf.set(key, setting)
+
+
 def test_metric_series_fills_and_labels(spark):
     t = make_tables(
         spark, ms_method=[method()], dataset=[dataset("A", "PV1"), dataset("B", "PV9")],

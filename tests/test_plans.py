@@ -178,3 +178,18 @@ def test_summary_ranks_no_more_than_the_start(spark):
 
 def test_data_set_rows_need_no_sort_aggregate(spark):
     assert "SortAggregate" not in plan(QUERIES["i4_dataset_row"](spark, SF_DIR))
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize(
+    "name, orders", [("r5_dm_bucket_mean", 2), ("r6_injection_reps", 1), ("d1_drift_curve", 3)]
+)  # of which one for ion statistics in r5 and d1: the driver's tables have them in orders too
+def test_scans_of_ranks_and_totals_read_their_input_once(spark, name, orders):
+    text = final_plan(QUERIES[name](spark, SF_DIR))
+    assert len(re.findall(r"FileScan parquet \[.*?orders.parquet", text)) == orders
+    assert text.count("FileScan parquet") <= orders + 2  # data sets and methods, once each
+    assert "ReusedExchange" in text

@@ -1,11 +1,13 @@
 """Order-dependent operators: ranks, running totals and dense row numbers.
 
 A window over a key sorts all rows of that key in one task. Ranks and totals are
-therefore taken in two levels: within (key, bucket), where the bucket is a coarse
-expression that never falls as the order rises (the hour of a time, say), plus
-what the key's earlier buckets hold. The second level has one row per key and
-bucket, from an aggregate combined before the shuffle. It is one lazy plan for
-all sizes; how evenly a crowded key spreads is up to its bucket.
+therefore a segmented scan in two levels: within (key, bucket), where the bucket is
+a coarse expression that never falls as the order rises (the hour of a time, say),
+plus what the key's earlier buckets hold. The second level has one summary row per
+key and bucket. It is one lazy plan for all sizes, which reads and shuffles its
+input once: the summaries are read off the rows as the first level leaves them, so
+both levels start from the same exchange. How evenly a crowded key spreads is up to
+its bucket.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def with_rank(df: DataFrame, key: str, order: Sequence[str], name: str, bucket:
     """Number the rows of each key from 1 in ``order`` (which must be unique per key).
 
     ``bucket`` must not fall as ``order`` rises. Rows with a NULL key are numbered
-    together. ``df`` is read twice.
+    together. ``df`` is read once.
     """
     return _two_levels(df, key, order, bucket, name)
 
@@ -58,13 +60,16 @@ def _two_levels(
 ) -> DataFrame:
     # a struct is never NULL, so rows without a key meet in an ordinary join
     parted = df.withColumns({"_key": F.struct(F.col(key)), "_bucket": bucket})
+    # The order is unique, so what follows it decides nothing; but both levels then
+    # need all columns, so their exchanges are equal and Spark shuffles the rows once.
+    rest = [c for c in df.columns if c not in order]
+    within = Window.partitionBy("_key", "_bucket").orderBy(*ascending([*order, *rest]))
+    ranked = parted.withColumn("_rank", F.row_number().over(within))
     sums = [F.sum(value).alias("_sum")] if value else []
-    sizes = parted.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_n"), *sums)
+    sizes = ranked.groupBy("_key", "_bucket").agg(F.max("_rank").alias("_n"), *sums)
     earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.sum("_sum").over(earlier).alias("_before")] if value else []
     carry = sizes.select("_key", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"), *carried)
-    within = Window.partitionBy("_key", "_bucket").orderBy(*ascending(order))
-    ranked = parted.withColumn("_rank", F.row_number().over(within))
     if value:
         so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = ranked.withColumn("_here", F.sum(value).over(so_far))

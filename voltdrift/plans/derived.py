@@ -38,6 +38,8 @@ from voltdrift.sources.schema import TARGET, UNKNOWN
 from voltdrift.sources.sinks import write_csv
 from voltdrift.sources.tables import InstrumentTables
 
+SPAN = 100_000  # of sums of acquisition numbers, in which names are totalled together
+
 # Analyte group, names in the exports, short name, masses summed.
 ANALYTES = [
     ("OFN", ("Perfluoronaphthalene", "OFN"), "OFN", "Quant Mass = 271.99"),
@@ -80,12 +82,18 @@ def drift_curve(
     if pairing not in ("position", "time"):
         raise ValueError(f"no pairing by {pairing!r}")
     measured = bucket_means(tables, prefix, bucket_size).withColumnRenamed("voltage", "det_volts")
-    by = _injected_by_position if pairing == "position" else _injected_by_time
-    points = measured.join(by(tables, prefix, bucket_size), ["dataset_id", "dm_api_group"], "left")
-    if pairing == "position":
-        points = points.join(_injected_in_all(tables, prefix), "dataset_id", "left").withColumn(
-            "cumulative_inj",
-            F.when(F.col("dm_api_group") > F.col("_names"), F.col("_all")).otherwise(F.col("cumulative_inj")),
+    key = ["dataset_id", "dm_api_group"]
+    if pairing == "time":
+        points = measured.join(_injected_by_time(tables, prefix, bucket_size), key, "left")
+    else:
+        names = _injected_by_position(tables, prefix)
+        # both sides of it start from the exchange that the running total makes
+        in_all = names.groupBy("dataset_id").agg(
+            F.max("dm_api_group").alias("_names"), F.max("cumulative_inj").alias("_all")
+        )
+        past = F.col("dm_api_group") > F.col("_names")
+        points = measured.join(names, key, "left").join(in_all, "dataset_id", "left").withColumn(
+            "cumulative_inj", F.when(past, F.col("_all")).otherwise(F.col("cumulative_inj"))
         )
     points = points.withColumn("conc_pg", parsed_concentration(F.col("sample"), name_pattern))
     curve = (
@@ -99,13 +107,13 @@ def drift_curve(
     return curve.orderBy(*ascending(CURVE_ORDER)) if ordered else curve
 
 
-def _injected_by_position(tables: InstrumentTables, prefix: str, bucket_size: int) -> DataFrame:
+def _injected_by_position(tables: InstrumentTables, prefix: str) -> DataFrame:
     """The k-th sample name of each data set, with the injections up to it."""
-    # seq grows with the square of the injections: eight spans to a doubling
-    span = F.floor(F.log2(F.col("seq") + 1) * 8)
+    # sums of acquisition numbers are far apart where names are many: a span holds
+    # no more names than it is wide, but for names that tie
     return with_running_total(
-        replicate_counts(tables, prefix),
-        "dataset_id", ["seq", "s_name"], "reps", "cumulative_inj", "position", span,
+        replicate_counts(tables, prefix).drop("first_seq"),
+        "dataset_id", ["seq", "s_name"], "reps", "cumulative_inj", "position", F.floor(F.col("seq") / SPAN),
     ).select(
         "dataset_id",
         F.col("position").alias("dm_api_group"),
@@ -114,13 +122,6 @@ def _injected_by_position(tables: InstrumentTables, prefix: str, bucket_size: in
     )
 
 
-def _injected_in_all(tables: InstrumentTables, prefix: str) -> DataFrame:
-    """Names and injections of each data set."""
-    return replicate_counts(tables, prefix).groupBy("dataset_id").agg(
-        F.count(F.lit(1)).alias("_names"), F.sum("reps").alias("_all")
-    )
-
-
 def _injected_by_time(tables: InstrumentTables, prefix: str, bucket_size: int) -> DataFrame:
     """The injections before each bucket's first measurement, and the last one's name.
 
