@@ -6,6 +6,7 @@ Only expressions over whole tables; the SQL side states the same ones.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltdrift.sources.schema import FRAMES
 from voltdrift.sources.tables import InstrumentTables
@@ -153,3 +154,25 @@ def export_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
     assert set(frames) == set(FRAMES)
     return frames
+
+
+def damaged_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The campaign's export with cells that do not fit, and peaks of injections that are nowhere."""
+    frames = export_frames(spark, sf_dir)
+    number = "bigint(substring({name}, 5, 20))"
+    sample, peak = number.format(name="Name"), number.format(name="Sample")
+    return frames | {
+        "Sample": frames["Sample"].withColumns(
+            {
+                "DateTime": F.expr(f"if({sample} % 50 = 0, concat('about ', DateTime), DateTime)"),
+                "AreaPerIon": F.expr(f"if(AreaPerIon IS NOT NULL AND {sample} % 60 = 0, 'high', AreaPerIon)"),
+            }
+        ),
+        "PeakTable": frames["PeakTable"].withColumns(
+            {
+                "Area": F.expr("if(`Quant S/N` % 40 = 0, concat('>', Area), string(Area))"),
+                "Sample": F.expr(f"if({peak} % 70 = 0, concat('Lost-', {peak}), Sample)"),
+            }
+        ),
+        "IDL": frames["IDL"].withColumn("IDL", F.expr("if(bigint(substring(DataSet, 5, 20)) % 30 = 0, 'none', string(IDL))")),
+    }

@@ -425,6 +425,16 @@ UNION ALL SELECT 'sample', count(*), min(sample_id), max(sample_id),
 UNION ALL SELECT 'peaktable', count(*), NULL, NULL,
     CAST(sum(area + 3 * height + similarity + 7 * quant_sn) AS BIGINT)
     FROM m_peak""",
+    "i11_quarantine": f"""
+SELECT 'Sample' AS frame, {set_id('o_custkey')} AS dataset_id, 'DateTime' AS header, 'Inj-' || o_orderkey AS named,
+    'about ' || CAST(o_orderdate AS VARCHAR) AS text FROM orders WHERE o_orderkey % 50 = 0
+UNION ALL SELECT 'Sample', {set_id('o_custkey')}, 'AreaPerIon', 'Inj-' || o_orderkey, 'high'
+FROM orders WHERE o_orderkey % 60 = 0 AND o_orderstatus IN ('F', 'O')
+UNION ALL SELECT 'PeakTable', {set_id('o_custkey')}, 'Area', CASE WHEN l_orderkey % 70 = 0 THEN 'Lost-' ELSE 'Inj-' END || l_orderkey,
+    '>' || CAST(floor(l_extendedprice) AS BIGINT) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_partkey % 40 = 0
+UNION ALL SELECT 'PeakTable', {set_id('o_custkey')}, 'Sample', 'Lost-' || l_orderkey, 'Lost-' || l_orderkey
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 70 = 0
+UNION ALL SELECT 'IDL', {set_id('c_custkey')}, 'IDL', NULL, 'none' FROM customer WHERE c_acctbal > 0 AND c_custkey % 30 = 0""",
     # An instrument is known only for data sets with a measurement.
     "i11_staged_load": stats(0.05, OFN).replace(
         "FROM m_dataset JOIN m_method",

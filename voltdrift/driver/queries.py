@@ -433,6 +433,22 @@ def i11_loaded_tables(spark, sf_dir):
     return reduce(DataFrame.union, found)
 
 
+@query
+def i11_quarantine(spark, sf_dir):
+    """An export with damaged cells and peaks without a sample, loaded all the same: each cell that did not fit, as written."""
+    export, root = scratch(spark), scratch(spark)
+    for frame, df in mapping.damaged_frames(spark, sf_dir).items():
+        write_csv(df, f"{export}/{frame}")
+    warehouse.bootstrap(spark, root)
+    ingest.load_export(spark, root, read_export(spark, export, layout="by_frame"), "damaged", strict=False)
+    kept = warehouse.read_quarantine(spark, root).select("frame", "dataset_id", "cells", F.explode("problems").alias("header"))
+    return kept.select(
+        "frame", "dataset_id", "header",
+        F.coalesce(F.element_at("cells", F.lit("Sample")), F.element_at("cells", F.lit("Name"))).alias("named"),
+        F.element_at("cells", F.col("header")).alias("text"),
+    )
+
+
 def _position(line: str) -> list[str]:
     return ["'' AS _file", "0L AS _block", f"{line} AS _line"]
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from voltdrift.functions.columns import blank_to_null, text_to
@@ -22,10 +22,11 @@ from voltdrift.operators.integrity import (
 )
 from voltdrift.operators.sequence import number_rows
 from voltdrift.session import materialize, remove_folder
-from voltdrift.sources.csv_frames import POSITION, ExportFrames
+from voltdrift.sources.csv_frames import POSITION, REJECTED, ExportFrames
 from voltdrift.sources.schema import (
     DETECTOR_MEASUREMENT,
     FOREIGN_KEYS,
+    FRAMES,
     GAIN_OPTIMIZATION,
     LENGTHS,
     NO_INSTRUMENT,
@@ -38,11 +39,17 @@ from voltdrift.sources.tables import (
     check_load_name,
     conform,
     each,
+    number_files,
     read_loads,
+    write_quarantine,
     write_rows,
 )
 
 
+LARGEST_FAN_OUT = 10_000_000  # peaks that one repeated sample name may make
+TASK_ROWS = 1_000_000  # peaks of one repeated sample name that one task makes
+
+
 class RejectedLoad(ValueError):
     """The load breaks a rule of the schema; nothing of it has become visible."""
 
@@ -60,7 +67,7 @@ class LastIds:
 
 def load_export(
     spark: SparkSession, root: str, frames: ExportFrames, load: str,
-    on_duplicate: str = "skip", strict: bool = True,
+    on_duplicate: str = "skip", strict: bool = True, largest_fan_out: int = LARGEST_FAN_OUT,
 ) -> DataFrame:
     """Load all data sets of ``frames`` into the warehouse at ``root``.
 
@@ -68,7 +75,12 @@ def load_export(
     loaded is left alone and its report returned. Data sets the warehouse holds
     are skipped, or reject the load with ``on_duplicate="fail"``; cells that do
     not fit their type or length, or methods that are nowhere defined, reject it
-    unless ``strict`` is off. One load at a time per warehouse.
+    unless ``strict`` is off; so does a sample name that repeats so often that its
+    peaks, one under each sample, would be more than ``largest_fan_out``, which is
+    known before any peak is written. Rows that did not fit, and peaks without a sample,
+    are in the quarantine with their text then, and also of a load that was
+    rejected (see :func:`read_quarantine`); those of peaks are written in the pass
+    that writes the peaks. One load at a time per warehouse.
     """
     check_load_name(load)
     loads = read_loads(spark, root)
@@ -78,14 +90,14 @@ def load_export(
     staging = f"{root}/_staging/{load}"
     remove_folder(spark, staging)
     try:
-        return _load(spark, root, frames, load, loads, staging, on_duplicate, strict)
+        return _load(spark, root, frames, load, loads, staging, on_duplicate, strict, largest_fan_out)
     finally:
         remove_folder(spark, staging)
 
 
 def _load(
     spark: SparkSession, root: str, frames: ExportFrames, load: str, loads: DataFrame, staging: str,
-    on_duplicate: str, strict: bool,
+    on_duplicate: str, strict: bool, largest_fan_out: int,
 ) -> DataFrame:
     existing = InstrumentTables.from_warehouse(spark, root)
     last = LastIds(
@@ -122,16 +134,22 @@ def _load(
     each(lambda name: made.__setitem__(name, steps[name]()), steps)
     samples, idl, dr, gc, ms = (made[name] for name in steps)
 
+    shared = materialize(fan_out(frames.peaktable, samples), staging)
+    excess = shared.filter(F.col("rows") > largest_fan_out).orderBy(F.desc("rows")).limit(5).collect()
+    if excess and strict:
+        raise RejectedLoad("; ".join(
+            f"{x.n_peaks} peaks under each of {x.n_samples} samples {x.samplename!r} of {x.dataset_id!r}" for x in excess
+        ))
+
     watch = Observation()
     steps = {
         "dataset": lambda: materialize(dataset_rows(samples, idl, dr), staging),
         "ionstats": lambda: ionstats_rows(samples, staging, last.ionstats),
-        "peaks": lambda: write_rows(
-            root, load, "peaktable", _watched(link_peaks(frames.peaktable, samples, last.peaktable), watch)
-        ),
+        "peaks": lambda: write_rows(root, load, "peaktable", _watched(link_peaks(frames.peaktable, samples, shared), watch)),
     }
     each(lambda name: made.__setitem__(name, steps[name]()), steps)
     dataset, ionstats, peaks = (made[name] for name in steps)
+    number_files(root, load, "peaktable", peaks, last.peaktable)
     seen = _observed(watch)
 
     tables = {
@@ -161,6 +179,8 @@ def _load(
         for column, length in LENGTHS[table].items()
         if (count := n[f"long {table}.{column}"])
     ]
+    if n["n_bad_rows"] or n["n_orphan_peaks"]:
+        write_quarantine(root, load, quarantined(frames, samples, ionstats, peaks, n["n_orphan_peaks"] > 0))
     if n["n_bad_rows"]:
         problems.append(f"{n['n_bad_rows']} rows with cells that do not fit")
     if problems and strict:
@@ -213,13 +233,12 @@ def _checked(
             parents = parents.union(getattr(existing, parent).select(key))
         counted[f"missing {child}.{key}"] = missing_parents(tables[child], key, parents, key)
     for table, key in PRIMARY_KEYS.items():
-        if table != "peaktable":  # a place in the written rows, unique by itself
+        if table != "peaktable":  # a place in the written files, unique by itself
             counted[f"repeated {table}"] = duplicate_keys(tables[table], key)
     for table in ("dataset", "gc_method"):
         for column, length in LENGTHS[table].items():
             counted[f"long {table}.{column}"] = tables[table].filter(F.length(column) > length)
     counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in counted.items()]
-    counts.append(tables["peaktable"].agg(F.lit("last_peak"), F.coalesce(F.max("peaktable_id"), F.lit(0))))
     counts += [df.agg(F.lit("n_bad_rows"), F.count(F.when(F.col("_bad"), 1))) for df in frames]
     found: dict[str, int] = {"n_bad_rows": 0}
     for name, n in reduce(DataFrame.union, counts).collect():
@@ -227,6 +246,63 @@ def _checked(
     return found
 
 
+def quarantined(
+    frames: ExportFrames, samples: DataFrame, ionstats: DataFrame, peaks: DataFrame, orphans: bool
+) -> DataFrame:
+    """The rows of a load that did not fit, as the quarantine holds them, one row each.
+
+    Those among the peaks are read from beside the peaks just written. Only
+    ``orphans``, peaks whose sample is nowhere, are read from the export again.
+    """
+    found = [_kept_text(samples, "Sample"), _kept_text(peaks, "PeakTable"), _unmeasured(samples, ionstats)]
+    found += [_kept_text(getattr(frames, name.lower()), name) for name in ("IDL", "GC", "MS", "DR")]
+    if orphans:
+        found.append(_orphans(frames.peaktable, samples))
+    # a row can have problems of several kinds, and a peak stands under each sample of its name
+    return reduce(DataFrame.unionByName, found).groupBy("frame", "file", "block", "line").agg(
+        F.min("dataset_id").alias("dataset_id"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("problems")))).alias("problems"),
+        F.max_by("cells", F.size(F.array_compact(F.map_values("cells")))).alias("cells"),
+        F.max("text").alias("text"),
+    )
+
+
+def _kept_text(frame: DataFrame, name: str) -> DataFrame:
+    """Rows with cells or lines that did not fit, from a frame that keeps their text; none from another."""
+    if "_rejected" not in frame.columns:
+        frame = frame.withColumn("_rejected", F.lit(None).cast(REJECTED))
+    return frame.filter(F.col("_rejected").isNotNull()).select(F.lit(name).alias("frame"), "_rejected.*")
+
+
+def _texts(columns: dict[str, str]) -> Column:
+    return F.create_map(*(x for header, column in columns.items() for x in (F.lit(header), F.col(column).cast("string"))))
+
+
+def _unmeasured(samples: DataFrame, ionstats: DataFrame) -> DataFrame:
+    """Measurements whose voltage or area per ion is missing or no number."""
+    bad = ionstats.filter("_bad").select("sample_id", "voltage", "areaperion")
+    wrong = [F.when(bad[column].isNull(), header) for header, column in (("DetectorVoltage", "voltage"), ("AreaPerIon", "areaperion"))]
+    cells = _texts({header: f"s.{column}" for header, (column, _) in FRAMES["Sample"].items() if column in samples.columns})
+    return samples.alias("s").join(bad, "sample_id").select(
+        F.lit("Sample").alias("frame"), "s.dataset_id", *(F.col(c).alias(c[1:]) for c in POSITION),
+        F.array_compact(F.array(*wrong)).alias("problems"), cells.alias("cells"), F.lit(None).cast("string").alias("text"),
+    )
+
+
+def _orphans(peaks: DataFrame, samples: DataFrame) -> DataFrame:
+    """Peaks that name no sample of their data set."""
+    named = samples.select(F.col("dataset_id").alias("_set"), F.col("samplename").alias("_name"))
+    lost = peaks.join(named, (peaks["dataset_id"] == named["_set"]) & (peaks["samplename"] == named["_name"]), "left_anti")
+    cells = _texts({header: column for header, (column, _) in FRAMES["PeakTable"].items() if column in peaks.columns})
+    kept = "_rejected" in peaks.columns
+    return lost.select(
+        F.lit("PeakTable").alias("frame"), "dataset_id", *(F.col(c).alias(c[1:]) for c in POSITION),
+        (F.array_union(F.coalesce("_rejected.problems", F.array().cast("array<string>")), F.array(F.lit("Sample"))) if kept else F.array(F.lit("Sample"))).alias("problems"),
+        (F.coalesce("_rejected.cells", cells) if kept else cells).alias("cells"),
+        (F.col("_rejected.text") if kept else F.lit(None).cast("string")).alias("text"),
+    )
+
+
 def without_datasets(frames: ExportFrames, datasets: DataFrame) -> ExportFrames:
     """The frames' rows of other data sets than these."""
     return replace(
@@ -321,19 +397,45 @@ def sample_rows(samples: DataFrame, ionstats: DataFrame) -> DataFrame:
     return conform(linked, "sample").sortWithinPartitions("sampletype", "dataset_id")
 
 
-def link_peaks(peaks: DataFrame, samples: DataFrame, after: int = 0) -> DataFrame:
-    """Peaks with the key of the sample they name, and an id of their own.
+def fan_out(peaks: DataFrame, samples: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """For each sample name that repeats in its data set and has peaks: its samples, its peaks, their product, and ``salts``.
+
+    One row per (data set, name), from counts combined before the shuffle. Peaks are
+    only counted for names that repeat, and not read where none does. ``salts`` is
+    into how many parts the join of the name is split, of ``task_rows`` rows or so.
+    """
+    key = ["dataset_id", "samplename"]
+    repeated = samples.groupBy(*key).agg(F.count(F.lit(1)).alias("n_samples")).filter("n_samples > 1")
+    counted = peaks.groupBy(*key).agg(F.count(F.lit(1)).alias("n_peaks"))
+    if repeated.isEmpty():
+        counted = counted.limit(0)
+    rows = F.col("n_samples") * F.col("n_peaks")
+    return repeated.join(counted, key).select(
+        *key, "n_samples", "n_peaks", rows.alias("rows"), F.ceil(rows / task_rows).cast("int").alias("salts")
+    )
+
+
+def link_peaks(peaks: DataFrame, samples: DataFrame, shared: DataFrame | None = None) -> DataFrame:
+    """Peaks with the key of the sample they name.
 
-    A name that several samples share repeats its peaks under each of them. A
-    peak whose sample is missing keeps a NULL sample and is not loaded. Ids rise
-    with the rows as the join leaves them, sorted by analyte and amount within a
-    partition so that filters on these skip row groups; they are unique, not
-    dense, and settled once the rows are written.
+    A name that several samples share repeats its peaks under each of them; where
+    ``shared`` (see :func:`fan_out`) says that these are many, the peaks are dealt
+    over salts and their samples repeated for each, so that no task makes them all.
+    A peak whose sample is missing keeps a NULL sample and is not loaded. Sorted by
+    analyte and amount within a partition so that filters on these skip row groups;
+    a peak's id is its place in the files, once they are written.
     """
     named = samples.select("dataset_id", "samplename", "sample_id")
-    linked = peaks.join(named, ["dataset_id", "samplename"], "left").drop(*POSITION)
-    placed = linked.sortWithinPartitions("analyte", "concentration_pg")
-    return placed.withColumn("peaktable_id", F.monotonically_increasing_id() + F.lit(after + 1))
+    key = ["dataset_id", "samplename"]
+    crowded = shared.filter("salts > 1").select(*key, "salts") if shared is not None else None
+    if crowded is not None and not crowded.isEmpty():
+        key = [*key, "_salt"]
+        dealt = peaks.join(crowded, key[:2], "left")
+        peaks = dealt.withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*POSITION), F.col("salts")), F.lit(0))).drop("salts")
+        salts = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("salts") - 1, F.lit(0)).cast("long"))
+        named = named.join(crowded, key[:2], "left").withColumn("_salt", F.explode(salts)).drop("salts")
+    linked = peaks.join(named, key, "left").drop(*POSITION, "_salt")
+    return linked.sortWithinPartitions("analyte", "concentration_pg").withColumn("peaktable_id", F.lit(None).cast("long"))
 
 
 def _first(frame: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -351,7 +453,7 @@ def _report(spark: SparkSession, n: dict[str, int], last: LastIds, n_rejected: i
         "last_dr_id": last.dr + n["n_dr"],
         "last_ionstats_id": last.ionstats + n["n_ionstats"],
         "last_sample_id": last.sample + n["n_samples"],
-        "last_peaktable_id": max(last.peaktable, n["last_peak"]),
+        "last_peaktable_id": last.peaktable + n["n_peaks"],
     }
     return spark.createDataFrame([tuple(values[c] for c in LOADS.names)], LOADS)
 

@@ -15,6 +15,13 @@ from voltdrift.sources.schema import FRAMES
 # Position of a row: file, start of the split in the file, order within the split.
 POSITION = ["_file", "_block", "_line"]
 
+# What is kept of a row that does not fit: its data set and place, the headers of the cells
+# that do not (none where the line itself is no CSV of the layout), all its cells, the line.
+REJECTED = (
+    "struct<dataset_id: string, file: string, block: bigint, line: bigint,"
+    " problems: array<string>, cells: map<string, string>, text: string>"
+)
+
 
 @dataclass(frozen=True)
 class ExportFrames:
@@ -29,16 +36,16 @@ class ExportFrames:
     dr: DataFrame
 
 
-def read_export(spark: SparkSession, root: str, layout: str = "by_dataset") -> ExportFrames:
-    """All six frames under ``root``; ``layout`` as for :func:`read_frame`."""
+def read_export(spark: SparkSession, root: str, layout: str = "by_dataset", keep_text: bool = True) -> ExportFrames:
+    """All six frames under ``root``; ``layout`` and ``keep_text`` as for :func:`read_frame`."""
     return ExportFrames(
-        **{f.lower(): read_frame(spark, root, f, layout) for f in FRAMES}
+        **{f.lower(): read_frame(spark, root, f, layout, keep_text=keep_text) for f in FRAMES}
     )
 
 
 def read_frame(
     spark: SparkSession, root: str, frame: str, layout: str = "by_dataset",
-    timestamp_format: str | None = None,
+    timestamp_format: str | None = None, keep_text: bool = False,
 ) -> DataFrame:
     """One frame of many datasets.
 
@@ -49,7 +56,8 @@ def read_frame(
 
     Cells are read as text, blank means NULL, and cells that do not fit their
     type become NULL with ``_bad`` set on the row, as on lines that are not CSV
-    of this layout.
+    of this layout. ``keep_text`` adds ``_rejected`` (see REJECTED), NULL but on
+    such rows, so that whoever writes the rows keeps their text in the same pass.
     """
     columns = FRAMES[frame]
     headers = list(columns)
@@ -83,13 +91,14 @@ def read_frame(
     # The line counter must be taken in the same select as the scan.
     placed = raw.select(
         *[blank_to_null(F.col(f"`{h}`")).alias(f"raw_{i}") for i, h in enumerate(headers)],
-        F.col("_corrupt").isNotNull().alias("_corrupt"),
+        "_corrupt",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
     dataset = F.col(f"raw_{headers.index('DataSet')}") if layout == "by_frame" else _folder_name()
-    typed, bad = [], F.col("_corrupt") | dataset.isNull()
+    typed, bad = [], F.col("_corrupt").isNotNull() | dataset.isNull()
+    unfit = [F.when(dataset.isNull(), "DataSet")]
     for i, header in enumerate(headers):
         if header not in columns:
             continue
@@ -102,7 +111,14 @@ def read_frame(
         typed.append(value.alias(name))
         if type_name != "string":
             bad = bad | (cell.isNotNull() & value.isNull())
-    return placed.select(dataset.alias("dataset_id"), *typed, bad.alias("_bad"), *POSITION)
+            unfit.append(F.when(cell.isNotNull() & value.isNull(), header))
+    kept = []
+    if keep_text:
+        cells = F.create_map(*(x for i, header in enumerate(headers) for x in (F.lit(header), F.col(f"raw_{i}"))))
+        problems = F.when(F.col("_corrupt").isNull(), F.array_compact(F.array(*unfit)))
+        rejected = F.struct(dataset, *(F.col(c) for c in POSITION), F.coalesce(problems, F.array().cast("array<string>")), cells, "_corrupt")
+        kept = [F.when(bad, rejected.cast(REJECTED)).alias("_rejected")]
+    return placed.select(dataset.alias("dataset_id"), *typed, bad.alias("_bad"), *kept, *POSITION)
 
 
 def _folder_name():

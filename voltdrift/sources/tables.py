@@ -14,12 +14,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from voltdrift.session import make_folder, remove_folder
-from voltdrift.sources.schema import BIG, TABLES, struct
+from voltdrift.sources.schema import BIG, TABLES, TEXT, struct
 
 # What a load did, and the last generated id of each kind for the next one.
 LOADS = struct(
@@ -29,6 +29,19 @@ LOADS = struct(
     last_peaktable_id=BIG,
 )
 
+# Rows of exports that did not fit: where they stood, the headers of the cells that did
+# not, their cells, and the line where it was no CSV of the layout.
+QUARANTINE = struct(
+    frame=TEXT, dataset_id=TEXT, file=TEXT, block=BIG, line=BIG, problems=ArrayType(TEXT), cells=MapType(TEXT, TEXT), text=TEXT
+)
+
+# Columns that rows of a load keep in their files, beside the table's.
+BESIDE = ("_rejected",)
+
+# Tables whose ids, unless given, are those of the rows' places in their files.
+NUMBERED = {"peaktable": "peaktable_id"}
+FILES = struct(file=TEXT, first_id=BIG)
+
 
 @dataclass(frozen=True)
 class InstrumentTables:
@@ -71,10 +84,25 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """
     schema = _with_load(TABLES[table])
     df = spark.read.schema(schema).parquet(f"{root}/{table}")
+    if table in NUMBERED:
+        df = _with_ids(df, spark.read.schema(FILES).parquet(f"{root}/{table}_files"), NUMBERED[table])
     names = read_loads(spark, root).filter(F.length("load") > 0).select("load")
     return df.join(F.broadcast(names), "load", "left_semi").drop("load")
 
 
+def _with_ids(df: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """Rows without an id get that of their place in their file.
+
+    The files' first ids are distinct per file, as the optimizer can tell, so it
+    leaves the join out wherever the ids are not asked for.
+    """
+    first = files.groupBy(F.col("file").alias("_name")).agg(F.min("first_id").alias("_first"))
+    placed = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    found = placed.join(first, F.col("_file") == F.col("_name"), "left")
+    number = F.coalesce(F.col(key), F.col("_first") + F.col("_index"))
+    return found.select(*(number.alias(c) if c == key else F.col(c) for c in df.columns))
+
+
 def bootstrap(spark: SparkSession, root: str) -> None:
     """Create all tables empty, dropping what is there.
 
@@ -87,7 +115,7 @@ def bootstrap(spark: SparkSession, root: str) -> None:
         remove_folder(spark, f"{root}/{table}")
         make_folder(spark, f"{root}/{table}")
 
-    for table in TABLES:
+    for table in [*TABLES, *(f"{t}_files" for t in NUMBERED), "quarantine"]:
         create(table)
     make_folder(spark, f"{root}/loads")
 
@@ -147,7 +175,35 @@ def is_loaded(spark: SparkSession, root: str, load: str) -> bool:
 
 
 def write_rows(root: str, load: str, table: str, df: DataFrame) -> DataFrame:
-    """Put a load's rows into a table, unseen until the load is finished; the rows as written."""
+    """Put a load's rows into a table, unseen until the load is finished; the rows as written.
+
+    Columns of BESIDE, if ``df`` has them, go into the same files in the same pass;
+    readers of the table do not see them.
+    """
     path = f"{root}/{table}/load={load}"
-    conform(df, table).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(TABLES[table]).parquet(path)
+    fields = [*TABLES[table].fields, *(df.schema[c] for c in BESIDE if c in df.columns)]
+    df.select(*[F.col(f.name).cast(f.dataType) for f in fields]).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(StructType(fields)).parquet(path)
+
+
+def number_files(root: str, load: str, table: str, rows: DataFrame, after: int) -> None:
+    """Give the rows of a load's files dense ids from ``after + 1``: those of a file follow its first id.
+
+    ``rows`` as written. Only how many each file holds is counted, and only that, one
+    row per file, passes through a window without a key.
+    """
+    sizes = rows.select(F.col("_metadata.file_name").alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("n").over(before), F.lit(0)) + F.lit(after + 1)
+    numbered = sizes.select("file", first.cast("long").alias("first_id"))
+    numbered.write.mode("overwrite").parquet(f"{root}/{table}_files/load={load}")
+
+
+def write_quarantine(root: str, load: str, rows: DataFrame) -> None:
+    rows.select(*QUARANTINE.names).write.mode("overwrite").parquet(f"{root}/quarantine/load={load}")
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """The rows that did not fit, of finished and of rejected loads, with the load's name."""
+    make_folder(spark, f"{root}/quarantine")
+    return spark.read.schema(_with_load(QUARANTINE)).parquet(f"{root}/quarantine")
