@@ -25,7 +25,6 @@ from voltdrift.session import materialize, remove_folder
 from voltdrift.sources.csv_frames import POSITION, REJECTED, ExportFrames
 from voltdrift.sources.schema import (
     DETECTOR_MEASUREMENT,
-    FOREIGN_KEYS,
     FRAMES,
     GAIN_OPTIMIZATION,
     LENGTHS,
@@ -105,8 +104,11 @@ def _load(
             *[F.coalesce(F.max(f"last_{f.name}_id"), F.lit(0)) for f in fields(LastIds)]
         ).first()
     )
-    # the one parse of the Sample files
-    frames = replace(frames, sample=materialize(frames.sample, staging))
+    # the one parse of all files but those of peaks
+    staged: dict[str, DataFrame] = {}
+    small = [f.name for f in fields(frames) if f.name != "peaktable"]
+    each(lambda name: staged.__setitem__(name, materialize(getattr(frames, name), staging)), small)
+    frames = replace(frames, **staged)
     incoming = frames.sample.select("dataset_id").distinct()
     n_incoming = incoming.count()
     n_rejected = already_present(incoming, existing.dataset, "dataset_id").count()
@@ -162,15 +164,13 @@ def _load(
         "sample": sample_rows(samples, ionstats),
         "peaktable": peaks,
     }
-    n = _checked(tables, existing, [samples, ionstats, frames.idl, frames.dr, frames.gc, frames.ms], samples)
+    n = _checked(tables, existing, samples, ionstats, frames)
     n["n_bad_rows"] += seen["n_bad"]
     n["n_orphan_peaks"] = seen["n_orphans"]
     problems = [
-        f"{parent} without a row for {count} method ids in use"
-        if parent.endswith("_method")
-        else f"{parent} without a row for {count} keys in {child}"
-        for child, key, parent in FOREIGN_KEYS
-        if (count := n[f"missing {child}.{key}"])
+        f"{key.removesuffix('_id')} without a row for {count} method ids in use"
+        for key in ("gc_method_id", "ms_method_id")
+        if (count := n[f"missing dataset.{key}"])
     ]
     problems += [f"{count} keys of {table} are not unique" for table in PRIMARY_KEYS if (count := n.get(f"repeated {table}"))]
     problems += [
@@ -214,32 +214,40 @@ def _observed(watch: Observation) -> dict[str, int]:
 
 
 def _checked(
-    tables: dict[str, DataFrame], existing: InstrumentTables, frames: list[DataFrame], samples: DataFrame
+    tables: dict[str, DataFrame], existing: InstrumentTables, samples: DataFrame, ionstats: DataFrame, frames: ExportFrames
 ) -> dict[str, int]:
-    """All counts of the report and of the rules that must hold, in one job."""
-    counted = {
-        "n_datasets": tables["dataset"],
-        "n_without_instrument": tables["dataset"].filter(F.col("instrument").isNull()),
-        "n_samples": samples,
-        "n_repeated_names": samples.groupBy("dataset_id", "samplename").count().filter("count > 1"),
-        "n_ionstats": tables["ionstats"],
-        "n_peaks": tables["peaktable"],
-        "n_idl": tables["idl"],
-        "n_dr": tables["dynamicrange"],
-    }
-    for child, key, parent in FOREIGN_KEYS:
-        parents = tables[parent].select(key)
-        if parent in ("gc_method", "ms_method"):
-            parents = parents.union(getattr(existing, parent).select(key))
-        counted[f"missing {child}.{key}"] = missing_parents(tables[child], key, parents, key)
-    for table, key in PRIMARY_KEYS.items():
-        if table != "peaktable":  # a place in the written files, unique by itself
-            counted[f"repeated {table}"] = duplicate_keys(tables[table], key)
-    for table in ("dataset", "gc_method"):
-        for column, length in LENGTHS[table].items():
-            counted[f"long {table}.{column}"] = tables[table].filter(F.length(column) > length)
-    counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in counted.items()]
-    counts += [df.agg(F.lit("n_bad_rows"), F.count(F.when(F.col("_bad"), 1))) for df in frames]
+    """All counts of the report and of the rules that can fail, in one job.
+
+    Serial keys are dense numbers, and the foreign keys that hold them come from
+    joins with the rows that have them; of the other keys, methods can be missing.
+    """
+    count, bad = F.count(F.lit(1)), F.count(F.when(F.col("_bad"), 1))
+
+    def longer(table: str) -> dict[str, Column]:
+        return {f"long {table}.{c}": F.count(F.when(F.length(c) > n, 1)) for c, n in LENGTHS[table].items()}
+
+    counted: list[tuple[DataFrame, dict[str, Column]]] = [
+        (tables["dataset"], {
+            "n_datasets": count, "n_without_instrument": F.count(F.when(F.col("instrument").isNull(), 1)), **longer("dataset")
+        }),
+        (tables["gc_method"], longer("gc_method")),
+        (samples, {"n_samples": count, "n_bad_rows": bad}),
+        (samples.groupBy("dataset_id", "samplename").count().filter("count > 1"), {"n_repeated_names": count}),
+        (ionstats, {"n_ionstats": count, "n_bad_rows": bad}),
+        (tables["peaktable"], {"n_peaks": count}),
+        (tables["idl"], {"n_idl": count}),
+        (tables["dynamicrange"], {"n_dr": count}),
+        *((getattr(frames, frame), {"n_bad_rows": bad}) for frame in ("idl", "dr", "gc", "ms")),
+        *((duplicate_keys(tables[t], PRIMARY_KEYS[t]), {f"repeated {t}": count}) for t in ("dataset", "gc_method", "ms_method")),
+    ]
+    for table in ("gc_method", "ms_method"):
+        key = PRIMARY_KEYS[table]
+        known = tables[table].select(key).union(getattr(existing, table).select(key))
+        counted.append((missing_parents(tables["dataset"], key, known, key), {f"missing dataset.{key}": count}))
+    counts = []
+    for df, values in counted:
+        pairs = F.array(*(F.struct(F.lit(name).alias("name"), F.col(f"_{i}").alias("n")) for i, name in enumerate(values)))
+        counts.append(df.agg(*(value.alias(f"_{i}") for i, value in enumerate(values.values()))).select(F.inline(pairs)))
     found: dict[str, int] = {"n_bad_rows": 0}
     for name, n in reduce(DataFrame.union, counts).collect():
         found[name] = found.get(name, 0) + n
