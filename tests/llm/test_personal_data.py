@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -41,6 +42,56 @@ def test_trees_add_what_looks_like_the_stated(spark):
     assert (3, 5, 22) in {tuple(s) for s in last.spans}
 
 
+def test_long_text_takes_linear_time(spark):
+    """100,000 addresses in one text, and as many that are none."""
+    good = [f"10.{i // 60_000}.{i // 250 % 240}.{i % 250}" for i in range(100_000)]
+    texts = [(1, " ".join(good)), (2, " ".join(["999.1.2.3"] * 100_000)), (3, "+1 (017) 555-7713 " * 20_000)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    start = time.monotonic()
+    rows = {r.doc_id: r for r in d.personal_data(frame, "doc_id", "text").collect()}
+    assert time.monotonic() - start < 120
+    at = 0
+    for span, address in zip(rows[1].stated, good, strict=True):
+        assert (d.KINDS[span.kind], span.start, span.end) == ("ip", at, at + len(address))
+        at += len(address) + 1
+    assert not rows[2].stated and len(rows[3].stated) == 20_000
+    for r in rows.values():
+        assert set(map(tuple, r.stated)) <= set(map(tuple, r.spans))
+
+
+def test_selection_matches_all_pairs(spark):
+    r = random.Random(3)
+    model = d.Model([], 0.0, {g: 0.5 - 0.1 * (g % 2) for g in range(len(d.GENERATORS))})
+    trees = [d.Tree(("marks", [0, 1]), [("digits", [2, 3]), None], [0.4, -0.3, 0.1, 0.1])]
+    model = model._replace(trees=trees)
+    names = list(d.FEATURES)
+    rows = []
+    for row in range(40):
+        stated = {k: [] for k in d.KINDS}
+        for k in d.KINDS:
+            at = 0
+            while r.random() < 0.6:
+                start = at + r.randrange(1, 60)
+                at = start + r.randrange(3, 30)
+                stated[k].append((start, at))
+        candidates = [(s, s + r.randrange(1, 200), *(r.randrange(d.FEATURES[f]) for f in names)) for s in (r.randrange(300) for _ in range(r.randrange(12)))]
+        rows.append((row, tuple(stated[k] for k in d.KINDS), candidates))
+    pair = "array<struct<start:int,end:int>>"
+    schema = f"doc_id int, base struct<{','.join(f'{k}:{pair}' for k in d.KINDS)}>, candidates array<struct<start:int,end:int,{','.join(f'{f}:int' for f in names)}>>"
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in d.selected(d.checkpointed(spark.createDataFrame(rows, schema)), model).collect()}
+    for row, base, candidates in rows:
+        stated = [(n, *s) for n, spans in enumerate(base) for s in spans]
+        likely = []
+        for i, (start, end, *features) in enumerate(candidates):
+            x = dict(zip(names, features, strict=True))
+            margin = (0.4 if x["digits"] in (2, 3) else -0.3) if x["marks"] in (0, 1) else 0.1
+            chance = 1 / (1 + np.exp(-margin))
+            if chance >= model.thresholds[x["generator"]] and not any(start < e and s < end for _, s, e in stated):
+                likely.append((chance, -i, start, end, d.KINDS.index(list(d.GENERATORS.values())[x["generator"]][0])))
+        best = [c for c in likely if not any(o[:2] > c[:2] and c[2] < o[3] and o[2] < c[3] for o in likely)]
+        assert found[row] == sorted(stated + [(c[4], c[2], c[3]) for c in best])
+
+
 def test_boosting_separates_cells():
     r = np.random.default_rng(0)
     cells = np.unique(np.stack([r.integers(0, n, 400) for n in d.FEATURES.values()], axis=1), axis=0)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltdrift.llm.common import checkpointed, read
@@ -34,7 +34,9 @@ GENERATORS = {
     "phone_bare": ("phone", r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
 }
 _CUES = r"(?:mail|contact|write|call|phone|tel|mobil|fax|ip|host|server|address|card|visa|credit|pay)[^\n]{0,20}$"
-SPAN = "array<struct<start:int,end:int,found:string,before:string>>"
+SPAN = "array<struct<start:int,end:int,found:string,before:string,after:string>>"
+CHUNK = 256  # matches whose places are summed up together
+CELL = 64  # code points of a text in which overlapping candidates meet
 
 
 def _struct(**fields: Column) -> Column:
@@ -43,27 +45,43 @@ def _struct(**fields: Column) -> Column:
 
 
 def _matches(text: Column, pattern: str, plain: str) -> Column:
-    """Matches of ``pattern`` in order, with their places (code points) and what stands around them.
+    """Matches of ``pattern`` in order, each with the text before it, and what follows both.
 
     Texts without the character class ``plain``, which every match needs, are not searched.
     """
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(0))
-    return F.when(text.rlike(plain), found)
+    between = F.split(text, pattern, -1)
+    rest = F.array_size(between)
+    pairs = F.arrays_zip(
+        between.alias("between"), found.alias("found"), F.slice(between, F.lit(2), rest).alias("then"), F.slice(found, F.lit(2), rest).alias("next")
+    )
+    return F.when(text.rlike(plain), F.filter(pairs, lambda p: p["found"].isNotNull()))
 
 
-def _placed(text: Column, found: Column, pattern: str) -> Column:
-    between = F.split(text, pattern, -1)
-    start = _struct(at=F.lit(0), spans=F.array().cast(SPAN))
+def _placed(pairs: str) -> Column:
+    """The matches with their places (code points) and what stands around them.
+
+    The places are running sums, taken in chunks: arrays that grow by one element
+    at a time are copied each time, so they are kept to CHUNK elements, and one
+    element a chunk.
+    """
+    size = lambda p: F.length(p["between"]) + F.length(p["found"])
+    chunks = F.transform(F.sequence(F.lit(1), F.size(pairs), F.lit(CHUNK)), lambda at: F.slice(pairs, at, CHUNK))
+    sizes = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, p: a + size(p)))
+    zero = _struct(at=F.lit(0), all=F.array().cast("array<int>"))
+    starts = F.aggregate(sizes, zero, lambda state, n: _struct(at=state["at"] + n, all=F.concat(state["all"], F.array(state["at"]))))["all"]
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.length(pair["between"])
         end = begin + F.length(pair["found"])
-        span = _struct(start=begin, end=end, found=pair["found"], before=F.right(pair["between"], F.lit(24)))
+        after = F.left(F.concat(F.coalesce(pair["then"], F.lit("")), F.coalesce(pair["next"], F.lit(""))), F.lit(1))
+        span = _struct(start=begin, end=end, found=pair["found"], before=F.right(pair["between"], F.lit(24)), after=after)
         return _struct(at=end, spans=F.concat(state["spans"], F.array(span)))
 
-    pairs = F.arrays_zip(between.alias("between"), found.alias("found"))
-    pairs = F.filter(pairs, lambda p: p["found"].isNotNull())
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step)["spans"]).otherwise(F.array().cast(SPAN))
+    def spans(chunk: Column, at: Column) -> Column:
+        return F.aggregate(chunk, _struct(at=at, spans=F.array().cast(SPAN)), step)["spans"]
+
+    return F.when(F.size(pairs) > 0, F.flatten(F.zip_with(chunks, starts, spans))).otherwise(F.array().cast(SPAN))
 
 
 def _digits(found: Column) -> Column:
@@ -103,7 +121,7 @@ def _kind_of_character(c: Column) -> Column:
     )
 
 
-def _features(span: Column, text: Column, generator: int) -> Column:
+def _features(span: Column, generator: int) -> Column:
     digits = F.length(_digits(span["found"]))
     marks = F.length(F.regexp_replace(span["found"], "[A-Za-z0-9]", ""))
     amount = F.when(digits < 4, 0).when(digits < 8, 1).when(digits < 11, 2).when(digits < 13, 3).when(digits < 16, 4).otherwise(5)
@@ -114,13 +132,13 @@ def _features(span: Column, text: Column, generator: int) -> Column:
         digits=amount,
         marks=F.least(marks, F.lit(3)),
         before=_kind_of_character(F.right(span["before"], F.lit(1))),
-        after=_kind_of_character(F.substring(text, span["end"] + 1, F.lit(1))),
+        after=_kind_of_character(span["after"]),
         cue=F.lower(span["before"]).rlike(_CUES).cast("int"),
     )
 
 
 def _features_of(generator: int):
-    return lambda span: _features(span, F.col("_text"), generator)
+    return lambda span: _features(span, generator)
 
 
 def found_spans(docs: DataFrame, *keep: str) -> DataFrame:
@@ -130,9 +148,9 @@ def found_spans(docs: DataFrame, *keep: str) -> DataFrame:
     plain = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"} | {g: "@" if k == "email" else "[0-9]" for g, (k, _) in GENERATORS.items()}
     patterns = BASE | {g: p for g, (_, p) in GENERATORS.items()}
     matched = docs.select(*keep, text.alias("_text")).select(
-        *keep, "_text", *(_matches(F.col("_text"), p, plain[n]).alias(f"_m_{n}") for n, p in patterns.items())
+        *keep, *(_matches(F.col("_text"), p, plain[n]).alias(f"_m_{n}") for n, p in patterns.items())
     )
-    placed = matched.select(*keep, "_text", *(_placed(F.col("_text"), F.col(f"_m_{n}"), p).alias(f"_{n}") for n, p in patterns.items()))
+    placed = matched.select(*keep, *(_placed(f"_m_{n}").alias(f"_{n}") for n in patterns))
     base = F.struct(
         *(
             F.transform(F.filter(f"_{k}", _is_valid(k)), lambda s: _struct(start=s["start"], end=s["end"])).alias(k)
@@ -252,18 +270,26 @@ def _base_list(base: Column) -> Column:
     )
 
 
+def _numbered(found: DataFrame) -> DataFrame:
+    """Rows with a number, and ``stated``, all stated spans. ``found`` must be written, so that numbers stay."""
+    return found.select("*", _base_list(F.col("base")).alias("stated"), F.monotonically_increasing_id().alias("_row"))
+
+
 def train(found: DataFrame, precision: float = PRECISION) -> Model:
     """Trees that tell candidates which are stated spans of their kind from the rest.
 
     Spark counts all candidates of all documents by their cell of features; the
     table of cells, a few thousand at most whatever the data, comes to the driver.
+    Candidates and stated spans meet by row and place, so a text of many costs no
+    more than many texts.
     """
-    each = found.select(_base_list(F.col("base")).alias("stated"), F.explode("candidates").alias("c"))
-    same = F.exists("stated", lambda s: (s["kind"] == _kind_number(F.col("c.generator"))) & (s["start"] == F.col("c.start")) & (s["end"] == F.col("c.end")))
+    numbered = _numbered(found).where(F.size("candidates") > 0)
+    each = numbered.select("_row", F.explode("candidates").alias("c")).select("_row", _kind_number(F.col("c.generator")).alias("kind"), "c.*")
+    stated = numbered.select("_row", F.explode("stated").alias("s")).select("_row", "s.*", F.lit(1).alias("true"))
     table = (
-        each.select(*(F.col(f"c.{f}").alias(f) for f in FEATURES), same.cast("long").alias("true"))
+        each.join(stated, ["_row", "kind", "start", "end"], "left")
         .groupBy(*FEATURES)
-        .agg(F.count("*").alias("n"), F.sum("true").alias("true"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count("true").alias("true"))
         .orderBy(*FEATURES)
         .collect()
     )
@@ -271,40 +297,59 @@ def train(found: DataFrame, precision: float = PRECISION) -> Model:
     return fitted(cells, np.array([r["n"] for r in table], float), np.array([r["true"] for r in table], float), precision)
 
 
+def _free(likely: DataFrame, stated: DataFrame) -> DataFrame:
+    """The candidates of ``likely`` that overlap no stated span of their row.
+
+    Along a text, a candidate's end is held against the furthest end of the stated
+    spans that begin before it.
+    """
+    none = F.lit(None).cast("int")
+    ends = likely.select("*", F.col("end").alias("_at"), none.alias("_reach"))
+    begins = stated.select("_row", *(F.lit(None).cast(f.dataType).alias(f.name) for f in likely.schema if f.name != "_row"), F.col("start").alias("_at"), F.col("end").alias("_reach"))
+    before = Window.partitionBy("_row").orderBy("_at", F.col("_reach").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = ends.unionByName(begins).withColumn("_furthest", F.max("_reach").over(before))
+    return both.where(F.col("_reach").isNull() & (F.coalesce("_furthest", F.lit(-1)) <= F.col("start"))).select(likely.columns)
+
+
+def _likeliest(free: DataFrame) -> DataFrame:
+    """The candidates that no likelier one (the first of equal ones) of their row overlaps.
+
+    They meet in cells of CELL code points, which hold few whatever the text.
+    """
+    cells = F.explode(F.sequence(F.floor(F.col("start") / CELL), F.floor((F.col("end") - 1) / CELL)))
+    here = free.select("*", cells.alias("_cell"))
+    other = here.select("_row", "_cell", *(F.col(c).alias(f"o_{c}") for c in ("start", "end", "chance", "i")))
+    beaten = here.join(other, ["_row", "_cell"]).where(
+        (F.col("start") < F.col("o_end")) & (F.col("o_start") < F.col("end"))
+        & ((F.col("o_chance") > F.col("chance")) | ((F.col("o_chance") == F.col("chance")) & (F.col("o_i") < F.col("i"))))
+    )
+    return free.join(beaten.select("_row", "i").distinct(), ["_row", "i"], "left_anti")
+
+
 def selected(found: DataFrame, model: Model) -> DataFrame:
-    """``found`` with ``spans``: the stated ones, and the candidates that the trees select.
+    """``found`` with ``stated``, and ``spans``: the stated ones and the candidates that the trees select.
 
     A candidate is selected where its chance reaches its generator's threshold, it
     overlaps no stated span, and no likelier candidate (the first of equal ones)
-    that reaches its own threshold overlaps it.
+    that reaches its own threshold and is free overlaps it.
     """
     thresholds = F.array(*(F.lit(model.thresholds[g]) for g in range(len(GENERATORS))))
-    likely = F.transform(
-        "candidates",
-        lambda c, i: _struct(
-            kind=_kind_number(c["generator"]),
-            start=c["start"],
-            end=c["end"],
-            chance=chance_of(model, c),
-            least=thresholds[c["generator"]],
-            i=i,
-        ),
-    )
-
-    def overlap(a: Column, b: Column) -> Column:
-        return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-    step = found.withColumn("stated", _base_list(F.col("base")))
-    step = step.withColumn("likely", F.filter(likely, lambda c: (c["chance"] >= c["least"]) & ~F.exists("stated", lambda s: overlap(c, s))))
-    best = F.filter(
-        "likely",
-        lambda c: ~F.exists(
-            "likely",
-            lambda o: overlap(c, o) & ((o["chance"] > c["chance"]) | ((o["chance"] == c["chance"]) & (o["i"] < c["i"]))),
+    likely = F.filter(
+        F.transform(
+            "candidates",
+            lambda c, i: _struct(
+                kind=_kind_number(c["generator"]), start=c["start"], end=c["end"], chance=chance_of(model, c), least=thresholds[c["generator"]], i=i
+            ),
         ),
+        lambda c: c["chance"] >= c["least"],
     )
-    added = F.transform(best, lambda c: _struct(kind=c["kind"], start=c["start"], end=c["end"]))
-    return step.withColumn("spans", F.array_sort(F.concat("stated", added))).drop("likely")
+    numbered = _numbered(found)
+    open_rows = numbered.select("_row", "stated", likely.alias("likely")).where(F.size("likely") > 0)
+    each = open_rows.select("_row", F.explode("likely").alias("c")).select("_row", "c.*")
+    free = _free(each, open_rows.select("_row", F.explode("stated").alias("s")).select("_row", "s.*"))
+    added = _likeliest(checkpointed(free)).groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+    spans = F.array_sort(F.concat("stated", F.coalesce("added", F.array().cast("array<struct<kind:int,start:int,end:int>>"))))
+    return numbered.join(added, "_row", "left").withColumn("spans", spans).drop("_row", "added")
 
 
 def personal_data(docs: DataFrame, *keep: str, precision: float = PRECISION) -> DataFrame:
