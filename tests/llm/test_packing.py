@@ -27,7 +27,7 @@ def test_first_fit_decreasing_matches_a_scan():
 
 
 def test_ids_by_word_are_the_ids_of_the_text():
-    texts = ["", "A b\tc\nd  e", "Été É  \u0085x", "it's 'S 12.5%!! <|endoftext|> <|ENDOFTEXT|>", "İ ΣσΣ \U0001f600a", "x" * 300, "a\x1cb\x00c"]
+    texts = ["", "A b\tc\nd  e", "Été É  \u0085x", "it's 'S 12.5%!! <|endoftext|> <|ENDOFTEXT|>", "İ ΣσΣ \U0001f600a", "x" * 300, "a\x1cb\x00c", "\ue000", "a\ue000b \ue000 c \ue000\ue000", "e\u0301 \u0301e \u3000x"]
     words, plain = p.WordIds(PATH, cache=3), Tokenizer.from_file(PATH)
     for text in texts * 2:
         assert np.frombuffer(words.of(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids

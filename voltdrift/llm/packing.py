@@ -21,6 +21,8 @@ LENGTH = 4096
 END = 2  # id that closes a document
 GROUP = 4_000  # pieces packed together, on average
 CACHE = 600_000  # words whose ids a worker keeps
+TOGETHER = 1_000  # new words encoded in one call
+MARK = "\ue000"  # stands between them
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\r", b"abcdefghijklmnopqrstuvwxyz   ")
 
 
@@ -43,18 +45,34 @@ class WordIds:
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
         self.path, self.cache, self.known = path, cache, {b"": b""}
+        self.mark = self.encode([MARK])[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > self.cache:
-            self.known = {b"": b""}
         new = list(words)
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            self.known.update(zip(some, self.encode([x.decode("utf-8", "surrogatepass") for x in some]), strict=True))
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            self.known.update(zip(some, self._together([x.decode("utf-8", "surrogatepass") for x in some]), strict=True))
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one text in which a mark stands between any two.
+
+        Making one result a word takes longer than the ids. Where a word holds the
+        mark's own ids, each is encoded by itself.
+        """
+        ids = np.frombuffer(self.encode([f" {MARK} ".join(words)])[0], "<u4")
+        mark = np.frombuffer(self.mark, "<u4")
+        n = len(mark)
+        here = np.nonzero(ids[: len(ids) - n + 1] == mark[0])[0] if len(ids) >= n else np.empty(0, int)
+        for k in range(1, n):
+            here = here[ids[here + k] == mark[k]]
+        if len(here) != len(words) - 1:
+            return self.encode(words)
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip([0, *(here + n).tolist()], [*here.tolist(), len(ids)], strict=True)]
 
     def of(self, text: str) -> bytes:
         raw = text.encode("utf-8", "surrogatepass")
@@ -64,10 +82,13 @@ class WordIds:
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            missing = set(words)
-            self.learn(missing.difference(self.known))
-            if not missing <= self.known.keys():  # the cache was emptied
-                self.learn(missing.difference(self.known))
+            here = set(words)
+            new = here.difference(self.known)
+            if len(self.known) + len(new) > self.cache:
+                # all words of a text are known at once, however many they are
+                self.known = {b"": b""}
+                new = here - {b""}
+            self.learn(new)
             return b"".join(map(self.known.__getitem__, words))
 
 
