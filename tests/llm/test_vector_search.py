@@ -31,6 +31,18 @@ def test_matches_brute_force(spark, rows, shard, block, page):
     assert sorted(map(tuple, found.collect())) == expected(rows)
 
 
+@pytest.mark.parametrize("large", [70_000.0, 1e6, -3e7, 1e12, 2.0**60, 1e40, 1e200, 1e305])
+def test_large_components_take_part(spark, rows, large):
+    """As candidates and as queries, beside and among ordinary vectors; a score that no long holds is the nearest long."""
+    some = [*rows[:120], (3000, [large, 1.0, 0.3, 0.0, -2.0, 0.1]), (3001, [0.7, 0.0, 0.0, 0.0, 0.0, large / 3])]
+    found = v.top_k(spark.createDataFrame(some, "vec_id long, embedding array<double>").repartition(2), shard=50, page=8)
+    wide = [(q, rank, i, max(-(2**63), min(2**63 - 1, s))) for q, rank, i, s in expected(some)]
+    if large < 1e12:
+        assert sorted(map(tuple, found.collect())) == wide
+    else:  # of scores that are cut, the smaller ids come first
+        assert sorted((r.query_id, r.score) for r in found.collect()) == sorted((q, s) for q, _, _, s in wide)
+
+
 def test_bounds_spare_pages():
     """Clustered vectors: a search opens few of the pages."""
     rng = np.random.default_rng(1)

@@ -19,7 +19,10 @@ SCALE = 256
 PAGE = 96  # entries of a node
 SHARD = 8_192  # vectors under one tree
 BLOCK = 8_192  # queries broadcast at once
-LARGEST = 1 << 24  # a vector with a component beyond takes no part: its scores might not be exact
+LARGEST = 1 << 24  # vectors with a component beyond go under trees of their own, so that others' bounds stay tight
+FARTHEST = 1e300  # squares of distances beyond bound nothing
+LONG = (1 << 63) - 1
+EXACT = 1 << 62  # sums below are exact in 64 bits; others are taken in Python's integers
 
 
 class Page(NamedTuple):
@@ -41,10 +44,15 @@ class MTree:
 
     def __init__(self, vectors: np.ndarray, page: int = PAGE) -> None:
         self.vectors = vectors
-        norms = (vectors.astype(np.float64) ** 2).sum(axis=1)
+        self.largest = _largest(vectors)
+        norms = (_doubles(vectors) ** 2).sum(axis=1)
         self.square = float(norms.max(initial=0.0))
+        if self.square > FARTHEST:  # no distances to go by: one page, and no bounds
+            self.points = np.zeros((len(vectors), 1))
+            self.root = Page(np.arange(len(vectors)), np.zeros(len(vectors)), None, None)
+            return
         extra = np.sqrt(np.maximum(self.square - norms, 0))
-        self.points = np.concatenate([vectors.astype(np.float64), extra[:, None]], axis=1)
+        self.points = np.concatenate([_doubles(vectors), extra[:, None]], axis=1)
         self.page = page
         self.root = self._load(np.arange(len(vectors)), None)
 
@@ -71,8 +79,12 @@ class MTree:
 
     def nearest(self, query: np.ndarray, k: int, ids: np.ndarray, own: int) -> list[tuple[int, int]]:
         """The k objects (score, id) with the largest inner products, ties to smaller ids, without id ``own``."""
-        plain = query.astype(np.float64)
-        norm = float(plain @ plain)
+        vectors = self.vectors
+        if self.largest * _largest(query) * max(1, len(query)) >= EXACT:
+            vectors, query = vectors.astype(object), query.astype(object)
+        plain = _doubles(query)
+        norm = float((plain * plain).sum())
+        bounded = max(norm, self.square) <= FARTHEST
         slack = 1e-7 * (norm + self.square + 1) ** 0.5  # of rounding in distances
         wanted = np.concatenate([plain, [0.0]])
         best: list[tuple[int, int]] = []  # heap of (score, -id)
@@ -93,7 +105,7 @@ class MTree:
             if not len(objects):
                 continue
             if radius is None:
-                scores = self.vectors[objects] @ query
+                scores = vectors[objects] @ query
                 rows = np.arange(len(scores))
                 if len(best) == k:
                     rows = np.nonzero(scores >= best[0][0])[0]
@@ -104,7 +116,7 @@ class MTree:
                         heapq.heappush(best, (score, -name))
                     elif (score, -name) > best[0]:
                         heapq.heapreplace(best, (score, -name))
-                if len(best) == k:
+                if len(best) == k and bounded:
                     limit = max(0.0, norm + self.square - 2 * best[0][0]) ** 0.5 + slack
             else:
                 distance = np.sqrt(np.maximum(((self.points[objects] - wanted) ** 2).sum(axis=1), 0))
@@ -117,27 +129,57 @@ class MTree:
         return [(score, -name) for score, name in sorted(best, reverse=True)]
 
 
-def _vectors(batch: pa.RecordBatch) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """(ids, integer vectors) of the rows, by length of the vector."""
+def _doubles(vectors: np.ndarray) -> np.ndarray:
+    """The vectors as doubles whose squares can be summed up."""
+    if vectors.dtype == object:
+        most = int(1e152)
+        vectors = np.minimum(np.maximum(vectors, -most), most)
+    return vectors.astype(np.float64)
+
+
+def _largest(vectors: np.ndarray) -> int:
+    return max(int(vectors.max(initial=0)), -int(vectors.min(initial=0)))
+
+
+def _integers(scaled: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) of doubles, as 64-bit integers, or Python's where these do not hold them."""
+    with np.errstate(over="ignore"):
+        large = np.abs(scaled) >= 2.0**53 / scale
+    if not large.any():
+        return np.floor(scaled * scale).astype(np.int64)
+    # doubles this large are whole once they are scaled, so scaling may come after
+    exact = [int(x * scale) if abs(x) < 2.0**900 else int(x) * scale for x in scaled[large].tolist()]
+    found = np.empty(scaled.shape, object)
+    found[~large] = [int(x) for x in np.floor(scaled[~large] * scale)]
+    found[large] = exact
+    return found
+
+
+def _vectors(batch: pa.RecordBatch, scale: int) -> dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]:
+    """(ids, integer vectors) of the rows, by length of the vector and whether one of its components is large."""
     rows = batch.column(1)
     sizes = rows.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    values = rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    values = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     names = batch.column(0).to_numpy(zero_copy_only=False)
     starts = np.cumsum(sizes) - sizes
     found = {}
     for size in np.unique(sizes).tolist():
         which = np.nonzero(sizes == size)[0]
-        found[size] = names[which], values[starts[which][:, None] + np.arange(size)]
+        each = values[starts[which][:, None] + np.arange(size)]
+        large = (np.abs(each) > LARGEST / scale).any(axis=1)
+        for kind in (False, True):
+            if (large == kind).any():
+                found[size, kind] = names[which[large == kind]], _integers(each[large == kind], scale)
     return found
 
 
-def _search(block, k: int, shard: int, page: int):
+def _search(block, k: int, shard: int, page: int, scale: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: dict[int, tuple[np.ndarray, np.ndarray]] = block.value
-        waiting: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        waiting: dict[tuple[int, bool], list[tuple[np.ndarray, np.ndarray]]] = {}
 
-        def answered(size: int) -> Iterator[pa.RecordBatch]:
-            parts = waiting.pop(size)
+        def answered(key: tuple[int, bool]) -> Iterator[pa.RecordBatch]:
+            parts, size = waiting.pop(key), key[0]
             ids, vectors = np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts])
             if size not in queries:
                 return
@@ -145,7 +187,7 @@ def _search(block, k: int, shard: int, page: int):
                 names = ids[at : at + shard]
                 tree = MTree(vectors[at : at + shard], page)
                 rows = [
-                    (int(q), name, score)
+                    (int(q), name, max(-LONG - 1, min(LONG, score)))
                     for q, vector in zip(*queries[size], strict=True)
                     for score, name in tree.nearest(vector, k, names, int(q))
                 ]
@@ -153,23 +195,22 @@ def _search(block, k: int, shard: int, page: int):
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
         for batch in batches:
-            for size, part in _vectors(batch).items():
-                waiting.setdefault(size, []).append(part)
-                if sum(len(i) for i, _ in waiting[size]) >= shard:
-                    yield from answered(size)
-        for size in list(waiting):
-            yield from answered(size)
+            for key, part in _vectors(batch, scale).items():
+                waiting.setdefault(key, []).append(part)
+                if sum(len(i) for i, _ in waiting[key]) >= shard:
+                    yield from answered(key)
+        for key in list(waiting):
+            yield from answered(key)
 
     return run
 
 
-def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, vector) of the rows that take part: components become floor(scale * x), x as double."""
-    scaled = vectors.select(
-        F.col("vec_id").cast("long"), F.transform("embedding", lambda x: F.floor(x.cast("double") * scale)).alias("vector"), "embedding"
+def usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, vector) of the rows that take part, with components as doubles."""
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    return vectors.where(F.col("vec_id").isNotNull() & fine).select(
+        F.col("vec_id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("vector")
     )
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale <= LARGEST))
-    return scaled.where(F.col("vec_id").isNotNull() & fine).select("vec_id", "vector")
 
 
 def top_k(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SCALE, shard: int = SHARD, block: int = BLOCK, page: int = PAGE) -> DataFrame:
@@ -179,13 +220,14 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SCA
     Tasks put what they read under M-trees of ``shard`` vectors. The queries, the
     stated set, are broadcast in blocks of ``block``; what each tree finds best is
     cut to ``k`` a query in the task before rows meet by query. Ties go to smaller
-    ids. Rows without an id, and vectors that are NULL or hold a NULL, non-finite
-    or too large component (beyond 2**24 after scaling), take no part. Only
-    vectors of equal length are compared. A row that repeats an id counts as a
+    ids. Components become floor(``scale`` * x), x as double, however large; scores
+    are exact, and one that a long cannot hold is given as the nearest long. Rows
+    without an id, and vectors that are NULL or hold a NULL or non-finite component,
+    take no part. Only vectors of equal length are compared. A row that repeats an id counts as a
     candidate of its own, but rows with the query's id are its own; a repeated
     query is asked once, with the least of its vectors.
     """
-    whole = integer_vectors(vectors, scale)
+    whole = usable(vectors)
     stated = whole.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     context = vectors.sparkSession.sparkContext
     results, some = [], []
@@ -193,14 +235,10 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SCA
     def ask() -> None:
         by_size: dict[int, list] = {}
         for name, vector in some:
-            by_size.setdefault(len(vector), []).append((name, vector))
-        sent = context.broadcast(
-            {
-                size: (np.array([n for n, _ in rows], np.int64), np.array([v for _, v in rows], np.int64).reshape(len(rows), size))
-                for size, rows in by_size.items()
-            }
-        )
-        results.append(whole.mapInArrow(_search(sent, k, shard, page), "query_id long, vec_id long, score long"))
+            values = _integers(np.array(vector, np.float64), scale)
+            by_size.setdefault(len(vector), []).append((name, values))
+        sent = context.broadcast({size: ([n for n, _ in rows], [v for _, v in rows]) for size, rows in by_size.items()})
+        results.append(whole.mapInArrow(_search(sent, k, shard, page, scale), "query_id long, vec_id long, score long"))
         some.clear()
 
     for name, vector in stated.toLocalIterator():
