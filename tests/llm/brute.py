@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import xxhash
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -67,6 +69,31 @@ def edit_distance(a, b, most):
     return row[-1]
 
 
+def similar_pairs(norms, similarity=0.8):
+    """All pairs (i, j), i < j, of texts of an edit similarity of 0.8 or more, with no blocks.
+
+    One edit changes two pairs of neighbouring characters at most, so a distance is
+    at least a quarter of the difference of their counts; only pairs that this
+    does not rule out are compared.
+    """
+    counts = np.zeros((len(norms), 512), np.int16)
+    for i, x in enumerate(norms):
+        padded = f"\n{x}\n"
+        np.add.at(counts[i], [zlib.crc32(padded[k : k + 2].encode()) % 512 for k in range(len(padded) - 1)], 1)
+    order = sorted(range(len(norms)), key=lambda i: len(norms[i]))
+    sizes = np.array([len(norms[i]) for i in order])
+    sorted_counts, found = counts[order], []
+    for at, i in enumerate(order):
+        end = int(np.searchsorted(sizes, sizes[at] / similarity + 1e-9, "right"))
+        most = np.floor((1 - similarity) * sizes[at + 1 : end] + 1e-9)
+        near = np.abs(sorted_counts[at + 1 : end] - sorted_counts[at]).sum(axis=1) <= 4 * most
+        for k in np.nonzero(near)[0]:
+            j = order[at + 1 + k]
+            if edit_distance(norms[i], norms[j], int(most[k])) <= most[k]:
+                found.append((min(i, j), max(i, j)))
+    return found
+
+
 def normalised(line):
     return re.sub(r"[\W_]+", " ", line.lower()).strip()
 
@@ -100,6 +127,21 @@ def deduplicated_lines(docs):
     return out
 
 
+def redundant_lines(docs):
+    """Places (doc_id, line) of all but the first of each group of similar lines, found without blocks; and of the first."""
+    first = {}
+    for doc, text in sorted(d for d in docs if d[0] is not None and d[1] is not None):
+        for at, line in enumerate(text.split("\n")):
+            if norm := normalised(line):
+                first.setdefault(norm, (doc, at))
+    norms = list(first)
+    groups = Groups(first.values())
+    for a, b in similar_pairs(norms):
+        groups.unite(first[norms[a]], first[norms[b]])
+    kept = {groups.root(place) for place in first.values()}
+    return {place for place in first.values() if place not in kept}, kept
+
+
 def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
 

@@ -49,5 +49,11 @@ def test_one_of_each_group_stays(spark, docs):
     assert sorted(map(repr, (r[0] for r in kept.collect()))) == sorted(map(repr, expected))
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    rows = [(1, "one text of its own here"), (2, "one text of its own here"), (2, "and another that nobody else has"), (None, "one text of its own here")]
+    kept = s.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(map(repr, [rows[0], rows[2], rows[3]]))
+
+
 def test_nothing(spark):
     assert s.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0

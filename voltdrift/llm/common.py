@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_PASSING: list[list[DataFrame]] = []  # what each open passing() has written
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,12 +49,57 @@ def written(df: DataFrame) -> DataFrame:
 
     For large rows, as it is compressed, and for iterations: a checkpoint hands on
     how its rows are partitioned, and joins of joins add these up until planning
-    them takes longer than running them.
+    them takes longer than running them. What is no longer read goes by
+    :func:`forget`, or at the end of the :func:`passing` it was written in.
     """
     spark = df.sparkSession
     path = f"{_shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    if _PASSING:
+        _PASSING[-1].append(table)
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables of :func:`written`. Whatever is made of them must have been written itself.
+
+    Spark removes shuffle files once nothing in the driver refers to them; that is
+    seen to here as well, as a driver with memory to spare may not collect for hours.
+    """
+    for table in tables:
+        for passing_tables in _PASSING:
+            passing_tables[:] = [x for x in passing_tables if x is not table]
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession._jvm.System.gc()
+
+
+class Passing:
+    def __init__(self, tables: list[DataFrame]) -> None:
+        self.tables = tables
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """Leave a table to whoever called."""
+        self.tables[:] = [x for x in self.tables if x is not table]
+        if len(_PASSING) > 1:
+            _PASSING[-2].append(table)
+        return table
+
+
+@contextmanager
+def passing() -> Iterator[Passing]:
+    """Tables that are :func:`written` inside are removed at the end, but for those kept."""
+    tables: list[DataFrame] = []
+    _PASSING.append(tables)
+    try:
+        yield Passing(tables)
+    finally:
+        forget(*list(tables))
+        _PASSING.remove(tables)
 
 
 def fold(doc_id: Column, folds: int) -> Column:

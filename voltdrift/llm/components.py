@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltdrift.llm.common import written
+from voltdrift.llm.common import passing, written
 
 
 def _roots(pointers: DataFrame) -> DataFrame:
@@ -34,6 +34,11 @@ def connected(edges: DataFrame) -> DataFrame:
     go in a round. A node with many edges is only ever on the many side of a
     join, where AQE splits it. Loops and edges with a NULL end are left out.
     """
+    with passing() as made:
+        return made.keep(_contracted(edges))
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
     edges = written(
         edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
@@ -55,5 +60,5 @@ def connected(edges: DataFrame) -> DataFrame:
             moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         )
     if labels is None:
-        labels = edges.select(F.col("a").alias("node"), F.col("a").alias("label"))
+        labels = written(edges.select(F.col("a").alias("node"), F.col("a").alias("label")))
     return labels

@@ -44,7 +44,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         found = [fingerprint(x.as_py()) for x in batch.column(1)]
         signed = pa.array(np.array(found, np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column(0), signed], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), signed], ["doc_id", "text_key", "fp"])
 
 
 class BKTree:
@@ -182,7 +182,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shard_size: int = SHA
     member has an id, component_id is NULL. Repeated rows come back repeated,
     other columns of ``docs`` are not looked at, and no rows give no rows.
     """
-    marked = checkpointed(docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long"))
+    found = _components(docs, radius, shard_size)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, radius: int = RADIUS, shard_size: int = SHARD) -> DataFrame:
+    """(doc_id, text_key, fp, component_id) of every row; a row's text is told by its hash."""
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    marked = checkpointed(keyed.mapInArrow(_fingerprints, "doc_id long, text_key long, fp long"))
     distinct = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     labels = connected(fingerprint_links(distinct.select("fp"), radius, shard_size))
     members = checkpointed(labels.withColumnRenamed("node", "fp").join(distinct, "fp"))
@@ -191,17 +198,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shard_size: int = SHA
     named = distinct.join(linked, "fp", "left").select(
         "fp", F.when(F.col("linked"), F.col("least")).otherwise(F.col("first")).alias("component_id")
     )
-    return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marked.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that name their component, or that have no id; all columns.
 
-    Rows that share the id kept are all kept.
+    Of rows that share an id, each is judged by its own text.
     """
-    found = near_duplicates(docs, **options)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("_gone"), "left_anti")
+    found = _components(docs, **options).where(F.col("doc_id") != F.col("component_id"))
+    gone = found.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_gone_key")).distinct()
+    return docs.join(gone, (docs["doc_id"] == F.col("_gone")) & (F.xxhash64(docs["text"]) == F.col("_gone_key")), "left_anti")
 
 
 def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
