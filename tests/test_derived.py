@@ -204,7 +204,12 @@ def test_export_with_row_index(spark, tmp_path):
     derived.export_report(df, path, ["n"])
     back = read_csv(spark, path, "row_index bigint, name string, n int")
     assert sorted(rows(back)) == [(0, 'a,"q"', 1), (1, "b", 2), (2, None, 3), (3, "é", 4)]
-    assert not (tmp_path / "report_index").exists()
+    assert [f.name for f in tmp_path.iterdir()] == ["report"]
+    mine = tmp_path / "other_index"
+    mine.mkdir()
+    (mine / "notes.txt").write_text("kept")
+    derived.export_report(df, str(tmp_path / "other"), ["n"])
+    assert (mine / "notes.txt").read_text() == "kept"
     plain = str(tmp_path / "plain")
     derived.export_report(df, plain)
     assert read_csv(spark, plain, "name string, n int").columns == ["name", "n"]

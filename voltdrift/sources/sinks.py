@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,9 @@ def write_csv(
     """Write UTF-8 CSV files with a header under ``path``.
 
     With ``index_order`` a first column counts the rows from 0 in that order; the
-    rows are staged beside ``path`` for it.
+    rows are staged beside ``path`` for it, in a folder of their own.
     """
-    staging = f"{path.rstrip('/')}_index"
+    staging = f"{path.rstrip('/')}_index-{uuid.uuid4().hex}"
     try:
         if index_order:
             numbered = number_rows(df, index_name, index_order, staging, after=-1)
