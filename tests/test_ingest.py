@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tests.fixtures import rows
 from voltdrift.operators.integrity import duplicate_keys, missing_parents
-from voltdrift.plans import ingest
-from voltdrift.session import materialize
+from voltdrift.plans import ingest, reports
+from voltdrift.session import materialize, remove_folder
 from voltdrift.sources import tables as warehouse
 from voltdrift.sources.csv_frames import POSITION, read_export, read_frame
 from voltdrift.sources.schema import FOREIGN_KEYS, FRAMES, PRIMARY_KEYS, TABLES
@@ -417,6 +417,29 @@ def test_peaks_of_a_new_data_set_without_samples_are_orphans(spark, store, tmp_p
     assert (report.n_datasets, report.n_rejected_datasets, report.n_orphan_peaks) == (0, 1, 3)
 
 
+def test_reports_of_kept_states_equal_those_of_peaks(spark, store, tmp_path):
+    for name, ids in (("one", (0, 1)), ("two", (2, 3))):
+        for i in ids:
+            export(tmp_path / name, f"OFN{i}", peaks=[*PEAKS, *([(*PEAKS[0][:2], str(i * 7), *PEAKS[0][3:])] * (i + 1))])
+        load(spark, store, tmp_path / name, name)
+    t = stored(spark, store)
+    assert ingest.stored_states(spark, store).count() > 4
+
+    def same():
+        states = ingest.stored_states(spark, store)
+        for found, expected in (
+            (reports.analyte_stats_of_states(states, t, ["OFN"], 0.02), reports.analyte_replicate_stats(t, ["OFN"], 0.02)),
+            (reports.sensitivity_of_states(states, t, with_set=True), reports.sensitivity(t, with_set=True)),
+            (reports.unique_concentrations_of_states(states, "OFN"), reports.unique_concentrations(t, "OFN")),
+        ):
+            assert sorted(rows(found), key=repr) == sorted(rows(expected), key=repr) and rows(expected)
+
+    same()
+    # a load without states, as older ones are, has them taken from its peaks
+    remove_folder(spark, f"{store}/peak_states/load=two")
+    same()
+
+
 def test_load_without_peaks(spark, store, tmp_path):
     export(tmp_path / "in", "S1", peaks=None)
     report = load(spark, store, tmp_path / "in", "a").first()

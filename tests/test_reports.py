@@ -1,10 +1,12 @@
 """Reports on hand-made tables: the corners the driver's tables do not reach."""
 
+import random
 import struct
 
 import pytest
 
 from tests.fixtures import dataset, make_tables, method, peak, rows, sample
+from voltdrift.operators.replicates import Measure, merged_stats, moment_states, replicate_stats
 from voltdrift.plans import derived, reports
 
 DM, GO = "Detector Measurement", "Gain Optimization"
@@ -211,3 +213,23 @@ def test_linearity_drops_sets_without_range(spark):
         dataset=[dataset("A", dr_id=3), dataset("B")],
     )
     assert rows(reports.linearity(t)) == [("PV1", 350, 4.5, 0.5, 1000.0, 0.5)]
+
+
+def test_merged_states_equal_the_values_themselves(spark):
+    """Any grouping of the values gives the same statistics; large means do not eat small deviations."""
+    r = random.Random(12)
+    keys = ["a", "b", None]
+    data = [
+        (r.choice(keys), r.randrange(7), r.choice([None, 10**9 + r.randrange(3), r.randrange(9)]) if g else 10**15 + r.randrange(4), r.choice([None, 1e9 + r.random(), -2.5]))
+        for g in (0, 1) for _ in range(300)
+    ]
+    data += [("one", 0, 5, None), ("none", 0, None, None)]
+    df = spark.createDataFrame(data, "key string, part int, whole long, real double").repartition(4)
+    measures = [Measure("whole"), Measure("real")]
+    expected = {x.key: x for x in replicate_stats(df, ["key"], measures).collect()}
+    for parts in (["key", "part"], ["key"]):
+        found = {x.key: x for x in merged_stats(moment_states(df, parts, ["whole", "real"]), ["key"], measures).collect()}
+        assert found.keys() == expected.keys()
+        for key, row in expected.items():
+            for a, b in zip(found[key], row, strict=True):
+                assert a == b or a == pytest.approx(b, rel=1e-9, abs=0.005)

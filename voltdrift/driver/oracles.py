@@ -425,6 +425,20 @@ UNION ALL SELECT 'sample', count(*), min(sample_id), max(sample_id),
 UNION ALL SELECT 'peaktable', count(*), NULL, NULL,
     CAST(sum(area + 3 * height + similarity + 7 * quant_sn) AS BIGINT)
     FROM m_peak""",
+    "k1_all_frames": f"""WITH {TABLES},
+sets AS (SELECT {set_id('c_custkey')} AS dataset_id, * FROM customer JOIN nation ON n_nationkey = c_nationkey),
+dr AS (SELECT CAST(s_acctbal / 1000 AS FLOAT) AS orders FROM sets JOIN supplier ON s_suppkey = c_custkey % 10 WHERE c_mktsegment <> 'HOUSEHOLD')
+SELECT 'sample' AS frame, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad, CAST(sum(
+    CASE WHEN o_orderkey % 10 = 0 THEN 20 + length(CAST(o_orderkey AS VARCHAR)) ELSE 4 END
+    + 4 + length(CAST(o_orderkey AS VARCHAR)) + length(n_name)) AS BIGINT) AS checksum
+FROM orders JOIN sets ON o_custkey = c_custkey
+UNION ALL SELECT 'peaktable', count(*), 0, CAST(sum(floor(l_extendedprice) + CAST(l_quantity * 100 AS BIGINT)
+    + (l_linenumber - 1) * 150 + l_suppkey + l_partkey) AS BIGINT) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL SELECT 'idl', count(*), 0, CAST(sum(round(CAST(CAST(c_acctbal / 1000000 AS FLOAT) AS DOUBLE) * 1000000)) AS BIGINT)
+    FROM customer WHERE c_acctbal > 0
+UNION ALL SELECT 'gc', count(*), 0, CAST(sum(10 + length(n_name)) AS BIGINT) FROM sets
+UNION ALL SELECT 'ms', count(*), 0, CAST(sum(n_regionkey * 100 + 500) AS BIGINT) FROM sets
+UNION ALL SELECT 'dr', count(*), 0, CAST(sum(round(CAST(orders AS DOUBLE) * 1000)) AS BIGINT) FROM dr""",
     "i11_quarantine": f"""
 SELECT 'Sample' AS frame, {set_id('o_custkey')} AS dataset_id, 'DateTime' AS header, 'Inj-' || o_orderkey AS named,
     'about ' || CAST(o_orderdate AS VARCHAR) AS text FROM orders WHERE o_orderkey % 50 = 0
@@ -451,3 +465,11 @@ m_set AS (""",
     )
     + "SELECT * REPLACE (CAST(det_offset AS SMALLINT) AS det_offset) FROM report",
 }
+
+# The same reports from the states that loads keep.
+ORACLES |= {
+    "a12_r1_of_states": ORACLES["r1_unique_concentrations"],
+    "a12_r2_of_states": ORACLES["r2_replicate_stats"],
+    "a12_r4_of_states": ORACLES["r4_tetradecane_stats"],
+    "a12_r9_of_states": ORACLES["r9_sensitivity"],
+}

@@ -93,6 +93,35 @@ def r4_tetradecane_stats(spark, sf_dir):
     return reports.tetradecane_replicate_stats(instrument_tables(spark, sf_dir), TETRADECANE_PG)
 
 
+def _states(tables):
+    """Peak states as five loads would keep them, put together."""
+    loads = [reports.peak_states(tables.peaktable.filter(F.col("sample_id") % 5 == n), tables.sample) for n in range(5)]
+    return reduce(DataFrame.unionByName, loads)
+
+
+@query
+def a12_r2_of_states(spark, sf_dir):
+    tables = instrument_tables(spark, sf_dir)
+    return reports.analyte_stats_of_states(_states(tables), tables, ["OFN", "Perfluoronaphthalene"], OFN_PG)
+
+
+@query
+def a12_r4_of_states(spark, sf_dir):
+    tables = instrument_tables(spark, sf_dir)
+    return reports.analyte_stats_of_states(_states(tables), tables, reports.TETRADECANE_NAMES, TETRADECANE_PG)
+
+
+@query
+def a12_r9_of_states(spark, sf_dir):
+    tables = instrument_tables(spark, sf_dir)
+    return _sensitivity_rounded(reports.sensitivity_of_states(_states(tables), tables))
+
+
+@query
+def a12_r1_of_states(spark, sf_dir):
+    return reports.unique_concentrations_of_states(_states(instrument_tables(spark, sf_dir)), "OFN")
+
+
 @query
 def r5_dm_bucket_mean(spark, sf_dir):
     report = reports.detector_measurement_means(instrument_tables(spark, sf_dir))
@@ -211,6 +240,34 @@ def k1_csv_roundtrip(spark, sf_dir):
     return frame.drop("dataset", "_file", "_block", "_line")
 
 
+@query
+def k1_all_frames(spark, sf_dir):
+    """All six frames as CSV and back, with line breaks and quotes in cells: rows, bad rows and a checksum of each."""
+    root = scratch(spark)
+    for frame, df in mapping.export_frames(spark, sf_dir).items():
+        if frame == "Sample":
+            broken = F.concat(F.lit('Done,\nand "checked"\n'), F.col("index"))
+            df = df.withColumn("Status", F.when(F.col("index") % 10 == 0, broken).otherwise(F.col("Status")))
+        write_csv(df, f"{root}/{frame}")
+    frames = read_export(spark, root, layout="by_frame", multi_line=True)
+    content = {
+        "sample": "length(status) + length(samplename) + length(gc_method_id)",
+        "peaktable": "area + height + similairity + peak_sn + quant_sn",
+        "idl": "round(double(idl_value) * 1000000)",
+        "gc": "splitratio + length(gc_method_id)",
+        "ms": "detectoroffset_volts + massrange_top",
+        "dr": "round(double(ordersofmagnitude) * 1000)",
+    }
+    found = [
+        getattr(frames, name).agg(
+            F.lit(name).alias("frame"), F.count(F.lit(1)).alias("n_rows"), F.count_if("_bad").alias("n_bad"),
+            F.sum(F.expr(f"bigint({value})")).alias("checksum"),
+        )
+        for name, value in content.items()
+    ]
+    return reduce(DataFrame.union, found)
+
+
 @query
 def k4_append_roundtrip(spark, sf_dir):
     root = scratch(spark)

@@ -21,6 +21,7 @@ from voltdrift.operators.integrity import (
     not_present,
 )
 from voltdrift.operators.sequence import number_rows
+from voltdrift.plans.reports import peak_states
 from voltdrift.session import materialize, remove_folder
 from voltdrift.sources.csv_frames import POSITION, REJECTED, ExportFrames
 from voltdrift.sources.schema import (
@@ -40,8 +41,11 @@ from voltdrift.sources.tables import (
     each,
     number_files,
     read_loads,
+    read_states,
+    read_table,
     write_quarantine,
     write_rows,
+    write_states,
 )
 
 
@@ -151,7 +155,11 @@ def _load(
     }
     each(lambda name: made.__setitem__(name, steps[name]()), steps)
     dataset, ionstats, peaks = (made[name] for name in steps)
-    number_files(root, load, "peaktable", peaks, last.peaktable)
+    steps = {
+        "files": lambda: number_files(root, load, "peaktable", peaks, last.peaktable),
+        "states": lambda: write_states(root, load, peak_states(peaks, samples)),
+    }
+    each(lambda name: steps[name](), steps)
     seen = _observed(watch)
 
     tables = {
@@ -191,6 +199,17 @@ def _load(
     return report
 
 
+def stored_states(spark: SparkSession, root: str) -> DataFrame:
+    """The states of all peaks in the warehouse: those that loads keep, and those of peaks from loads that keep none."""
+    tables = InstrumentTables.from_warehouse(spark, root)
+    schema = peak_states(tables.peaktable, tables.sample).schema
+    kept = read_states(spark, root, schema)
+    without = read_table(spark, root, "peaktable", with_load=True).join(
+        F.broadcast(read_states(spark, root, schema).select("load").distinct()), "load", "left_anti"
+    )
+    return kept.drop("load").unionByName(peak_states(without, tables.sample))
+
+
 def _others_hold_new(frames: ExportFrames, datasets: DataFrame) -> bool:
     """Whether a frame besides Sample brings a data set the warehouse lacks."""
     others = [getattr(frames, f.name).select("dataset_id") for f in fields(frames) if f.name != "sample"]

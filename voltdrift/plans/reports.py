@@ -22,7 +22,7 @@ from voltdrift.functions.columns import (
     synonym,
     without_replicate_suffix,
 )
-from voltdrift.operators.replicates import Measure, replicate_stats
+from voltdrift.operators.replicates import Measure, merged_stats, moment_states, replicate_stats
 from voltdrift.operators.sequence import (
     ascending,
     bucket_of,
@@ -42,6 +42,10 @@ SENSITIVITY_PG = 0.02
 ALKANE_PREFIX = "Alk"
 OFN_PREFIX = "OFN"
 
+# Digits of the statistics of R2 to R4, and of R9.
+REPLICATE_MEASURES = [Measure("area", 0, 0), Measure("height", 0, 0), Measure("quant_sn", 2, 3), Measure("similarity", 1, 1)]
+SENSITIVITY_MEASURES = [Measure(c, rsd_digits=3) for c in ("area", "quant_sn", "similarity")]
+
 # Acquisition order of samples; the id settles equal times.
 ACQUIRED = ["datetimestamp", "sample_id"]
 
@@ -92,12 +96,7 @@ def analyte_replicate_stats(
     stats = replicate_stats(
         flat,
         ["inst", "det_offset"],
-        [
-            Measure("area", 0, 0),
-            Measure("height", 0, 0),
-            Measure("quant_sn", 2, 3),
-            Measure("similarity", 1, 1),
-        ],
+        REPLICATE_MEASURES,
     )
     return _sorted(stats, ["det_offset", "inst"], ordered)
 
@@ -273,12 +272,12 @@ def sensitivity(
     stats = replicate_stats(
         flat,
         ["dataset_id", "analyte", "pg_oncolumn"],
-        [
-            Measure("area", rsd_digits=3),
-            Measure("quant_sn", rsd_digits=3),
-            Measure("similarity", rsd_digits=3),
-        ],
+        SENSITIVITY_MEASURES,
     )
+    return _beside_limits(stats, tables, ordered, with_set)
+
+
+def _beside_limits(stats: DataFrame, tables: InstrumentTables, ordered: bool, with_set: bool) -> DataFrame:
     limits = tables.idl.select("idl_id", F.col("idl_value").alias("idl"))
     report = (
         with_set_attributes(stats, tables, "offset_volts", "idl_id")
@@ -291,6 +290,58 @@ def sensitivity(
     return _sorted(report, ["offset_volts", "inst"], ordered)
 
 
+STATE_KEYS = ["dataset_id", "analyte", "concentration_pg", "dataprocessingtype"]
+
+
+def peak_states(peaks: DataFrame, samples: DataFrame) -> DataFrame:
+    """Counts, sums and squared deviations of peaks by data set, analyte, amount and processing type.
+
+    All of R1 to R4, R9 and the catalogue of amounts can be had from them without
+    a look at the peaks; a load keeps those of its own peaks.
+    """
+    measured = peaks.join(samples.select("sample_id", "dataset_id"), "sample_id").select(
+        *STATE_KEYS, "area", "height", "quant_sn", F.col("similairity").alias("similarity"),
+        F.nullif(F.col("similairity"), F.lit(0)).alias("similarity_found"),
+    )
+    return moment_states(measured, STATE_KEYS, ["area", "height", "quant_sn", "similarity", "similarity_found"])
+
+
+def unique_concentrations_of_states(states: DataFrame, analyte: str) -> DataFrame:
+    """R1 from states."""
+    return states.filter(F.col("analyte") == analyte).select("concentration_pg").distinct().orderBy(*ascending(["concentration_pg"]))
+
+
+def analyte_stats_of_states(
+    states: DataFrame, tables: InstrumentTables, analytes: Sequence[str], concentration_pg, ordered: bool = True
+) -> DataFrame:
+    """R2 (R3, R4 with their analytes and amounts) from states; no peak is read."""
+    wanted = states.filter(F.col("analyte").isin(list(analytes)) & equals_as(states, "concentration_pg", concentration_pg))
+    kind = F.col("dataprocessingtype")
+    known, other = ~kind.eqNullSafe(UNKNOWN), ~kind.eqNullSafe(TARGET)
+    stats = merged_stats(
+        with_set_attributes(wanted, tables, "det_offset"), ["inst", "det_offset"], REPLICATE_MEASURES,
+        {"area": known, "height": known, "quant_sn": known, "similarity": other},
+    )
+    return _sorted(stats, ["det_offset", "inst"], ordered)
+
+
+def sensitivity_of_states(
+    states: DataFrame, tables: InstrumentTables, concentration_pg=SENSITIVITY_PG, ordered: bool = True, with_set: bool = False
+) -> DataFrame:
+    """R9 from states; no peak is read."""
+    wanted = states.filter(F.col("analyte").isin(list(OFN_NAMES)) & equals_as(states, "concentration_pg", concentration_pg))
+    renamed = wanted.select(
+        "dataset_id", synonym(F.col("analyte"), {"Perfluoronaphthalene": "OFN"}).alias("analyte"), F.col("concentration_pg").alias("pg_oncolumn"),
+        "dataprocessingtype", *(f"{part}_{c}" for c in ("area", "quant_sn") for part in ("n", "sum", "m2")),
+        *(F.col(f"{part}_similarity_found").alias(f"{part}_similarity") for part in ("n", "sum", "m2")),
+    )
+    target = F.col("dataprocessingtype").eqNullSafe(TARGET)
+    stats = merged_stats(
+        renamed, ["dataset_id", "analyte", "pg_oncolumn"], SENSITIVITY_MEASURES, {"area": target, "quant_sn": target}
+    )
+    return _beside_limits(stats, tables, ordered, with_set)
+
+
 def linearity(tables: InstrumentTables, with_set: bool = False) -> DataFrame:
     """The dynamic range of every data set that has one. No order; ``with_set`` adds the data set."""
     identity = [F.col("dataset_id").alias("setname")] if with_set else []

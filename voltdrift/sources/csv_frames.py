@@ -36,16 +36,18 @@ class ExportFrames:
     dr: DataFrame
 
 
-def read_export(spark: SparkSession, root: str, layout: str = "by_dataset", keep_text: bool = True) -> ExportFrames:
-    """All six frames under ``root``; ``layout`` and ``keep_text`` as for :func:`read_frame`."""
+def read_export(
+    spark: SparkSession, root: str, layout: str = "by_dataset", keep_text: bool = True, multi_line: bool = False
+) -> ExportFrames:
+    """All six frames under ``root``; the options as for :func:`read_frame`."""
     return ExportFrames(
-        **{f.lower(): read_frame(spark, root, f, layout, keep_text=keep_text) for f in FRAMES}
+        **{f.lower(): read_frame(spark, root, f, layout, keep_text=keep_text, multi_line=multi_line) for f in FRAMES}
     )
 
 
 def read_frame(
     spark: SparkSession, root: str, frame: str, layout: str = "by_dataset",
-    timestamp_format: str | None = None, keep_text: bool = False,
+    timestamp_format: str | None = None, keep_text: bool = False, multi_line: bool = False,
 ) -> DataFrame:
     """One frame of many datasets.
 
@@ -58,6 +60,9 @@ def read_frame(
     type become NULL with ``_bad`` set on the row, as on lines that are not CSV
     of this layout. ``keep_text`` adds ``_rejected`` (see REJECTED), NULL but on
     such rows, so that whoever writes the rows keeps their text in the same pass.
+    With ``multi_line`` quoted cells may hold line breaks; a file is then read by one
+    task, as only its start tells which quotes open, and a row's position is its
+    place in the file.
     """
     columns = FRAMES[frame]
     headers = list(columns)
@@ -75,6 +80,7 @@ def read_frame(
         .option("nullValue", "")
         .option("emptyValue", "")
         .option("escape", '"')
+        .option("multiLine", multi_line)
     )
     if layout == "by_dataset":
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", f"{frame}*.csv")

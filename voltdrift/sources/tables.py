@@ -75,8 +75,8 @@ def read_loads(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/loads")
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table's rows of finished loads.
+def read_table(spark: SparkSession, root: str, table: str, with_load: bool = False) -> DataFrame:
+    """A table's rows of finished loads; ``with_load`` adds the load's name.
 
     The load names stay a table: a semi join on the partition column that keeps
     the folders of other loads out of the scan. A name is short and stands for a
@@ -87,7 +87,8 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     if table in NUMBERED:
         df = _with_ids(df, spark.read.schema(FILES).parquet(f"{root}/{table}_files"), NUMBERED[table])
     names = read_loads(spark, root).filter(F.length("load") > 0).select("load")
-    return df.join(F.broadcast(names), "load", "left_semi").drop("load")
+    found = df.join(F.broadcast(names), "load", "left_semi")
+    return found if with_load else found.drop("load")
 
 
 def _with_ids(df: DataFrame, files: DataFrame, key: str) -> DataFrame:
@@ -115,7 +116,7 @@ def bootstrap(spark: SparkSession, root: str) -> None:
         remove_folder(spark, f"{root}/{table}")
         make_folder(spark, f"{root}/{table}")
 
-    for table in [*TABLES, *(f"{t}_files" for t in NUMBERED), "quarantine"]:
+    for table in [*TABLES, *(f"{t}_files" for t in NUMBERED), "quarantine", "peak_states"]:
         create(table)
     make_folder(spark, f"{root}/loads")
 
@@ -186,6 +187,18 @@ def write_rows(root: str, load: str, table: str, df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(StructType(fields)).parquet(path)
 
 
+def write_states(root: str, load: str, states: DataFrame) -> None:
+    """Keep the states of a load's peaks, unseen until the load is finished."""
+    states.write.mode("overwrite").parquet(f"{root}/peak_states/load={load}")
+
+
+def read_states(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The states that finished loads keep, with the load's name."""
+    make_folder(spark, f"{root}/peak_states")
+    states = spark.read.schema(_with_load(schema)).parquet(f"{root}/peak_states")
+    return states.join(F.broadcast(read_loads(spark, root).select("load")), "load", "left_semi")
+
+
 def number_files(root: str, load: str, table: str, rows: DataFrame, after: int) -> None:
     """Give the rows of a load's files dense ids from ``after + 1``: those of a file follow its first id.
 
