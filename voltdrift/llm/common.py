@@ -73,9 +73,8 @@ def forget(*tables: DataFrame) -> None:
             passing_tables[:] = [x for x in passing_tables if x is not table]
         path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_at)
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-    if tables:
-        gc.collect()
-        tables[0].sparkSession._jvm.System.gc()
+    gc.collect()
+    SparkSession.active()._jvm.System.gc()
 
 
 class Passing:
