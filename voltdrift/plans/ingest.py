@@ -39,7 +39,7 @@ from voltdrift.sources.tables import (
     check_load_name,
     conform,
     each,
-    number_files,
+    number_parts,
     read_loads,
     read_states,
     read_table,
@@ -156,7 +156,7 @@ def _load(
     each(lambda name: made.__setitem__(name, steps[name]()), steps)
     dataset, ionstats, peaks = (made[name] for name in steps)
     steps = {
-        "files": lambda: number_files(root, load, "peaktable", peaks, last.peaktable),
+        "parts": lambda: number_parts(root, load, "peaktable", peaks, last.peaktable),
         "states": lambda: write_states(root, load, peak_states(peaks, samples)),
     }
     each(lambda name: steps[name](), steps)
@@ -225,7 +225,8 @@ def _watched(peaks: DataFrame, watch: Observation) -> DataFrame:
         F.count(F.when(orphan, 1)).alias("n_orphans"),
         F.count(F.when(F.col("_bad"), 1)).alias("n_bad"),
     )
-    return counted.filter(~orphan)
+    # settled once the rows are written
+    return counted.filter(~orphan).withColumn("peaktable_id", F.monotonically_increasing_id())
 
 
 def _observed(watch: Observation) -> dict[str, int]:
@@ -449,8 +450,7 @@ def link_peaks(peaks: DataFrame, samples: DataFrame, shared: DataFrame | None =
     ``shared`` (see :func:`fan_out`) says that these are many, the peaks are dealt
     over salts and their samples repeated for each, so that no task makes them all.
     A peak whose sample is missing keeps a NULL sample and is not loaded. Sorted by
-    analyte and amount within a partition so that filters on these skip row groups;
-    a peak's id is its place in the files, once they are written.
+    analyte and amount within a partition so that filters on these skip row groups.
     """
     named = samples.select("dataset_id", "samplename", "sample_id")
     key = ["dataset_id", "samplename"]
@@ -462,7 +462,7 @@ def link_peaks(peaks: DataFrame, samples: DataFrame, shared: DataFrame | None =
         salts = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("salts") - 1, F.lit(0)).cast("long"))
         named = named.join(crowded, key[:2], "left").withColumn("_salt", F.explode(salts)).drop("salts")
     linked = peaks.join(named, key, "left").drop(*POSITION, "_salt")
-    return linked.sortWithinPartitions("analyte", "concentration_pg").withColumn("peaktable_id", F.lit(None).cast("long"))
+    return linked.sortWithinPartitions("analyte", "concentration_pg")
 
 
 def _first(frame: DataFrame, key: str, columns: list[str]) -> DataFrame:

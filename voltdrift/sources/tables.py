@@ -38,9 +38,11 @@ QUARANTINE = struct(
 # Columns that rows of a load keep in their files, beside the table's.
 BESIDE = ("_rejected",)
 
-# Tables whose ids, unless given, are those of the rows' places in their files.
+# Tables whose stored ids are places (task above, row below), read as dense ids by the
+# first id of each task's part.
 NUMBERED = {"peaktable": "peaktable_id"}
-FILES = struct(file=TEXT, first_id=BIG)
+PARTS = struct(part=BIG, first_id=BIG)
+PLACE_BITS = 33  # of monotonically_increasing_id
 
 
 @dataclass(frozen=True)
@@ -85,22 +87,22 @@ def read_table(spark: SparkSession, root: str, table: str, with_load: bool = Fal
     schema = _with_load(TABLES[table])
     df = spark.read.schema(schema).parquet(f"{root}/{table}")
     if table in NUMBERED:
-        df = _with_ids(df, spark.read.schema(FILES).parquet(f"{root}/{table}_files"), NUMBERED[table])
+        df = _with_ids(df, spark.read.schema(_with_load(PARTS)).parquet(f"{root}/{table}_parts"), NUMBERED[table])
     names = read_loads(spark, root).filter(F.length("load") > 0).select("load")
     found = df.join(F.broadcast(names), "load", "left_semi")
     return found if with_load else found.drop("load")
 
 
-def _with_ids(df: DataFrame, files: DataFrame, key: str) -> DataFrame:
-    """Rows without an id get that of their place in their file.
+def _with_ids(df: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """Places as dense ids; rows of loads that brought their own ids keep them.
 
-    The files' first ids are distinct per file, as the optimizer can tell, so it
-    leaves the join out wherever the ids are not asked for.
+    The first ids are distinct per load and part, as the optimizer can tell, so it
+    leaves the join out wherever ids are not asked for.
     """
-    first = files.groupBy(F.col("file").alias("_name")).agg(F.min("first_id").alias("_first"))
-    placed = df.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
-    found = placed.join(first, F.col("_file") == F.col("_name"), "left")
-    number = F.coalesce(F.col(key), F.col("_first") + F.col("_index"))
+    first = parts.groupBy(F.col("load").alias("_load"), F.col("part").alias("_part")).agg(F.min("first_id").alias("_first"))
+    found = df.join(first, (F.col("load") == F.col("_load")) & (F.shiftright(key, PLACE_BITS) == F.col("_part")), "left")
+    within = F.col(key).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    number = F.coalesce(F.col("_first") + within, F.col(key))
     return found.select(*(number.alias(c) if c == key else F.col(c) for c in df.columns))
 
 
@@ -116,7 +118,7 @@ def bootstrap(spark: SparkSession, root: str) -> None:
         remove_folder(spark, f"{root}/{table}")
         make_folder(spark, f"{root}/{table}")
 
-    for table in [*TABLES, *(f"{t}_files" for t in NUMBERED), "quarantine", "peak_states"]:
+    for table in [*TABLES, *(f"{t}_parts" for t in NUMBERED), "quarantine", "peak_states"]:
         create(table)
     make_folder(spark, f"{root}/loads")
 
@@ -199,17 +201,17 @@ def read_states(spark: SparkSession, root: str, schema: StructType) -> DataFrame
     return states.join(F.broadcast(read_loads(spark, root).select("load")), "load", "left_semi")
 
 
-def number_files(root: str, load: str, table: str, rows: DataFrame, after: int) -> None:
-    """Give the rows of a load's files dense ids from ``after + 1``: those of a file follow its first id.
+def number_parts(root: str, load: str, table: str, rows: DataFrame, after: int) -> None:
+    """Give a load's rows dense ids from ``after + 1``.
 
-    ``rows`` as written. Only how many each file holds is counted, and only that, one
-    row per file, passes through a window without a key.
+    ``rows`` as written, where the id is a place: the number of the task that wrote
+    the row, and the row's in that task. Only how many rows each task wrote is
+    counted, and only that passes through a window without a key.
     """
-    sizes = rows.select(F.col("_metadata.file_name").alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.select(F.shiftright(NUMBERED[table], PLACE_BITS).alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("n").over(before), F.lit(0)) + F.lit(after + 1)
-    numbered = sizes.select("file", first.cast("long").alias("first_id"))
-    numbered.write.mode("overwrite").parquet(f"{root}/{table}_files/load={load}")
+    sizes.select("part", first.cast("long").alias("first_id")).write.mode("overwrite").parquet(f"{root}/{table}_parts/load={load}")
 
 
 def write_quarantine(root: str, load: str, rows: DataFrame) -> None:
