@@ -69,29 +69,43 @@ def edit_distance(a, b, most):
     return row[-1]
 
 
-def similar_pairs(norms, similarity=0.8):
-    """All pairs (i, j), i < j, of texts of an edit similarity of 0.8 or more, with no blocks.
+def long_edit_distance(a, b, most):
+    """The edit distance, a row at a time in numpy, or a number over ``most``."""
+    x, y = (np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in (a, b))
+    steps = np.arange(len(y) + 1)
+    row = steps.copy()
+    for i, c in enumerate(x, 1):
+        new = np.minimum(row[1:] + 1, row[:-1] + (y != c))
+        row = np.minimum.accumulate(np.concatenate([[i], new]) - steps) + steps
+        if i % 16 == 0 and row.min() > most:
+            return most + 1
+    return int(row[-1])
+
+
+def similar_groups(norms, similarity=0.8):
+    """Groups of texts that pairs of an edit similarity of 0.8 or more connect, with no blocks.
 
-    One edit changes two pairs of neighbouring characters at most, so a distance is
-    at least a quarter of the difference of their counts; only pairs that this
-    does not rule out are compared.
+    One edit changes three runs of three characters at most, so a distance is at
+    least a sixth of the difference of their counts; only pairs that this does not
+    rule out, and that are not connected yet, are compared, the likeliest first.
     """
-    counts = np.zeros((len(norms), 512), np.int16)
+    counts = np.zeros((len(norms), 4096), np.int16)
     for i, x in enumerate(norms):
-        padded = f"\n{x}\n"
-        np.add.at(counts[i], [zlib.crc32(padded[k : k + 2].encode()) % 512 for k in range(len(padded) - 1)], 1)
+        padded = f"\n\n{x}\n\n"
+        np.add.at(counts[i], [zlib.crc32(padded[k : k + 3].encode()) % 4096 for k in range(len(padded) - 2)], 1)
     order = sorted(range(len(norms)), key=lambda i: len(norms[i]))
     sizes = np.array([len(norms[i]) for i in order])
     sorted_counts, found = counts[order], []
     for at, i in enumerate(order):
         end = int(np.searchsorted(sizes, sizes[at] / similarity + 1e-9, "right"))
         most = np.floor((1 - similarity) * sizes[at + 1 : end] + 1e-9)
-        near = np.abs(sorted_counts[at + 1 : end] - sorted_counts[at]).sum(axis=1) <= 4 * most
-        for k in np.nonzero(near)[0]:
-            j = order[at + 1 + k]
-            if edit_distance(norms[i], norms[j], int(most[k])) <= most[k]:
-                found.append((min(i, j), max(i, j)))
-    return found
+        apart = np.abs(sorted_counts[at + 1 : end] - sorted_counts[at]).sum(axis=1)
+        found += [(int(apart[k]), i, order[at + 1 + k], int(most[k])) for k in np.nonzero(apart <= 6 * most)[0]]
+    groups = Groups(range(len(norms)))
+    for _, i, j, most in sorted(found):
+        if groups.root(i) != groups.root(j) and long_edit_distance(norms[i], norms[j], most) <= most:
+            groups.unite(i, j)
+    return groups
 
 
 def normalised(line):
@@ -127,18 +141,19 @@ def deduplicated_lines(docs):
     return out
 
 
-def redundant_lines(docs):
-    """Places (doc_id, line) of all but the first of each group of similar lines, found without blocks; and of the first."""
+def redundant_lines(docs, longest):
+    """Places (doc_id, line) of all but the first of each group of similar lines, found without blocks; and of the first.
+
+    Only lines of up to ``longest`` characters, normalised, are looked at.
+    """
     first = {}
     for doc, text in sorted(d for d in docs if d[0] is not None and d[1] is not None):
         for at, line in enumerate(text.split("\n")):
-            if norm := normalised(line):
+            if (norm := normalised(line)) and len(norm) <= longest:
                 first.setdefault(norm, (doc, at))
-    norms = list(first)
-    groups = Groups(first.values())
-    for a, b in similar_pairs(norms):
-        groups.unite(first[norms[a]], first[norms[b]])
-    kept = {groups.root(place) for place in first.values()}
+    norms = sorted(first, key=first.get)
+    groups = similar_groups(norms)
+    kept = {first[norms[groups.root(i)]] for i in range(len(norms))}
     return {place for place in first.values() if place not in kept}, kept
 
 
