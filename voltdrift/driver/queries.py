@@ -28,7 +28,7 @@ from voltdrift.driver.mapping import (
 )
 from voltdrift.operators.integrity import already_present, missing_parents
 from voltdrift.plans import derived, ingest, reports
-from voltdrift.session import materialize, remove_folder
+from voltdrift.session import materialize, release, remove_folder
 from voltdrift.sources import tables as warehouse
 from voltdrift.sources.csv_frames import read_export, read_frame
 from voltdrift.sources.schema import FOREIGN_KEYS, TABLES
@@ -68,6 +68,15 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{context.applicationId}/{uuid.uuid4().hex}"
 
 
+def exported(spark: SparkSession, frames: dict[str, DataFrame]) -> str:
+    """A new folder with the frames as compressed CSV, one subfolder each; whoever has read them removes it."""
+    export = scratch(spark)
+    for frame, df in frames.items():
+        write_csv(df, f"{export}/{frame}", compression="gzip")
+        release(spark)
+    return export
+
+
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -448,13 +457,12 @@ def i9_all_edges(spark, sf_dir):
 @query
 def i11_staged_load(spark, sf_dir):
     """Export, load, load once more under another name, then R2 on the result."""
-    export, root = scratch(spark), scratch(spark)
-    for frame, df in mapping.export_frames(spark, sf_dir).items():
-        write_csv(df, f"{export}/{frame}")
+    export, root = exported(spark, mapping.export_frames(spark, sf_dir)), scratch(spark)
     warehouse.bootstrap(spark, root)
     frames = read_export(spark, export, layout="by_frame")
     ingest.load_export(spark, root, frames, "first")
     ingest.load_export(spark, root, frames, "again")
+    remove_folder(spark, export)
     stored = warehouse.InstrumentTables.from_warehouse(spark, root)
     return reports.ofn_replicate_stats(stored, OFN_PG)
 
@@ -462,11 +470,10 @@ def i11_staged_load(spark, sf_dir):
 @query
 def i11_loaded_tables(spark, sf_dir):
     """The same load: each table's rows, ids and a checksum of its content."""
-    export, root = scratch(spark), scratch(spark)
-    for frame, df in mapping.export_frames(spark, sf_dir).items():
-        write_csv(df, f"{export}/{frame}")
+    export, root = exported(spark, mapping.export_frames(spark, sf_dir)), scratch(spark)
     warehouse.bootstrap(spark, root)
     ingest.load_export(spark, root, read_export(spark, export, layout="by_frame"), "first")
+    remove_folder(spark, export)
     stored = warehouse.InstrumentTables.from_warehouse(spark, root)
     content = {
         "idl": ("idl_id", "round(double(idl_value) * 1000000)"),
@@ -493,11 +500,10 @@ def i11_loaded_tables(spark, sf_dir):
 @query
 def i11_quarantine(spark, sf_dir):
     """An export with damaged cells and peaks without a sample, loaded all the same: each cell that did not fit, as written."""
-    export, root = scratch(spark), scratch(spark)
-    for frame, df in mapping.damaged_frames(spark, sf_dir).items():
-        write_csv(df, f"{export}/{frame}")
+    export, root = exported(spark, mapping.damaged_frames(spark, sf_dir)), scratch(spark)
     warehouse.bootstrap(spark, root)
     ingest.load_export(spark, root, read_export(spark, export, layout="by_frame"), "damaged", strict=False)
+    remove_folder(spark, export)
     kept = warehouse.read_quarantine(spark, root).select("frame", "dataset_id", "cells", F.explode("problems").alias("header"))
     return kept.select(
         "frame", "dataset_id", "header",

@@ -22,7 +22,7 @@ from voltdrift.operators.integrity import (
 )
 from voltdrift.operators.sequence import number_rows
 from voltdrift.plans.reports import peak_states
-from voltdrift.session import materialize, remove_folder
+from voltdrift.session import materialize, release, remove_folder
 from voltdrift.sources.csv_frames import POSITION, REJECTED, ExportFrames
 from voltdrift.sources.schema import (
     DETECTOR_MEASUREMENT,
@@ -50,6 +50,8 @@ from voltdrift.sources.tables import (
 
 
 LARGEST_FAN_OUT = 10_000_000  # peaks that one repeated sample name may make
+ROUNDS, ROUND_BYTES = 4, 16 << 20  # parts, by data set, in which the peaks of large exports meet their samples; from how many bytes of peaks there is one more
+STATE_ROUNDS = 4  # parts in which a load's states are made
 TASK_ROWS = 1_000_000  # peaks of one repeated sample name that one task makes
 
 
@@ -111,7 +113,7 @@ def _load(
     # the one parse of all files but those of peaks
     staged: dict[str, DataFrame] = {}
     small = [f.name for f in fields(frames) if f.name != "peaktable"]
-    each(lambda name: staged.__setitem__(name, materialize(getattr(frames, name), staging)), small)
+    each(lambda name: staged.__setitem__(name, materialize(getattr(frames, name), f"{staging}/{name}")), small)
     frames = replace(frames, **staged)
     incoming = frames.sample.select("dataset_id").distinct()
     n_incoming = incoming.count()
@@ -139,6 +141,9 @@ def _load(
     }
     each(lambda name: made.__setitem__(name, steps[name]()), steps)
     samples, idl, dr, gc, ms = (made[name] for name in steps)
+    if not n_rejected:
+        remove_folder(spark, f"{staging}/sample")  # all of it is in the numbered samples
+    release(spark)
 
     shared = materialize(fan_out(frames.peaktable, samples), staging)
     excess = shared.filter(F.col("rows") > largest_fan_out).orderBy(F.desc("rows")).limit(5).collect()
@@ -147,20 +152,32 @@ def _load(
             f"{x.n_peaks} peaks under each of {x.n_samples} samples {x.samplename!r} of {x.dataset_id!r}" for x in excess
         ))
 
-    watch = Observation()
+    watches: list[Observation] = []
+    rounds = _rounds(frames.peaktable)
+
+    def write_peaks() -> DataFrame:
+        for n, part in enumerate(_parts(frames.peaktable, rounds)):
+            watches.append(Observation())
+            linked = _watched(link_peaks(part, samples, shared), watches[-1], n)
+            written = write_rows(root, load, "peaktable", linked, "append" if n else "overwrite")
+            release(spark)
+        return spark.read.schema(written.schema).parquet(f"{root}/peaktable/load={load}")
+
     steps = {
         "dataset": lambda: materialize(dataset_rows(samples, idl, dr), staging),
         "ionstats": lambda: ionstats_rows(samples, staging, last.ionstats),
-        "peaks": lambda: write_rows(root, load, "peaktable", _watched(link_peaks(frames.peaktable, samples, shared), watch)),
+        "peaks": write_peaks,
     }
     each(lambda name: made.__setitem__(name, steps[name]()), steps)
     dataset, ionstats, peaks = (made[name] for name in steps)
+    release(spark)
     steps = {
         "parts": lambda: number_parts(root, load, "peaktable", peaks, last.peaktable),
-        "states": lambda: write_states(root, load, peak_states(peaks, samples)),
+        "states": lambda: _keep_states(root, load, peaks),
     }
     each(lambda name: steps[name](), steps)
-    seen = _observed(watch)
+    release(spark)
+    seen = _observed(watches)
 
     tables = {
         "idl": idl,
@@ -188,7 +205,13 @@ def _load(
         if (count := n[f"long {table}.{column}"])
     ]
     if n["n_bad_rows"] or n["n_orphan_peaks"]:
-        write_quarantine(root, load, quarantined(frames, samples, ionstats, peaks, n["n_orphan_peaks"] > 0))
+        orphans = []
+        if n["n_orphan_peaks"]:
+            for part in _parts(frames.peaktable, rounds):
+                found = _orphans(part, samples)
+                orphans.append(materialize(found, staging) if rounds > 1 else found)
+                release(spark)
+        write_quarantine(root, load, quarantined(frames, samples, ionstats, peaks, orphans))
     if n["n_bad_rows"]:
         problems.append(f"{n['n_bad_rows']} rows with cells that do not fit")
     if problems and strict:
@@ -199,6 +222,15 @@ def _load(
     return report
 
 
+def _keep_states(root: str, load: str, peaks: DataFrame) -> None:
+    """The states of a load's peaks, in STATE_ROUNDS parts by data set: they are wider than
+    the peaks, and nearly as many where few peaks repeat, so a part's shuffle goes before the next."""
+    for n in range(STATE_ROUNDS):
+        part = peaks.filter(F.pmod(F.xxhash64("_dataset_id"), F.lit(STATE_ROUNDS)) == n).withColumnRenamed("_dataset_id", "dataset_id")
+        write_states(root, load, peak_states(part), "append" if n else "overwrite")
+        release(peaks.sparkSession)
+
+
 def stored_states(spark: SparkSession, root: str) -> DataFrame:
     """The states of all peaks in the warehouse: those that loads keep, and those of peaks from loads that keep none."""
     tables = InstrumentTables.from_warehouse(spark, root)
@@ -217,20 +249,32 @@ def _others_hold_new(frames: ExportFrames, datasets: DataFrame) -> bool:
     return not not_present(ids, datasets, "dataset_id").isEmpty()
 
 
-def _watched(peaks: DataFrame, watch: Observation) -> DataFrame:
-    """The peaks with a sample; those without, and bad rows, are counted while they pass."""
+def _rounds(peaks: DataFrame) -> int:
+    """Into how many parts the peaks are dealt, by Spark's estimate of their size: what one part shuffles goes before the next."""
+    size = int(str(peaks._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, min(ROUNDS, -(-size // ROUND_BYTES)))
+
+
+def _parts(peaks: DataFrame, rounds: int) -> list[DataFrame]:
+    """The peaks by data set; those without one are in one of the parts."""
+    return [peaks.filter(F.pmod(F.xxhash64("dataset_id"), F.lit(rounds)) == n) for n in range(rounds)] if rounds > 1 else [peaks]
+
+
+def _watched(peaks: DataFrame, watch: Observation, part: int = 0) -> DataFrame:
+    """The peaks with a sample; those without, and bad rows, are counted while they pass. ``part``: their number among those a load writes."""
     orphan = F.col("sample_id").isNull()
     counted = peaks.observe(
         watch,
         F.count(F.when(orphan, 1)).alias("n_orphans"),
         F.count(F.when(F.col("_bad"), 1)).alias("n_bad"),
     )
-    # settled once the rows are written
-    return counted.filter(~orphan).withColumn("peaktable_id", F.monotonically_increasing_id())
+    # the id is settled once the rows are written; the data set stands beside them, for their states
+    place = F.monotonically_increasing_id() + F.lit(part << 61)  # tasks of other parts have other numbers
+    return counted.filter(~orphan).withColumn("peaktable_id", place).withColumn("_dataset_id", F.col("dataset_id"))
 
 
-def _observed(watch: Observation) -> dict[str, int]:
-    return watch.get or {"n_orphans": 0, "n_bad": 0}
+def _observed(watches: list[Observation]) -> dict[str, int]:
+    return {name: sum((watch.get or {}).get(name, 0) for watch in watches) for name in ("n_orphans", "n_bad")}
 
 
 def _checked(
@@ -275,17 +319,16 @@ def _checked(
 
 
 def quarantined(
-    frames: ExportFrames, samples: DataFrame, ionstats: DataFrame, peaks: DataFrame, orphans: bool
+    frames: ExportFrames, samples: DataFrame, ionstats: DataFrame, peaks: DataFrame, orphans: list[DataFrame]
 ) -> DataFrame:
     """The rows of a load that did not fit, as the quarantine holds them, one row each.
 
     Those among the peaks are read from beside the peaks just written. Only
-    ``orphans``, peaks whose sample is nowhere, are read from the export again.
+    ``orphans``, peaks whose sample is nowhere (see :func:`_orphans`), were read from the export again.
     """
     found = [_kept_text(samples, "Sample"), _kept_text(peaks, "PeakTable"), _unmeasured(samples, ionstats)]
     found += [_kept_text(getattr(frames, name.lower()), name) for name in ("IDL", "GC", "MS", "DR")]
-    if orphans:
-        found.append(_orphans(frames.peaktable, samples))
+    found += orphans
     # a row can have problems of several kinds, and a peak stands under each sample of its name
     return reduce(DataFrame.unionByName, found).groupBy("frame", "file", "block", "line").agg(
         F.min("dataset_id").alias("dataset_id"),

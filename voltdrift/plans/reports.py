@@ -293,13 +293,15 @@ def _beside_limits(stats: DataFrame, tables: InstrumentTables, ordered: bool, wi
 STATE_KEYS = ["dataset_id", "analyte", "concentration_pg", "dataprocessingtype"]
 
 
-def peak_states(peaks: DataFrame, samples: DataFrame) -> DataFrame:
+def peak_states(peaks: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """Counts, sums and squared deviations of peaks by data set, analyte, amount and processing type.
 
     All of R1 to R4, R9 and the catalogue of amounts can be had from them without
-    a look at the peaks; a load keeps those of its own peaks.
+    a look at the peaks; a load keeps those of its own peaks. Without ``samples``, the
+    peaks have ``dataset_id`` themselves.
     """
-    measured = peaks.join(samples.select("sample_id", "dataset_id"), "sample_id").select(
+    placed = peaks if samples is None else peaks.join(samples.select("sample_id", "dataset_id"), "sample_id")
+    measured = placed.select(
         *STATE_KEYS, "area", "height", "quant_sn", F.col("similairity").alias("similarity"),
         F.nullif(F.col("similairity"), F.lit(0)).alias("similarity_found"),
     )

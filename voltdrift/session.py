@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+COMPRESSION = "zstd"  # of Parquet files that this library writes
+
+
 def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench."""
     return (
@@ -30,10 +34,20 @@ def materialize(df: DataFrame, folder: str) -> DataFrame:
     one that all executors reach; whoever names it removes it.
     """
     path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files that no plan refers to any more.
+
+    It does so once the driver's objects for them are collected, which a driver with
+    memory to spare may not do for hours.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _located(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
-from voltdrift.session import make_folder, remove_folder
+from voltdrift.session import COMPRESSION, make_folder, remove_folder
 from voltdrift.sources.schema import BIG, TABLES, TEXT, struct
 
 # What a load did, and the last generated id of each kind for the next one.
@@ -36,7 +36,7 @@ QUARANTINE = struct(
 )
 
 # Columns that rows of a load keep in their files, beside the table's.
-BESIDE = ("_rejected",)
+BESIDE = ("_rejected", "_dataset_id")
 
 # Tables whose stored ids are places (task above, row below), read as dense ids by the
 # first id of each task's part.
@@ -177,7 +177,7 @@ def is_loaded(spark: SparkSession, root: str, load: str) -> bool:
     return not read_loads(spark, root).filter(F.col("load") == load).isEmpty()
 
 
-def write_rows(root: str, load: str, table: str, df: DataFrame) -> DataFrame:
+def write_rows(root: str, load: str, table: str, df: DataFrame, mode: str = "overwrite") -> DataFrame:
     """Put a load's rows into a table, unseen until the load is finished; the rows as written.
 
     Columns of BESIDE, if ``df`` has them, go into the same files in the same pass;
@@ -185,13 +185,13 @@ def write_rows(root: str, load: str, table: str, df: DataFrame) -> DataFrame:
     """
     path = f"{root}/{table}/load={load}"
     fields = [*TABLES[table].fields, *(df.schema[c] for c in BESIDE if c in df.columns)]
-    df.select(*[F.col(f.name).cast(f.dataType) for f in fields]).write.mode("overwrite").parquet(path)
+    df.select(*[F.col(f.name).cast(f.dataType) for f in fields]).write.mode(mode).option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(StructType(fields)).parquet(path)
 
 
-def write_states(root: str, load: str, states: DataFrame) -> None:
+def write_states(root: str, load: str, states: DataFrame, mode: str = "overwrite") -> None:
     """Keep the states of a load's peaks, unseen until the load is finished."""
-    states.write.mode("overwrite").parquet(f"{root}/peak_states/load={load}")
+    states.write.mode(mode).option("compression", COMPRESSION).parquet(f"{root}/peak_states/load={load}")
 
 
 def read_states(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
@@ -215,7 +215,7 @@ def number_parts(root: str, load: str, table: str, rows: DataFrame, after: int)
 
 
 def write_quarantine(root: str, load: str, rows: DataFrame) -> None:
-    rows.select(*QUARANTINE.names).write.mode("overwrite").parquet(f"{root}/quarantine/load={load}")
+    rows.select(*QUARANTINE.names).write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{root}/quarantine/load={load}")
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
