@@ -515,3 +515,42 @@ def test_positions_restore_file_order(spark, tmp_path):
 def test_load_name_must_fit_a_folder(spark, store):
     with pytest.raises(ValueError):
         warehouse.append_load(store, "a/b", {}, spark.range(0))
+
+
+def test_peaks_in_parts(spark, store, tmp_path, monkeypatch):
+    """Peaks of a large export are linked part by part: the same peaks, dense ids, the same counts and quarantine."""
+    peaks = [*PEAKS, ("OFN", "Target", "many", *PEAKS[0][3:])]
+    for n in range(6):
+        export(tmp_path / "in", f"S{n}", peaks=peaks)
+    export(tmp_path / "in", "S6", samples=None, peaks=peaks)
+    content = [c for c in TABLES["peaktable"].names if not c.endswith("_id")]
+    whole = load(spark, store, tmp_path / "in", "a", strict=False).first()
+    expected = sorted(rows(stored(spark, store).peaktable, *content), key=repr)
+
+    def kept():
+        return sorted(repr((r.frame, r.dataset_id, r.problems, sorted((r.cells or {}).items()), r.text)) for r in warehouse.read_quarantine(spark, store).collect())
+
+    before = kept()
+    appended, real = [], ingest.write_rows
+    monkeypatch.setattr(ingest, "write_rows", lambda *args, **options: appended.append(options) or real(*args, **options))
+    monkeypatch.setattr(ingest, "ROUND_BYTES", 1)
+    warehouse.bootstrap(spark, store)
+    assert load(spark, store, tmp_path / "in", "a", strict=False).first() == whole and len(appended) == ingest.ROUNDS
+    t = stored(spark, store)
+    assert sorted(rows(t.peaktable, *content), key=repr) == expected
+    assert sorted(r.peaktable_id for r in t.peaktable.collect()) == list(range(1, len(expected) + 1))
+    assert kept() == before and len(before) > 12
+
+
+def test_loads_leave_no_export(spark, tmp_path, monkeypatch):
+    """A query's export is compressed, and goes once it is loaded."""
+    from voltdrift.driver import queries
+
+    folders, real = [], queries.exported
+    monkeypatch.setattr(queries, "scratch", lambda spark: str(tmp_path / str(len(list(tmp_path.iterdir())))))
+    monkeypatch.setattr(queries, "exported", lambda spark, frames: folders.append(real(spark, frames)) or folders[-1])
+    monkeypatch.setattr(queries.ingest, "load_export", lambda *args, **options: folders.append([f.name for f in (tmp_path / "0" / "GC").glob("part*")]))
+    customer = spark.createDataFrame([(1, "c", 0, 1.0, "BUILDING")], queries.mapping.SCHEMAS["customer"])
+    monkeypatch.setattr(queries.mapping, "damaged_frames", lambda spark, sf_dir: {"GC": customer})
+    queries.i11_quarantine(spark, "")
+    assert folders[1] and all(name.endswith(".csv.gz") for name in folders[1]) and not (tmp_path / "0").exists()

@@ -159,7 +159,7 @@ def _load(
         for n, part in enumerate(_parts(frames.peaktable, rounds)):
             watches.append(Observation())
             linked = _watched(link_peaks(part, samples, shared), watches[-1], n)
-            written = write_rows(root, load, "peaktable", linked, "append" if n else "overwrite")
+            written = write_rows(root, load, "peaktable", linked, **({"mode": "append"} if n else {}))
             release(spark)
         return spark.read.schema(written.schema).parquet(f"{root}/peaktable/load={load}")
 
